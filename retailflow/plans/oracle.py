@@ -325,4 +325,10 @@ def oracle_queries() -> dict[str, str]:
         ),
         "expect_fail_passes": _q("SELECT * FROM json_silver WHERE order_id IS NOT NULL"),
     }
+    q["stream_product_silver"] = q["product_silver"]
+    q["stream_dim_customer"] = q["dim_customer"]
+    q["stream_orders_silver"] = q["orders_silver"]
+    q["stream_sales_by_category"] = q["sales_by_category"]
+    q["stream_json_orders_silver"] = q["json_orders_silver"]
+    q["stream_orders_by_date"] = q["orders_by_date"]
     return q
