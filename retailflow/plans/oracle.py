@@ -325,6 +325,28 @@ def oracle_queries() -> dict[str, str]:
         ),
         "expect_fail_passes": _q("SELECT * FROM json_silver WHERE order_id IS NOT NULL"),
     }
+    q["roundtrip_geographies_csv"] = _q("SELECT * FROM geo_raw")
+    q["roundtrip_customers_csv"] = _q("SELECT * FROM cust_raw")
+    q["roundtrip_products_by_category"] = _q(
+        "SELECT product_id, product_name, CAST(price AS DOUBLE) AS price, CAST(cost AS DOUBLE) AS cost, "
+        "supplier_id, category FROM prod_raw"
+    )
+    q["roundtrip_orders_by_month"] = _q(
+        "SELECT order_id, customer_id, product_id, order_date, quantity, CAST(unit_price AS DOUBLE) AS unit_price, "
+        "CAST(discount AS DOUBLE) AS discount, CAST(shipping_cost AS DOUBLE) AS shipping_cost, "
+        f"strftime({_mixed_date('order_date')}, '%Y-%m') AS year_month FROM ord_raw"
+    )
+    q["roundtrip_json_orders"] = _q("SELECT * FROM json_raw")
+    q["datagen_summary"] = """
+SELECT 'geographies' AS dataset, count(*) AS row_count, count(DISTINCT n_nationkey + 1) AS distinct_ids FROM nation
+UNION ALL SELECT 'products', count(*), count(DISTINCT p_partkey + 1) FROM part
+UNION ALL SELECT 'customers', count(*), count(DISTINCT c_custkey + 1) FROM customer
+UNION ALL SELECT 'orders', count(*), count(DISTINCT l_orderkey * 8 + l_linenumber) FROM lineitem
+"""
+    q["datagen_layouts"] = """
+SELECT 'products' AS dataset, count(*) AS row_count, count(DISTINCT p_partkey + 1) AS distinct_ids FROM part
+UNION ALL SELECT 'orders', count(*), count(DISTINCT l_orderkey * 8 + l_linenumber) FROM lineitem
+"""
     q["stream_product_silver"] = q["product_silver"]
     q["stream_dim_customer"] = q["dim_customer"]
     q["stream_orders_silver"] = q["orders_silver"]

@@ -29,7 +29,9 @@ from retailflow.operators.expectations import (
 )
 from retailflow.schemas import MONEY_DECIMAL
 from retailflow.sources import testdata
-from retailflow.sources.landing import land_test_feeds
+from retailflow.operators import datagen
+from retailflow.sources import files
+from retailflow.sources.landing import Landing, land_test_feeds, write_by_category, write_by_month
 from retailflow.streaming.runner import Warehouse, run_json_streams, run_retail_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,14 +205,14 @@ BATCH_QUERIES: dict[str, Query] = {
 
 # ---- registered streaming queries --------------------------------------------
 
-_STREAM_RUNS: dict[tuple[str, str], Warehouse] = {}
+_STREAM_RUNS: dict[tuple[str, str], tuple[Landing, Warehouse]] = {}
 
 
-def streamed_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+def streamed_run(spark: SparkSession, sf_dir: str) -> tuple[Landing, Warehouse]:
     """Land the raw feeds derived from ``sf_dir`` as files in a fresh folder
     on shared storage and run every streaming table over them with
     ``availableNow``. Done once per session and input folder; the stream
-    queries below read the resulting tables."""
+    and round-trip queries below read the resulting files and tables."""
     key = (spark.conf.get("spark.app.id", ""), sf_dir)
     if key not in _STREAM_RUNS:
         root = run_folder(spark, "stream")
@@ -218,10 +220,14 @@ def streamed_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         wh = Warehouse(f"{root}/warehouse")
         run_retail_streams(spark, land, wh, as_of=DEFAULT_AS_OF, money=MONEY_DECIMAL)
         run_json_streams(spark, land.json_source, wh)
-        _STREAM_RUNS[key] = wh
+        _STREAM_RUNS[key] = (land, wh)
     return _STREAM_RUNS[key]
 
 
+def streamed_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    return streamed_run(spark, sf_dir)[1]
+
+
 def _streamed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(streamed_warehouse(spark, sf_dir).table(table))
 
@@ -268,5 +274,101 @@ STREAM_QUERIES: dict[str, Query] = {
 }
 
 
+# ---- raw-zone layouts read back (K7-K10 written, S1-S5 read in batch) ------
+
+
+def q_roundtrip_geographies_csv(spark, sf_dir):
+    return files.read_geographies(spark, streamed_run(spark, sf_dir)[0].geographies)
+
+
+def q_roundtrip_customers_csv(spark, sf_dir):
+    return files.read_customers(spark, streamed_run(spark, sf_dir)[0].customers, stream=False)
+
+
+def q_roundtrip_products_by_category(spark, sf_dir):
+    land = streamed_run(spark, sf_dir)[0]
+    return as_doubles(files.read_products(spark, land.products, stream=False, money=MONEY_DECIMAL))
+
+
+def q_roundtrip_orders_by_month(spark, sf_dir):
+    land = streamed_run(spark, sf_dir)[0]
+    return as_doubles(files.read_orders(spark, land.orders, stream=False, money=MONEY_DECIMAL))
+
+
+def q_roundtrip_json_orders(spark, sf_dir):
+    return files.read_json_orders(spark, streamed_run(spark, sf_dir)[0].json_source, stream=False)
+
+
+# ---- generator (ids taken from the test tables) -----------------------------
+
+
+def _generated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """One generated row per row of the matching test table; the sizes of
+    the id domains are table counts (single numbers)."""
+    nation = testdata.load(spark, sf_dir, "nation")
+    part = testdata.load(spark, sf_dir, "part")
+    customer = testdata.load(spark, sf_dir, "customer")
+    lineitem = testdata.load(spark, sf_dir, "lineitem")
+    n_geo, n_products = nation.count(), part.count()
+    n_customers, n_suppliers = customer.count(), testdata.load(spark, sf_dir, "supplier").count()
+    seeds = lambda df, expr: df.select(F.expr(expr).cast("long").alias("gen_id"))
+    return {
+        "geographies": datagen.geographies(seeds(nation, "n_nationkey + 1"), n_total=n_geo),
+        "products": datagen.products(seeds(part, "p_partkey + 1"), n_suppliers=n_suppliers),
+        "customers": datagen.customers(seeds(customer, "c_custkey + 1"), n_geographies=n_geo),
+        "orders": datagen.orders(
+            seeds(lineitem, "l_orderkey * 8 + l_linenumber"), n_customers=n_customers, n_products=n_products
+        ),
+    }
+
+
+def q_datagen_geographies(spark, sf_dir):
+    return _generated(spark, sf_dir)["geographies"]
+
+
+def q_datagen_products(spark, sf_dir):
+    return _generated(spark, sf_dir)["products"]
+
+
+def q_datagen_customers(spark, sf_dir):
+    return _generated(spark, sf_dir)["customers"]
+
+
+def q_datagen_orders(spark, sf_dir):
+    return _generated(spark, sf_dir)["orders"]
+
+
+def q_datagen_summary(spark, sf_dir):
+    ids = {"geographies": "geography_id", "products": "product_id", "customers": "customer_id", "orders": "order_id"}
+    return datagen.summary(_generated(spark, sf_dir), ids)
+
+
+def q_datagen_layouts(spark, sf_dir):
+    """Generated products and orders written in their raw-zone layouts
+    (by category, by month) and read back through the stream-capable readers."""
+    g = _generated(spark, sf_dir)
+    root = run_folder(spark, "generated")
+    write_by_category(g["products"], f"{root}/products")
+    write_by_month(g["orders"], f"{root}/orders")
+    prods = files.read_products(spark, f"{root}/products", stream=False)
+    ords = files.read_orders(spark, f"{root}/orders", stream=False)
+    return datagen.summary({"products": prods, "orders": ords}, {"products": "product_id", "orders": "order_id"})
+
+
+EXTRA_QUERIES: dict[str, Query] = {
+    "roundtrip_geographies_csv": q_roundtrip_geographies_csv,
+    "roundtrip_customers_csv": q_roundtrip_customers_csv,
+    "roundtrip_products_by_category": q_roundtrip_products_by_category,
+    "roundtrip_orders_by_month": q_roundtrip_orders_by_month,
+    "roundtrip_json_orders": q_roundtrip_json_orders,
+    "datagen_geographies": q_datagen_geographies,
+    "datagen_products": q_datagen_products,
+    "datagen_customers": q_datagen_customers,
+    "datagen_orders": q_datagen_orders,
+    "datagen_summary": q_datagen_summary,
+    "datagen_layouts": q_datagen_layouts,
+}
+
+
 def all_queries() -> dict[str, Query]:
-    return {**BATCH_QUERIES, **STREAM_QUERIES}
+    return {**BATCH_QUERIES, **STREAM_QUERIES, **EXTRA_QUERIES}

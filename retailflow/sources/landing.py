@@ -48,14 +48,25 @@ class Landing:
         return f"{self.root}/json"
 
 
+def _csv_writer(df: DataFrame, mode: str):
+    """Header line; values written as they are (Spark's CSV writer trims
+    surrounding blanks by default, which would clean the raw data)."""
+    return (
+        df.write.mode(mode)
+        .option("header", "true")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
+    )
+
+
 def write_single_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """A small reference table as one CSV file with a header."""
-    df.coalesce(1).write.mode(mode).option("header", "true").csv(path)
+    _csv_writer(df.coalesce(1), mode).csv(path)
 
 
 def write_csv_files(df: DataFrame, path: str, rows_per_file: int = CUSTOMER_FILE_ROWS, mode: str = "append") -> None:
     """K9: CSV files of at most ``rows_per_file`` rows each."""
-    df.write.mode(mode).option("header", "true").option("maxRecordsPerFile", rows_per_file).csv(path)
+    _csv_writer(df, mode).option("maxRecordsPerFile", rows_per_file).csv(path)
 
 
 def write_by_category(df: DataFrame, path: str, mode: str = "append") -> None:
