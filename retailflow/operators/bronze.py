@@ -18,43 +18,43 @@ def _audit(df: DataFrame, audit: bool, source=None) -> DataFrame:
     return with_audit(df, source) if audit else df
 
 
-def _ids_to_long(df: DataFrame, *names: str) -> DataFrame:
-    """Ids that arrive as double (NULLs in pandas-written files) -> bigint."""
-    present = [n for n in names if n in df.columns]
-    return df.withColumns({n: F.col(n).try_cast("long") for n in present}) if present else df
+def _long(name: str):
+    """An id that may arrive as double (NULLs in pandas-written files) -> bigint."""
+    return F.col(name).try_cast("long")
 
 
 def customer_bronze(raw: DataFrame, audit: bool = True) -> DataFrame:
     """Audit columns, 4-layout registration date, phone digits -> long."""
-    df = _audit(raw, audit)
-    df = (
-        df.withColumn("registration_date_clean", parse_mixed_date("registration_date"))
-        .drop("registration_date")
-        .withColumnRenamed("registration_date_clean", "registration_date")
-        .withColumn("phone", digits_to_long("phone"))
+    return _audit(raw, audit).withColumns(
+        {
+            "registration_date": parse_mixed_date("registration_date"),
+            "phone": digits_to_long("phone"),
+            "customer_id": _long("customer_id"),
+            "geography_id": _long("geography_id"),
+        }
     )
-    return _ids_to_long(df, "customer_id", "geography_id")
 
 
 def orders_bronze(raw: DataFrame, audit: bool = True) -> DataFrame:
     """D3: audit columns, 4-layout order date."""
-    df = _audit(raw, audit)
-    df = (
-        df.withColumn("order_date_clean", parse_mixed_date("order_date"))
-        .drop("order_date")
-        .withColumnRenamed("order_date_clean", "order_date")
+    return _audit(raw, audit).withColumns(
+        {
+            "order_date": parse_mixed_date("order_date"),
+            "order_id": _long("order_id"),
+            "customer_id": _long("customer_id"),
+            "product_id": _long("product_id"),
+        }
     )
-    return _ids_to_long(df, "order_id", "customer_id", "product_id")
 
 
 def product_bronze(raw: DataFrame, audit: bool = True) -> DataFrame:
     """Audit columns only (ids repaired to long)."""
-    return _ids_to_long(_audit(raw, audit), "product_id", "supplier_id")
+    return _audit(raw, audit).withColumns({"product_id": _long("product_id"), "supplier_id": _long("supplier_id")})
 
 
 def geography_bronze(raw: DataFrame, audit: bool = True, source_name: str = "geographies.csv") -> DataFrame:
     """Batch single file, the source recorded as a constant name."""
-    return _ids_to_long(_audit(raw, audit, F.lit(source_name)), "geography_id")
+    return _audit(raw, audit, F.lit(source_name)).withColumns({"geography_id": _long("geography_id")})
 
 
 AUDIT_COLUMNS = ("processing_time", "source_file")

@@ -39,12 +39,12 @@ def orders_enriched(silver: DataFrame) -> DataFrame:
     )
 
 
-def _margin(df: DataFrame) -> DataFrame:
-    return df.withColumn("profit_margin_pct", ratio_pct("total_profit", "total_revenue"))
-
-
-def _money(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: money_out(n) for n in names})
+def _finish(df: DataFrame, money: tuple[str, ...], extra: dict | None = None) -> DataFrame:
+    """Margin %, any extra derived columns and money as double, in one
+    projection (derived columns read the aggregated values)."""
+    cols = {"profit_margin_pct": ratio_pct("total_profit", "total_revenue"), **(extra or {})}
+    cols.update({n: money_out(n) for n in money})
+    return df.withColumns(cols)
 
 
 def sales_by_date(enriched: DataFrame, sort: bool = True) -> DataFrame:
@@ -62,8 +62,7 @@ def sales_by_date(enriched: DataFrame, sort: bool = True) -> DataFrame:
             F.count_distinct("customer_id").alias("unique_customers"),
             F.count_distinct("product_id").alias("unique_products"),
         )
-        .transform(_margin)
-        .transform(_money, "total_revenue", "total_discount", "total_shipping", "total_profit")
+        .transform(_finish, ("total_revenue", "total_discount", "total_shipping", "total_profit"))
     )
     return out.orderBy("order_date") if sort else out
 
@@ -86,12 +85,11 @@ def sales_by_category(enriched: DataFrame, sort: bool = True) -> DataFrame:
             F.count_distinct("product_id").alias("unique_products"),
             F.count_distinct("customer_id").alias("unique_customers"),
         )
-        .transform(_margin)
-        .withColumn(
-            "revenue_share_pct",
-            share_pct("total_revenue", F.sum("total_revenue").over(Window.partitionBy())),
+        .transform(
+            _finish,
+            ("total_revenue", "total_profit"),
+            {"revenue_share_pct": share_pct("total_revenue", F.sum("total_revenue").over(Window.partitionBy()))},
         )
-        .transform(_money, "total_revenue", "total_profit")
     )
     return out.orderBy(F.desc("total_revenue")) if sort else out
 
@@ -109,8 +107,7 @@ def sales_by_geography(enriched: DataFrame, sort: bool = True) -> DataFrame:
             F.count_distinct("customer_id").alias("unique_customers"),
             F.count_distinct("product_id").alias("unique_products"),
         )
-        .transform(_margin)
-        .transform(_money, "total_revenue", "total_profit")
+        .transform(_finish, ("total_revenue", "total_profit"))
     )
     return out.orderBy(F.desc("total_revenue")) if sort else out
 
@@ -131,10 +128,14 @@ def customer_analytics(enriched: DataFrame, as_of: date | None = None, sort: boo
             F.count_distinct("product_id").alias("unique_products_purchased"),
             F.count_distinct("category").alias("unique_categories_purchased"),
         )
-        .withColumn("days_since_first_order", F.datediff(today, F.col("first_order_date")))
-        .withColumn("days_since_last_order", F.datediff(today, F.col("last_order_date")))
-        .withColumn("customer_segment", segment("lifetime_value"))
-        .transform(_money, "lifetime_value")
+        .withColumns(
+            {
+                "days_since_first_order": F.datediff(today, F.col("first_order_date")),
+                "days_since_last_order": F.datediff(today, F.col("last_order_date")),
+                "customer_segment": segment("lifetime_value"),
+                "lifetime_value": money_out("lifetime_value"),
+            }
+        )
     )
     return out.orderBy(F.desc("lifetime_value")) if sort else out
 
@@ -153,14 +154,19 @@ def product_performance(enriched: DataFrame, rank_method: str = "range", sort: b
             F.max("unit_price").alias("max_price"),
             F.count_distinct("customer_id").alias("unique_customers"),
         )
-        .transform(_margin)
-        .withColumn(
-            "avg_quantity_per_order",
-            F.try_divide(F.col("total_quantity_sold").cast("double"), F.col("total_orders").cast("double")),
+        .transform(
+            _finish,
+            ("total_profit", "min_price", "max_price"),
+            {
+                "avg_quantity_per_order": F.try_divide(
+                    F.col("total_quantity_sold").cast("double"), F.col("total_orders").cast("double")
+                )
+            },
         )
     )
-    out = dense_rank_desc(agg, "total_revenue", "product_rank", method=rank_method).transform(
-        _money, "total_revenue", "total_profit", "min_price", "max_price"
+    # rank on the exact revenue, then expose it as double
+    out = dense_rank_desc(agg, "total_revenue", "product_rank", method=rank_method).withColumn(
+        "total_revenue", money_out("total_revenue")
     )
     return out.orderBy(F.desc("total_revenue")) if sort else out
 
@@ -178,8 +184,7 @@ def monthly_sales_trend(enriched: DataFrame, sort: bool = True) -> DataFrame:
             F.count_distinct("customer_id").alias("unique_customers"),
             F.count_distinct("product_id").alias("unique_products"),
         )
-        .transform(_margin)
-        .transform(_money, "total_revenue", "total_profit")
+        .transform(_finish, ("total_revenue", "total_profit"))
     )
     return out.orderBy("year", "month") if sort else out
 

@@ -50,8 +50,12 @@ def geography_silver(bronze: DataFrame, updated: Column | None = None) -> DataFr
     return (
         bronze.drop(*AUDIT_COLUMNS)
         .filter(F.col("geography_id").isNotNull())
-        .withColumn("postal_code", normalize_postal("postal_code"))
-        .withColumn("updated_timestamp", F.current_timestamp() if updated is None else updated)
+        .withColumns(
+            {
+                "postal_code": normalize_postal("postal_code"),
+                "updated_timestamp": F.current_timestamp() if updated is None else updated,
+            }
+        )
     )
 
 
@@ -59,16 +63,18 @@ def product_silver(bronze: DataFrame) -> DataFrame:
     """Drop rows without id; a missing price is imputed as cost * 1.5
     (a negative price is kept); defaults for category and supplier; margin
     % is 0.0 unless the price is positive."""
+    price = F.when(F.col("price").isNull(), F.col("cost") * num("1.5")).otherwise(F.col("price"))
     return (
         bronze.drop(*AUDIT_COLUMNS)
         .filter(F.col("product_id").isNotNull())
-        .withColumn(
-            "price",
-            F.when(F.col("price").isNull(), F.col("cost") * num("1.5")).otherwise(F.col("price")),
+        .withColumns(
+            {
+                "price": price,
+                "category": default_to("category", "UNKNOWN"),
+                "supplier_id": default_to("supplier_id", F.lit(0).cast("long")),
+                "profit_margin_pct": ratio_pct(price - F.col("cost"), price),
+            }
         )
-        .withColumn("category", default_to("category", "UNKNOWN"))
-        .withColumn("supplier_id", default_to("supplier_id", F.lit(0).cast("long")))
-        .withColumn("profit_margin_pct", ratio_pct(F.col("price") - F.col("cost"), F.col("price")))
     )
 
 
@@ -86,15 +92,20 @@ def dim_customer(
         .select("customer_id", "first_name", "last_name", "geography_id", "registration_date", "phone")
     )
     geo = geography.select("geography_id", "country", "state", "city")
-    return (
-        customers.join(geo, on="geography_id", how="left")
-        .withColumn("full_name", full_name("first_name", "last_name"))
-        .withColumn("geography_id", default_to("geography_id", F.lit(0).cast("long")))
-        .withColumn("country", default_to("country", "Unknown"))
-        .withColumn("state", default_to("state", "Unknown"))
-        .withColumn("city", default_to("city", "Unknown"))
-        .withColumn("registration_date", date_or("registration_date", default_registration))
-        .select(*CUSTOMER_COLUMNS)
+    out = {
+        "customer_id": F.col("customer_id"),
+        "full_name": full_name("first_name", "last_name"),
+        "first_name": F.col("first_name"),
+        "last_name": F.col("last_name"),
+        "geography_id": default_to("geography_id", F.lit(0).cast("long")),
+        "country": default_to("country", "Unknown"),
+        "state": default_to("state", "Unknown"),
+        "city": default_to("city", "Unknown"),
+        "registration_date": date_or("registration_date", default_registration),
+        "phone": F.col("phone"),
+    }
+    return customers.join(geo, on="geography_id", how="left").select(
+        *[out[c].alias(c) for c in CUSTOMER_COLUMNS]
     )
 
 
@@ -116,13 +127,13 @@ def orders_silver(
     prod = products.drop(*AUDIT_COLUMNS).select("product_id", "product_name", "category", "price", "cost")
     cust = customers.select("customer_id", "full_name", "country", "state", "city")
     enriched = facts.join(prod, on="product_id", how="left").join(cust, on="customer_id", how="left")
-    return (
-        enriched.withColumn("quantity", default_to("quantity", F.lit(1).cast("long")))
-        .withColumn("unit_price", F.coalesce(F.col("unit_price"), F.col("price")))
-        .withColumn("discount", F.least(default_to("discount", num("0.0")), num("1.0")))
-        .withColumn("shipping_cost", default_to("shipping_cost", num("0.0")))
-        .withColumn("order_date", F.coalesce(F.col("order_date"), as_of_date(as_of)))
-        .withColumn("customer_id", default_to("customer_id", F.lit(0).cast("long")))
-        .withColumn("product_id", default_to("product_id", F.lit(0).cast("long")))
-        .select(*ORDER_COLUMNS)
-    )
+    defaults = {
+        "quantity": default_to("quantity", F.lit(1).cast("long")),
+        "unit_price": F.coalesce(F.col("unit_price"), F.col("price")),
+        "discount": F.least(default_to("discount", num("0.0")), num("1.0")),
+        "shipping_cost": default_to("shipping_cost", num("0.0")),
+        "order_date": F.coalesce(F.col("order_date"), as_of_date(as_of)),
+        "customer_id": default_to("customer_id", F.lit(0).cast("long")),
+        "product_id": default_to("product_id", F.lit(0).cast("long")),
+    }
+    return enriched.select(*[defaults[c].alias(c) if c in defaults else F.col(c) for c in ORDER_COLUMNS])

@@ -29,8 +29,17 @@ REGISTRATION_START = date(2020, 1, 1)
 REGISTRATION_DAYS = 1461
 
 
+_LOADED: dict[tuple[str, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table. The inputs are read-only, so the DataFrame (file listing
+    and footer schema) is built once per session and reused."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.conf.get("spark.app.id", ""), path)
+    if key not in _LOADED:
+        _LOADED[key] = spark.read.parquet(path)
+    return _LOADED[key]
 
 
 def money_from_cents(cents: Column) -> Column:
