@@ -5,6 +5,9 @@ moves all rows to a single task. That is fine for a few thousand products
 and fatal for billions. The range form computes the same ranks in
 parallel:
 
+0. the input (already aggregated: one row per ranked entity) is
+   checkpointed once, so the expensive plan behind it runs once and not
+   once per use below;
 1. distinct values (hash aggregate: a value shared by a third of the rows
    collapses map-side, so no task sees more than its share);
 2. range-partition the distinct values in rank order and tag each row with
@@ -34,6 +37,7 @@ def dense_rank_range(df: DataFrame, value: str, out: str, partitions: int | None
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = F.col("_rv").desc_nulls_last()
+    df = df.checkpoint(eager=True)
     values = df.select(F.col(value).alias("_rv")).distinct()
     tagged = (
         values.repartitionByRange(n, order)
