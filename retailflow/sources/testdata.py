@@ -51,9 +51,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if key not in _LOADED:
         df = spark.read.parquet(path)
         if name in _ROW_TABLES:
-            cores = spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < cores:
-                df = df.repartition(cores)
+            try:
+                cores = spark.sparkContext.defaultParallelism
+                if df.rdd.getNumPartitions() < cores:
+                    df = df.repartition(cores)
+            except Exception:  # Spark Connect: no SparkContext / RDD access
+                pass
         _LOADED[key] = df
     return _LOADED[key]
 
