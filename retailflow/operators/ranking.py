@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from retailflow.config import shared_root
+
 
 def dense_rank_window(df: DataFrame, value: str, out: str) -> DataFrame:
     """The literal form: one global window, descending, NULLs last."""
@@ -37,6 +39,7 @@ def dense_rank_range(df: DataFrame, value: str, out: str, partitions: int | None
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = F.col("_rv").desc_nulls_last()
+    shared_root(spark)  # checkpoints go to the cluster's shared folder
     df = df.checkpoint(eager=True)
     values = df.select(F.col(value).alias("_rv")).distinct()
     tagged = (

@@ -87,6 +87,15 @@ def run_pipeline(
     run_json_gold(spark, wh)
 
 
+# Property names Spark keeps for itself; such a declared property is stored
+# under ``dataset.<name>`` in the catalog.
+RESERVED_PROPERTIES = ("table_type", "provider", "location", "owner", "comment", "external")
+
+
+def catalog_properties(d: Dataset) -> dict[str, str]:
+    return {(f"dataset.{k}" if k in RESERVED_PROPERTIES else k): v for k, v in d.properties.items()}
+
+
 def register_tables(spark: SparkSession, wh: Warehouse, schema: str) -> list[str]:
     """K5, K6: create the schema and register every written table in it,
     with its comment and properties."""
@@ -101,7 +110,7 @@ def register_tables(spark: SparkSession, wh: Warehouse, schema: str) -> list[str
         full = f"{schema}.{d.name}"
         spark.sql(f"DROP TABLE IF EXISTS {full}")
         comment = d.comment.replace("'", "\\'")
-        props = ", ".join(f"'{k}' = '{v}'" for k, v in d.properties.items())
+        props = ", ".join(f"'{k}' = '{v}'" for k, v in catalog_properties(d).items())
         spark.sql(
             f"CREATE TABLE {full} USING parquet LOCATION '{path}' COMMENT '{comment}'"
             + (f" TBLPROPERTIES ({props})" if props else "")
