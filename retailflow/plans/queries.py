@@ -47,21 +47,21 @@ def as_doubles(df: DataFrame) -> DataFrame:
 
 
 def geography_silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = testdata.raw_geographies(spark, sf_dir)
+    raw = testdata.raw(spark, sf_dir, "geographies")
     return silver.geography_silver(bronze.geography_bronze(raw, audit=False))
 
 
 def product_silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.product_silver(bronze.product_bronze(testdata.raw_products(spark, sf_dir), audit=False))
+    return silver.product_silver(bronze.product_bronze(testdata.raw(spark, sf_dir, "products"), audit=False))
 
 
 def dim_customer_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cust = bronze.customer_bronze(testdata.raw_customers(spark, sf_dir), audit=False)
+    cust = bronze.customer_bronze(testdata.raw(spark, sf_dir, "customers"), audit=False)
     return silver.dim_customer(cust, geography_silver_of(spark, sf_dir))
 
 
 def orders_silver_of(spark: SparkSession, sf_dir: str, as_of: date = DEFAULT_AS_OF) -> DataFrame:
-    orders = bronze.orders_bronze(testdata.raw_orders(spark, sf_dir), audit=False)
+    orders = bronze.orders_bronze(testdata.raw(spark, sf_dir, "orders"), audit=False)
     return silver.orders_silver(orders, product_silver_of(spark, sf_dir), dim_customer_of(spark, sf_dir), as_of)
 
 
@@ -71,7 +71,7 @@ def enriched_of(spark: SparkSession, sf_dir: str, as_of: date = DEFAULT_AS_OF) -
 
 def json_bronze_of(spark: SparkSession, sf_dir: str, expectations=()) -> DataFrame:
     return json_orders.json_orders_bronze(
-        testdata.raw_json_orders(spark, sf_dir), audit=False, expectations=expectations
+        testdata.raw(spark, sf_dir, "json_orders"), audit=False, expectations=expectations
     )
 
 
@@ -83,7 +83,7 @@ def json_silver_of(spark: SparkSession, sf_dir: str, expectations=()) -> DataFra
 
 
 def q_geography_bronze(spark, sf_dir):
-    return bronze.geography_bronze(testdata.raw_geographies(spark, sf_dir), audit=False)
+    return bronze.geography_bronze(testdata.raw(spark, sf_dir, "geographies"), audit=False)
 
 
 def q_geography_silver(spark, sf_dir):
@@ -91,7 +91,7 @@ def q_geography_silver(spark, sf_dir):
 
 
 def q_product_bronze(spark, sf_dir):
-    return as_doubles(bronze.product_bronze(testdata.raw_products(spark, sf_dir), audit=False))
+    return as_doubles(bronze.product_bronze(testdata.raw(spark, sf_dir, "products"), audit=False))
 
 
 def q_product_silver(spark, sf_dir):
@@ -99,7 +99,7 @@ def q_product_silver(spark, sf_dir):
 
 
 def q_customer_bronze(spark, sf_dir):
-    return bronze.customer_bronze(testdata.raw_customers(spark, sf_dir), audit=False)
+    return bronze.customer_bronze(testdata.raw(spark, sf_dir, "customers"), audit=False)
 
 
 def q_dim_customer(spark, sf_dir):
@@ -107,7 +107,7 @@ def q_dim_customer(spark, sf_dir):
 
 
 def q_orders_bronze(spark, sf_dir):
-    return as_doubles(bronze.orders_bronze(testdata.raw_orders(spark, sf_dir), audit=False))
+    return as_doubles(bronze.orders_bronze(testdata.raw(spark, sf_dir, "orders"), audit=False))
 
 
 def q_orders_silver(spark, sf_dir):

@@ -98,10 +98,19 @@ def write_json(df: DataFrame, path: str, mode: str = "append") -> None:
 def land_test_feeds(spark: SparkSession, sf_dir: str, root: str) -> Landing:
     """Derive every raw feed from the test tables and write it in its
     raw-zone layout below ``root``."""
+    from concurrent.futures import ThreadPoolExecutor
+
     land = Landing(root)
-    write_single_csv(testdata.raw_geographies(spark, sf_dir), land.geographies)
-    write_csv_files(testdata.raw_customers(spark, sf_dir), land.customers)
-    write_by_category(testdata.raw_products(spark, sf_dir), land.products)
-    write_by_month(testdata.raw_orders(spark, sf_dir), land.orders)
-    write_json(testdata.raw_json_orders(spark, sf_dir), f"{land.json_source}/orders")
+    feeds = {name: testdata.raw(spark, sf_dir, name) for name in testdata.RAW_BUILDERS}
+    writes = [
+        lambda: write_single_csv(feeds["geographies"], land.geographies),
+        lambda: write_csv_files(feeds["customers"], land.customers),
+        lambda: write_by_category(feeds["products"], land.products),
+        lambda: write_by_month(feeds["orders"], land.orders),
+        lambda: write_json(feeds["json_orders"], f"{land.json_source}/orders"),
+    ]
+    # five independent writes: concurrent jobs share the executors
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for f in [pool.submit(w) for w in writes]:
+            f.result()
     return land

@@ -203,3 +203,14 @@ RAW_BUILDERS = {
     "orders": raw_orders,
     "json_orders": raw_json_orders,
 }
+
+_RAW: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def raw(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    """The raw feed ``feed`` derived from ``sf_dir``; the plan is built once
+    per session (the inputs are read-only), the data is read on each use."""
+    key = (spark.conf.get("spark.app.id", ""), sf_dir, feed)
+    if key not in _RAW:
+        _RAW[key] = RAW_BUILDERS[feed](spark, sf_dir)
+    return _RAW[key]

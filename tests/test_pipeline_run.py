@@ -67,7 +67,9 @@ def test_invariants_across_gold_tables(spark, pipeline):
 
 
 def test_register_tables(spark, pipeline):
-    names = register_tables(spark, pipeline, "retail_test")
+    names = register_tables(spark, pipeline, "retail_test", use=True)
+    assert spark.catalog.currentDatabase() == "retail_test"
+    spark.catalog.setCurrentDatabase("default")
     assert "retail_test.sales_by_category" in names and len(names) == len(DATASETS)
     t = spark.catalog.getTable("retail_test.orders_silver")
     assert t.description == "Order fact table enriched with dimensions"
