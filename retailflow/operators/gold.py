@@ -9,6 +9,11 @@ combined inside each map task before the shuffle. Exact distinct counts use
 Spark's Expand rewrite: the shuffle is on (group, distinct value), so a hot
 group is spread over many tasks there too. Money is summed in its input
 type (exact for DECIMAL) and returned as DOUBLE.
+
+Sorted outputs break ties on the group key: the requested order is kept,
+the order is deterministic, and a value shared by many rows (say a third of
+all customers with the same lifetime value) is spread over several range
+partitions instead of landing in one sort task.
 """
 
 from __future__ import annotations
@@ -91,7 +96,7 @@ def sales_by_category(enriched: DataFrame, sort: bool = True) -> DataFrame:
             {"revenue_share_pct": share_pct("total_revenue", F.sum("total_revenue").over(Window.partitionBy()))},
         )
     )
-    return out.orderBy(F.desc("total_revenue")) if sort else out
+    return out.orderBy(F.desc("total_revenue"), "category") if sort else out
 
 
 def sales_by_geography(enriched: DataFrame, sort: bool = True) -> DataFrame:
@@ -109,7 +114,7 @@ def sales_by_geography(enriched: DataFrame, sort: bool = True) -> DataFrame:
         )
         .transform(_finish, ("total_revenue", "total_profit"))
     )
-    return out.orderBy(F.desc("total_revenue")) if sort else out
+    return out.orderBy(F.desc("total_revenue"), "country", "state", "city") if sort else out
 
 
 def customer_analytics(enriched: DataFrame, as_of: date | None = None, sort: bool = True) -> DataFrame:
@@ -137,7 +142,7 @@ def customer_analytics(enriched: DataFrame, as_of: date | None = None, sort: boo
             }
         )
     )
-    return out.orderBy(F.desc("lifetime_value")) if sort else out
+    return out.orderBy(F.desc("lifetime_value"), "customer_id", "full_name") if sort else out
 
 
 def product_performance(enriched: DataFrame, rank_method: str = "range", sort: bool = True) -> DataFrame:
@@ -168,7 +173,7 @@ def product_performance(enriched: DataFrame, rank_method: str = "range", sort: b
     out = dense_rank_desc(agg, "total_revenue", "product_rank", method=rank_method).withColumn(
         "total_revenue", money_out("total_revenue")
     )
-    return out.orderBy(F.desc("total_revenue")) if sort else out
+    return out.orderBy(F.desc("total_revenue"), "product_id") if sort else out
 
 
 def monthly_sales_trend(enriched: DataFrame, sort: bool = True) -> DataFrame:

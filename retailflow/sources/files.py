@@ -71,13 +71,13 @@ def read_json_orders(
     )
 
 
-def read_table(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, path: str, stream: bool = False, max_files: int | None = None) -> DataFrame:
     """An upstream dataset written by this pipeline (S11, S12). The stream
     form follows the sink's commit log, so it sees each file exactly once."""
     if not stream:
         return spark.read.parquet(path)
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path)
+    return _reader(spark, True, schema, max_files).parquet(path)
 
 
 def file_path() -> Column:

@@ -30,6 +30,12 @@ from retailflow.sources import files
 from retailflow.sources.landing import Landing
 
 
+# Files per micro-batch. With availableNow a backlog is cut into batches of
+# this size, each committed on its own: a failure resumes from the last
+# committed batch instead of redoing the whole backlog.
+DEFAULT_MAX_FILES = 1000
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Where tables and their checkpoints live (a shared folder)."""
@@ -43,7 +49,7 @@ class Warehouse:
         return f"{self.root}/checkpoints/{name}"
 
 
-def run_stream_table(df: DataFrame, wh: Warehouse, name: str, max_files: int | None = None) -> StreamingQuery:
+def run_stream_table(df: DataFrame, wh: Warehouse, name: str) -> StreamingQuery:
     """Append the stream into table ``name`` until all available input is
     processed; raise if the query failed."""
     writer = (
@@ -83,7 +89,7 @@ def run_retail_streams(
     wh: Warehouse,
     as_of: date | None = None,
     money: DataType = DoubleType(),
-    max_files: int | None = None,
+    max_files: int | None = DEFAULT_MAX_FILES,
 ) -> dict[str, StreamingQuery]:
     """Bronze and silver of the retail pipeline. The product chain, the
     customer chain and the order bronze do not depend on each other and run
@@ -93,7 +99,7 @@ def run_retail_streams(
     def products() -> None:
         raw = files.read_products(spark, landing.products, stream=True, money=money, max_files=max_files)
         runs["product_bronze_v1"] = run_stream_table(bronze.product_bronze(raw), wh, "product_bronze_v1")
-        up = files.read_table(spark, wh.table("product_bronze_v1"), stream=True)
+        up = files.read_table(spark, wh.table("product_bronze_v1"), stream=True, max_files=max_files)
         runs["product_silver_v2"] = run_stream_table(silver.product_silver(up), wh, "product_silver_v2")
 
     def customers() -> None:
@@ -105,7 +111,7 @@ def run_retail_streams(
         refresh_table(silver.geography_silver(geo_b), wh, "geography_silver")
         raw = files.read_customers(spark, landing.customers, stream=True, max_files=max_files)
         runs["customer_bronze_v1"] = run_stream_table(bronze.customer_bronze(raw), wh, "customer_bronze_v1")
-        up = files.read_table(spark, wh.table("customer_bronze_v1"), stream=True)
+        up = files.read_table(spark, wh.table("customer_bronze_v1"), stream=True, max_files=max_files)
         geo = spark.read.parquet(wh.table("geography_silver"))
         runs["dim_customer_silver_v2"] = run_stream_table(silver.dim_customer(up, geo), wh, "dim_customer_silver_v2")
 
@@ -116,7 +122,7 @@ def run_retail_streams(
     run_concurrently(products, customers, orders_bronze)
 
     # orders (stream) joined to the product and customer snapshots
-    up = files.read_table(spark, wh.table("orders_bronze_v1"), stream=True)
+    up = files.read_table(spark, wh.table("orders_bronze_v1"), stream=True, max_files=max_files)
     products = spark.read.parquet(wh.table("product_silver_v2"))
     customers = spark.read.parquet(wh.table("dim_customer_silver_v2"))
     runs["orders_silver"] = run_stream_table(silver.orders_silver(up, products, customers, as_of), wh, "orders_silver")
@@ -129,7 +135,7 @@ def run_json_streams(
     wh: Warehouse,
     bronze_rules: tuple[Expectation, ...] = (),
     silver_rules: tuple[Expectation, ...] = (),
-    max_files: int | None = None,
+    max_files: int | None = DEFAULT_MAX_FILES,
 ) -> dict[str, StreamingQuery]:
     """Bronze and silver of the JSON orders pipeline (D16, D17). Rule
     violation counts are observed as ``<table>_expectations``."""
@@ -137,7 +143,7 @@ def run_json_streams(
     raw = files.read_json_orders(spark, source_root, stream=True, max_files=max_files)
     b = json_orders.json_orders_bronze(raw, expectations=bronze_rules, observation="orders_bronze_demo3_expectations")
     runs["orders_bronze_demo3"] = run_stream_table(b, wh, "orders_bronze_demo3")
-    up = files.read_table(spark, wh.table("orders_bronze_demo3"), stream=True)
+    up = files.read_table(spark, wh.table("orders_bronze_demo3"), stream=True, max_files=max_files)
     s = json_orders.json_orders_silver(up, expectations=silver_rules, observation="orders_silver_demo3_expectations")
     runs["orders_silver_demo3"] = run_stream_table(s, wh, "orders_silver_demo3")
     return runs

@@ -38,6 +38,16 @@ def test_stream_equals_batch(spark, streamed):
     assert _rows(dc) == _rows(Q.q_dim_customer(spark, SF_SMALL).select(*dc.columns))
 
 
+def test_small_micro_batches_give_the_same_rows(spark, streamed, scratch):
+    land, _ = streamed
+    wh = Warehouse(f"{scratch}/wh")
+    runs = run_retail_streams(spark, land, wh, as_of=Q.DEFAULT_AS_OF, money=MONEY_DECIMAL, max_files=2)
+    assert len([p for p in runs["orders_bronze_v1"].recentProgress if p["numInputRows"] > 0]) > 1
+    s = Q.as_doubles(spark.read.parquet(wh.table("orders_silver")))
+    b = Q.q_orders_silver(spark, SF_SMALL)
+    assert _rows(s.select(*b.columns)) == _rows(b)
+
+
 def test_rerun_adds_nothing_and_new_file_adds_its_rows(spark, streamed):
     land, wh = streamed
     before = spark.read.parquet(wh.table("orders_silver")).count()
