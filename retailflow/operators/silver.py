@@ -5,11 +5,11 @@ dimension), so they run on streams as well as on batches. The order fact
 is a stream-static left join: the streaming (or batch) fact side against
 snapshots of the product and customer dimensions.
 
-Join strategy is left to Catalyst + AQE. A dimension whose measured size is
-under ``spark.sql.autoBroadcastJoinThreshold`` is broadcast (geography: one
-row per city); a large one (customers at scale) is a sort-merge join, and
-AQE splits a skewed fact partition (e.g. one customer holding a third of
-all orders) into several tasks.
+Join strategy: a dimension proven to have at most ``broadcast_max_rows``
+rows is broadcast (see ``operators/joins.py``), so the fact side is not
+shuffled; a larger one (customers at scale) is a sort-merge join, and AQE
+splits a skewed fact partition (e.g. one customer holding a third of all
+orders) into several tasks.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from retailflow.functions import (
     ratio_pct,
 )
 from retailflow.operators.bronze import AUDIT_COLUMNS
+from retailflow.operators.joins import BROADCAST_MAX_ROWS, dimension_side
 
 CUSTOMER_COLUMNS = (
     "customer_id", "full_name", "first_name", "last_name",
@@ -82,6 +83,7 @@ def dim_customer(
     bronze: DataFrame,
     geography: DataFrame,
     default_registration: date = DEFAULT_REGISTRATION_DATE,
+    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Customers with an id, left-joined to geography on geography_id;
     'Unknown' place for a missing geography, 0 for a missing geography id,
@@ -91,7 +93,7 @@ def dim_customer(
         .filter(F.col("customer_id").isNotNull())
         .select("customer_id", "first_name", "last_name", "geography_id", "registration_date", "phone")
     )
-    geo = geography.select("geography_id", "country", "state", "city")
+    geo = dimension_side(geography.select("geography_id", "country", "state", "city"), broadcast_max_rows)
     out = {
         "customer_id": F.col("customer_id"),
         "full_name": full_name("first_name", "last_name"),
@@ -114,6 +116,7 @@ def orders_silver(
     products: DataFrame,
     customers: DataFrame,
     as_of: date | None = None,
+    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """The order fact enriched with product and customer attributes.
 
@@ -126,6 +129,7 @@ def orders_silver(
     facts = orders.drop(*AUDIT_COLUMNS)
     prod = products.drop(*AUDIT_COLUMNS).select("product_id", "product_name", "category", "price", "cost")
     cust = customers.select("customer_id", "full_name", "country", "state", "city")
+    prod, cust = dimension_side(prod, broadcast_max_rows), dimension_side(cust, broadcast_max_rows)
     enriched = facts.join(prod, on="product_id", how="left").join(cust, on="customer_id", how="left")
     defaults = {
         "quantity": default_to("quantity", F.lit(1).cast("long")),
