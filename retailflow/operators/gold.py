@@ -145,9 +145,9 @@ def customer_analytics(enriched: DataFrame, as_of: date | None = None, sort: boo
     return out.orderBy(F.desc("lifetime_value"), "customer_id", "full_name") if sort else out
 
 
-def product_performance(enriched: DataFrame, rank_method: str = "range", sort: bool = True) -> DataFrame:
-    """Per product, with a dense rank by revenue (ties share a rank)."""
-    agg = (
+def product_sales(enriched: DataFrame) -> DataFrame:
+    """D14 before the rank: per-product totals (revenue still exact)."""
+    return (
         enriched.groupBy("product_id", "product_name", "category")
         .agg(
             F.count("order_id").alias("total_orders"),
@@ -169,13 +169,21 @@ def product_performance(enriched: DataFrame, rank_method: str = "range", sort: b
             },
         )
     )
-    # rank on the exact revenue, then expose it as double
-    out = dense_rank_desc(agg, "total_revenue", "product_rank", method=rank_method).withColumn(
-        "total_revenue", money_out("total_revenue")
-    )
+
+
+def product_performance_of(ranked: DataFrame, sort: bool = True) -> DataFrame:
+    """D14 after the rank: revenue exposed as double, ordered by revenue."""
+    out = ranked.withColumn("total_revenue", money_out("total_revenue"))
     return out.orderBy(F.desc("total_revenue"), "product_id") if sort else out
 
 
+def product_performance(enriched: DataFrame, rank_method: str = "range", sort: bool = True) -> DataFrame:
+    """Per product, with a dense rank by revenue (ties share a rank);
+    the rank is taken on the exact revenue."""
+    ranked = dense_rank_desc(product_sales(enriched), "total_revenue", "product_rank", method=rank_method)
+    return product_performance_of(ranked, sort=sort)
+
+
 def monthly_sales_trend(enriched: DataFrame, sort: bool = True) -> DataFrame:
     """Per calendar month."""
     out = (

@@ -34,19 +34,24 @@ def dense_rank_window(df: DataFrame, value: str, out: str) -> DataFrame:
     return df.withColumn(out, F.dense_rank().over(Window.orderBy(F.col(value).desc_nulls_last())))
 
 
-def dense_rank_range(df: DataFrame, value: str, out: str, partitions: int | None = None) -> DataFrame:
-    """Same result as :func:`dense_rank_window`, computed range-parallel."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def range_tagged_values(df: DataFrame, value: str, partitions: int | None = None) -> DataFrame:
+    """Steps 1-2: the distinct values of ``value`` as ``_rv``, range
+    partitioned in rank order and tagged with their partition id ``_rp``.
+    Must be cut from its lineage (checkpoint or a written table) before it
+    is used more than once: the range bounds are sampled."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = F.col("_rv").desc_nulls_last()
-    shared_root(spark)  # checkpoints go to the cluster's shared folder
-    df = df.checkpoint(eager=True)
-    values = df.select(F.col(value).alias("_rv")).distinct()
-    tagged = (
-        values.repartitionByRange(n, order)
+    return (
+        df.select(F.col(value).alias("_rv"))
+        .distinct()
+        .repartitionByRange(n, order)
         .withColumn("_rp", F.spark_partition_id())
-        .checkpoint(eager=True)
     )
+
+
+def ranks_of_tagged(tagged: DataFrame, out: str) -> DataFrame:
+    """Steps 3-4: ``(_rv, out)``, the dense rank of every distinct value."""
+    order = F.col("_rv").desc_nulls_last()
     local = tagged.withColumn("_rr", F.row_number().over(Window.partitionBy("_rp").orderBy(order)))
     offsets = (
         tagged.groupBy("_rp")
@@ -60,12 +65,25 @@ def dense_rank_range(df: DataFrame, value: str, out: str, partitions: int | None
         )
         .select("_rp", "_ro")
     )
-    ranks = local.join(F.broadcast(offsets), "_rp").select(
+    # one row per range partition: bounded by the partition count
+    return local.join(F.broadcast(offsets), "_rp").select(
         "_rv", (F.col("_rr") + F.col("_ro")).cast("int").alias(out)
     )
+
+
+def join_ranks(df: DataFrame, value: str, ranks: DataFrame) -> DataFrame:
+    """Step 5: attach the ranks on the value, NULL-safe (NULL ranks last)."""
     return df.join(ranks, df[value].eqNullSafe(ranks["_rv"]), "left").drop("_rv")
 
 
+def dense_rank_range(df: DataFrame, value: str, out: str, partitions: int | None = None) -> DataFrame:
+    """Same result as :func:`dense_rank_window`, computed range-parallel."""
+    shared_root(df.sparkSession)  # checkpoints go to the cluster's shared folder
+    df = df.checkpoint(eager=True)
+    tagged = range_tagged_values(df, value, partitions).checkpoint(eager=True)
+    return join_ranks(df, value, ranks_of_tagged(tagged, out))
+
+
 def dense_rank_desc(df: DataFrame, value: str, out: str, method: str = "range") -> DataFrame:
     if method == "window":
         return dense_rank_window(df, value, out)

@@ -76,3 +76,30 @@ def test_register_tables(spark, pipeline):
     props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES retail_test.orders_silver").collect()}
     assert props.get("quality") == "silver" and props.get("dataset.table_type") == "fact"
     assert spark.table("retail_test.sales_by_category").count() > 0
+
+
+def test_declarative_batch_flows_match_runner(spark, pipeline):
+    """The definition file's materialized views, evaluated over the tables
+    of a finished run, give the runner's gold tables (the rank's lineage
+    cuts written as tables, as the pipelines runner would)."""
+    import importlib
+    import sys
+
+    from pyspark.pipelines.graph_element_registry import graph_element_registration_context
+
+    from test_declarative import Recorder
+
+    register_tables(spark, pipeline, "retail_decl", use=True)
+    try:
+        rec = Recorder()
+        sys.modules.pop("retailflow.plans.declarative", None)
+        with graph_element_registration_context(rec):
+            importlib.import_module("retailflow.plans.declarative")
+        for helper in ("product_sales", "product_revenue_ranges"):
+            rec.flows[helper].func().write.mode("overwrite").saveAsTable(f"retail_decl.{helper}")
+        for name in ("sales_by_category", "sales_by_date", "product_performance", "monthly_sales_trend"):
+            got = rec.flows[name].func()
+            stored = spark.read.parquet(pipeline.table(name))
+            assert _bag(got, stored.columns) == _bag(stored, stored.columns), name
+    finally:
+        spark.catalog.setCurrentDatabase("default")
