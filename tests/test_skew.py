@@ -37,7 +37,7 @@ def _inputs(spark, n):
     oid = F.col("id")
     orders = spark.range(n).select(
         oid.alias("order_id"),
-        F.when(oid % 3 == 0, F.lit(None)).when(oid % 3 == 1, F.lit(7)).otherwise(oid % 5000).cast("long").alias("customer_id"),
+        F.when(oid % 3 == 0, F.lit(None)).when(oid % 3 == 1, F.lit(7)).otherwise(oid % 4000 + 100).cast("long").alias("customer_id"),
         (oid % 1000).alias("product_id"),
         F.lit(2).cast("long").alias("quantity"),
         F.lit(10.0).alias("unit_price"),
