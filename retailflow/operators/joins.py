@@ -29,8 +29,11 @@ def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
 
 
 def dimension_side(dim: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``dim`` marked for broadcast if it has at most ``max_rows`` rows;
-    ``max_rows=None`` leaves the choice to Spark."""
+    """``dim`` marked for broadcast if it has at most ``max_rows`` rows.
+    ``max_rows=None`` leaves the choice to Spark; ``max_rows=0`` asks for
+    the shuffle (sort-merge) join, the path of a large dimension."""
     if max_rows is None or dim.isStreaming:
         return dim
+    if max_rows == 0:
+        return dim.hint("merge")
     return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim

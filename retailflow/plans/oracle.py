@@ -301,6 +301,7 @@ def oracle_queries() -> dict[str, str]:
             "FROM ord_bronze"
         ),
         "orders_silver": _q(ORDER_SILVER_OUT + " FROM ord_silver"),
+        "orders_silver_shuffle_join": _q(ORDER_SILVER_OUT + " FROM ord_silver"),
         "orders_enriched": _q(
             ORDER_SILVER_OUT
             + """, CAST(total_amount AS DOUBLE) AS total_amount,

@@ -60,9 +60,13 @@ def dim_customer_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.dim_customer(cust, geography_silver_of(spark, sf_dir))
 
 
-def orders_silver_of(spark: SparkSession, sf_dir: str, as_of: date = DEFAULT_AS_OF) -> DataFrame:
+def orders_silver_of(
+    spark: SparkSession, sf_dir: str, as_of: date = DEFAULT_AS_OF, broadcast_max_rows: int | None = silver.BROADCAST_MAX_ROWS
+) -> DataFrame:
     orders = bronze.orders_bronze(testdata.raw(spark, sf_dir, "orders"), audit=False)
-    return silver.orders_silver(orders, product_silver_of(spark, sf_dir), dim_customer_of(spark, sf_dir), as_of)
+    return silver.orders_silver(
+        orders, product_silver_of(spark, sf_dir), dim_customer_of(spark, sf_dir), as_of, broadcast_max_rows
+    )
 
 
 def enriched_of(spark: SparkSession, sf_dir: str, as_of: date = DEFAULT_AS_OF) -> DataFrame:
@@ -114,6 +118,12 @@ def q_orders_silver(spark, sf_dir):
     return as_doubles(orders_silver_of(spark, sf_dir))
 
 
+def q_orders_silver_shuffle_join(spark, sf_dir):
+    """The order fact with both dimension joins as shuffle (sort-merge)
+    joins: the path a dimension too large to broadcast takes."""
+    return as_doubles(orders_silver_of(spark, sf_dir, broadcast_max_rows=0))
+
+
 def q_orders_enriched(spark, sf_dir):
     return as_doubles(enriched_of(spark, sf_dir))
 
@@ -185,6 +195,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "dim_customer": q_dim_customer,
     "orders_bronze": q_orders_bronze,
     "orders_silver": q_orders_silver,
+    "orders_silver_shuffle_join": q_orders_silver_shuffle_join,
     "orders_enriched": q_orders_enriched,
     "sales_by_date": q_sales_by_date,
     "sales_by_category": q_sales_by_category,
