@@ -348,6 +348,9 @@ UNION ALL SELECT 'orders', count(*), count(DISTINCT l_orderkey * 8 + l_linenumbe
 SELECT 'products' AS dataset, count(*) AS row_count, count(DISTINCT p_partkey + 1) AS distinct_ids FROM part
 UNION ALL SELECT 'orders', count(*), count(DISTINCT l_orderkey * 8 + l_linenumber) FROM lineitem
 """
+    for t in ("sales_by_date", "sales_by_category", "sales_by_geography", "customer_analytics",
+              "product_performance", "monthly_sales_trend", "orders_by_date"):
+        q[f"pipeline_{t}"] = q[t]
     q["stream_product_silver"] = q["product_silver"]
     q["stream_dim_customer"] = q["dim_customer"]
     q["stream_orders_silver"] = q["orders_silver"]
