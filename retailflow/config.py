@@ -59,7 +59,15 @@ def shared_root(spark: SparkSession) -> str:
             current = spark.sparkContext.getCheckpointDir()
         except Exception:  # Spark Connect: no SparkContext
             current = None
-        root = current or tempfile.mkdtemp(prefix="retailflow-shared-")
+        if not current:
+            master = spark.conf.get("spark.master", "")
+            if not master.startswith("local"):
+                raise RuntimeError(
+                    "spark.checkpoint.dir is not set: point it at a folder on shared "
+                    "storage (tables, stream checkpoints and lineage cuts go below it)"
+                )
+            current = tempfile.mkdtemp(prefix="retailflow-shared-")
+        root = current
     root = root.rstrip("/")
     try:
         if not spark.sparkContext.getCheckpointDir():
