@@ -135,3 +135,15 @@ def test_dense_rank_range_matches_window(spark):
     b = {r.k: r.r for r in dense_rank_range(df, "v", "r", partitions=4).collect()}
     assert a == b
     assert a[6] == 1 and a[3] == max(a.values())  # NULL ranks last
+
+
+def test_zero_grand_total_gives_null_share(spark, dims):
+    _, cust, prod = dims
+    orders = spark.createDataFrame(
+        [(1, 1, 10, 0, 100.0, 0.0, 0.0, D1), (2, 1, 12, 0, 10.0, 0.0, 0.0, D1)],
+        "order_id bigint, customer_id bigint, product_id bigint, quantity bigint, unit_price double, "
+        "discount double, shipping_cost double, order_date date",
+    )
+    enr = gold.orders_enriched(silver.orders_silver(orders, prod, cust, as_of=AS_OF))
+    rows = gold.sales_by_category(enr).collect()
+    assert rows and all(r.revenue_share_pct is None and r.profit_margin_pct == 0.0 for r in rows)
