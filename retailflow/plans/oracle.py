@@ -283,6 +283,17 @@ FROM json_silver GROUP BY CAST(order_timestamp AS DATE)
 
 def oracle_queries() -> dict[str, str]:
     q = {
+        "clean_order_dates": _q(
+            f"SELECT order_id, order_date AS order_date_text, {_mixed_date('order_date')} AS order_date FROM ord_raw"
+        ),
+        "clean_phone": _q(
+            "SELECT customer_id, phone AS phone_text, "
+            "TRY_CAST(regexp_replace(phone, '[^0-9]', '', 'g') AS BIGINT) AS phone FROM cust_raw"
+        ),
+        "clean_postal": _q(
+            "SELECT geography_id, postal_code AS postal_text, "
+            "upper(replace(trim(postal_code), ' ', '')) AS postal_code FROM geo_raw"
+        ),
         "geography_bronze": _q("SELECT * FROM geo_bronze"),
         "geography_silver": _q("SELECT * FROM geo_silver"),
         "product_bronze": _q(

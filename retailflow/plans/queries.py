@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from retailflow.config import DEFAULT_AS_OF, run_folder
+from retailflow.functions import digits_to_long, normalize_postal, parse_mixed_date
 from retailflow.operators import bronze, gold, json_orders, silver
 from retailflow.operators.expectations import (
     VALID_ORDER_ID_DROP,
@@ -186,7 +187,28 @@ def q_expect_fail_passes(spark, sf_dir):
     return json_orders.json_orders_silver(bronze_ok, expectations=(VALID_ORDER_ID_FAIL,))
 
 
+def q_clean_order_dates(spark, sf_dir):
+    """Every raw order-date text next to the date it parses to."""
+    raw = testdata.raw(spark, sf_dir, "orders")
+    return raw.select("order_id", F.col("order_date").alias("order_date_text"), parse_mixed_date("order_date").alias("order_date"))
+
+
+def q_clean_phone(spark, sf_dir):
+    """Raw phone text next to its digits as a long."""
+    raw = testdata.raw(spark, sf_dir, "customers")
+    return raw.select("customer_id", F.col("phone").alias("phone_text"), digits_to_long("phone").alias("phone"))
+
+
+def q_clean_postal(spark, sf_dir):
+    """Raw postal code next to its normalised form."""
+    raw = testdata.raw(spark, sf_dir, "geographies")
+    return raw.select("geography_id", F.col("postal_code").alias("postal_text"), normalize_postal("postal_code").alias("postal_code"))
+
+
 BATCH_QUERIES: dict[str, Query] = {
+    "clean_order_dates": q_clean_order_dates,
+    "clean_phone": q_clean_phone,
+    "clean_postal": q_clean_postal,
     "geography_bronze": q_geography_bronze,
     "geography_silver": q_geography_silver,
     "product_bronze": q_product_bronze,
