@@ -71,12 +71,21 @@ def read_json_orders(
     )
 
 
-def read_table(spark: SparkSession, path: str, stream: bool = False, max_files: int | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession,
+    path: str,
+    stream: bool = False,
+    max_files: int | None = None,
+    schema: StructType | None = None,
+) -> DataFrame:
     """An upstream dataset written by this pipeline (S11, S12). The stream
-    form follows the sink's commit log, so it sees each file exactly once."""
+    form follows the sink's commit log, so it sees each file exactly once;
+    pass the upstream's ``schema`` (known from the DataFrame that wrote it)
+    so that an upstream without files yet can be followed too."""
     if not stream:
-        return spark.read.parquet(path)
-    schema = spark.read.parquet(path).schema
+        return spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
+    if schema is None:
+        schema = spark.read.parquet(path).schema
     return _reader(spark, True, schema, max_files).parquet(path)
 
 

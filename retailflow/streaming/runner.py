@@ -98,8 +98,9 @@ def run_retail_streams(
 
     def products() -> None:
         raw = files.read_products(spark, landing.products, stream=True, money=money, max_files=max_files)
-        runs["product_bronze_v1"] = run_stream_table(bronze.product_bronze(raw), wh, "product_bronze_v1")
-        up = files.read_table(spark, wh.table("product_bronze_v1"), stream=True, max_files=max_files)
+        b = bronze.product_bronze(raw)
+        runs["product_bronze_v1"] = run_stream_table(b, wh, "product_bronze_v1")
+        up = files.read_table(spark, wh.table("product_bronze_v1"), stream=True, max_files=max_files, schema=b.schema)
         runs["product_silver_v2"] = run_stream_table(silver.product_silver(up), wh, "product_silver_v2")
 
     def customers() -> None:
@@ -110,19 +111,25 @@ def run_retail_streams(
         geo_b = spark.read.parquet(wh.table("geography_bronze_v1"))
         refresh_table(silver.geography_silver(geo_b), wh, "geography_silver")
         raw = files.read_customers(spark, landing.customers, stream=True, max_files=max_files)
-        runs["customer_bronze_v1"] = run_stream_table(bronze.customer_bronze(raw), wh, "customer_bronze_v1")
-        up = files.read_table(spark, wh.table("customer_bronze_v1"), stream=True, max_files=max_files)
+        b = bronze.customer_bronze(raw)
+        runs["customer_bronze_v1"] = run_stream_table(b, wh, "customer_bronze_v1")
+        up = files.read_table(spark, wh.table("customer_bronze_v1"), stream=True, max_files=max_files, schema=b.schema)
         geo = spark.read.parquet(wh.table("geography_silver"))
         runs["dim_customer_silver_v2"] = run_stream_table(silver.dim_customer(up, geo), wh, "dim_customer_silver_v2")
 
+    order_bronze = bronze.orders_bronze(
+        files.read_orders(spark, landing.orders, stream=True, money=money, max_files=max_files)
+    )
+
     def orders_bronze() -> None:
-        raw = files.read_orders(spark, landing.orders, stream=True, money=money, max_files=max_files)
-        runs["orders_bronze_v1"] = run_stream_table(bronze.orders_bronze(raw), wh, "orders_bronze_v1")
+        runs["orders_bronze_v1"] = run_stream_table(order_bronze, wh, "orders_bronze_v1")
 
     run_concurrently(products, customers, orders_bronze)
 
     # orders (stream) joined to the product and customer snapshots
-    up = files.read_table(spark, wh.table("orders_bronze_v1"), stream=True, max_files=max_files)
+    up = files.read_table(
+        spark, wh.table("orders_bronze_v1"), stream=True, max_files=max_files, schema=order_bronze.schema
+    )
     products = spark.read.parquet(wh.table("product_silver_v2"))
     customers = spark.read.parquet(wh.table("dim_customer_silver_v2"))
     runs["orders_silver"] = run_stream_table(silver.orders_silver(up, products, customers, as_of), wh, "orders_silver")
@@ -143,7 +150,7 @@ def run_json_streams(
     raw = files.read_json_orders(spark, source_root, stream=True, max_files=max_files)
     b = json_orders.json_orders_bronze(raw, expectations=bronze_rules, observation="orders_bronze_demo3_expectations")
     runs["orders_bronze_demo3"] = run_stream_table(b, wh, "orders_bronze_demo3")
-    up = files.read_table(spark, wh.table("orders_bronze_demo3"), stream=True, max_files=max_files)
+    up = files.read_table(spark, wh.table("orders_bronze_demo3"), stream=True, max_files=max_files, schema=b.schema)
     s = json_orders.json_orders_silver(up, expectations=silver_rules, observation="orders_silver_demo3_expectations")
     runs["orders_silver_demo3"] = run_stream_table(s, wh, "orders_silver_demo3")
     return runs

@@ -98,3 +98,13 @@ def test_fail_rule_fails_a_batch(spark):
     )
     with pytest.raises(Exception):
         df.select("customer_id").collect()
+
+
+def test_empty_source_streams_to_empty_tables(spark, scratch):
+    import os
+
+    src = f"{scratch}/json"
+    os.makedirs(f"{src}/orders".removeprefix("file:"))  # the test session's shared folder is local
+    wh = Warehouse(f"{scratch}/wh")
+    runs = run_json_streams(spark, src, wh)
+    assert runs["orders_silver_demo3"].exception() is None
