@@ -32,6 +32,13 @@ from retailflow.functions import (
 from retailflow.operators.bronze import AUDIT_COLUMNS
 from retailflow.operators.joins import BROADCAST_MAX_ROWS, dimension_side
 
+# Defaults for missing attributes, the factor that imputes a
+# missing price from the cost, and the upper cap of a discount.
+UNKNOWN_PLACE = "Unknown"
+UNKNOWN_CATEGORY = "UNKNOWN"
+PRICE_PER_COST = "1.5"
+DISCOUNT_CAP = "1.0"
+
 CUSTOMER_COLUMNS = (
     "customer_id", "full_name", "first_name", "last_name",
     "geography_id", "country", "state", "city",
@@ -64,14 +71,14 @@ def product_silver(bronze: DataFrame) -> DataFrame:
     """Drop rows without id; a missing price is imputed as cost * 1.5
     (a negative price is kept); defaults for category and supplier; margin
     % is 0.0 unless the price is positive."""
-    price = F.when(F.col("price").isNull(), F.col("cost") * num("1.5")).otherwise(F.col("price"))
+    price = F.when(F.col("price").isNull(), F.col("cost") * num(PRICE_PER_COST)).otherwise(F.col("price"))
     return (
         bronze.drop(*AUDIT_COLUMNS)
         .filter(F.col("product_id").isNotNull())
         .withColumns(
             {
                 "price": price,
-                "category": default_to("category", "UNKNOWN"),
+                "category": default_to("category", UNKNOWN_CATEGORY),
                 "supplier_id": default_to("supplier_id", F.lit(0).cast("long")),
                 "profit_margin_pct": ratio_pct(price - F.col("cost"), price),
             }
@@ -100,9 +107,9 @@ def dim_customer(
         "first_name": F.col("first_name"),
         "last_name": F.col("last_name"),
         "geography_id": default_to("geography_id", F.lit(0).cast("long")),
-        "country": default_to("country", "Unknown"),
-        "state": default_to("state", "Unknown"),
-        "city": default_to("city", "Unknown"),
+        "country": default_to("country", UNKNOWN_PLACE),
+        "state": default_to("state", UNKNOWN_PLACE),
+        "city": default_to("city", UNKNOWN_PLACE),
         "registration_date": date_or("registration_date", default_registration),
         "phone": F.col("phone"),
     }
@@ -134,7 +141,7 @@ def orders_silver(
     defaults = {
         "quantity": default_to("quantity", F.lit(1).cast("long")),
         "unit_price": F.coalesce(F.col("unit_price"), F.col("price")),
-        "discount": F.least(default_to("discount", num("0.0")), num("1.0")),
+        "discount": F.least(default_to("discount", num("0.0")), num(DISCOUNT_CAP)),
         "shipping_cost": default_to("shipping_cost", num("0.0")),
         "order_date": F.coalesce(F.col("order_date"), as_of_date(as_of)),
         "customer_id": default_to("customer_id", F.lit(0).cast("long")),
