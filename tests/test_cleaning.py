@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from retailflow.functions import (
     digits_to_long,
     full_name,

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.errors import StreamingQueryException
 
-from retailflow.operators import bronze, json_orders
+from retailflow.operators import json_orders
 from retailflow.operators.expectations import VALID_ORDER_ID_DROP, VALID_ORDER_ID_FAIL
 from retailflow.plans import queries as Q
 from retailflow.schemas import MONEY_DECIMAL
@@ -91,8 +91,6 @@ def test_fail_rule_fails_the_stream(spark, scratch):
 
 
 def test_fail_rule_fails_a_batch(spark):
-    from pyspark.errors import PySparkException
-
     df = json_orders.json_orders_silver(
         testdata.raw_json_orders(spark, SF_SMALL), expectations=(VALID_ORDER_ID_FAIL,)
     )
