@@ -76,15 +76,37 @@ def join_ranks(df: DataFrame, value: str, ranks: DataFrame) -> DataFrame:
     return df.join(ranks, df[value].eqNullSafe(ranks["_rv"]), "left").drop("_rv")
 
 
-def dense_rank_range(df: DataFrame, value: str, out: str, partitions: int | None = None) -> DataFrame:
-    """Same result as :func:`dense_rank_window`, computed range-parallel."""
+def dense_rank_range(
+    df: DataFrame, value: str, out: str, partitions: int | None = None, cut_input: bool = True
+) -> DataFrame:
+    """Same result as :func:`dense_rank_window`, computed range-parallel.
+    ``cut_input=False`` when ``df`` is already cut from its lineage."""
     shared_root(df.sparkSession)  # checkpoints go to the cluster's shared folder
-    df = df.checkpoint(eager=True)
+    if cut_input:
+        df = df.checkpoint(eager=True)
     tagged = range_tagged_values(df, value, partitions).checkpoint(eager=True)
     return join_ranks(df, value, ranks_of_tagged(tagged, out))
 
 
-def dense_rank_desc(df: DataFrame, value: str, out: str, method: str = "range") -> DataFrame:
+# Rows up to which one task ranks them all (a sort of at most this many
+# narrow rows); beyond it the range-parallel form.
+WINDOW_MAX_ROWS = 1_000_000
+
+
+def dense_rank_auto(df: DataFrame, value: str, out: str, window_max_rows: int = WINDOW_MAX_ROWS) -> DataFrame:
+    """Window form under a proven row bound, range form beyond it. The input
+    is checkpointed once (the count and the rank then read it, not the plan
+    behind it)."""
+    shared_root(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    if df.count() <= window_max_rows:
+        return dense_rank_window(df, value, out)
+    return dense_rank_range(df, value, out, cut_input=False)
+
+
+def dense_rank_desc(df: DataFrame, value: str, out: str, method: str = "auto") -> DataFrame:
+    if method == "auto":
+        return dense_rank_auto(df, value, out)
     if method == "window":
         return dense_rank_window(df, value, out)
     if method == "range":

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retailflow.operators import gold, silver
-from retailflow.operators.ranking import dense_rank_range, dense_rank_window
+from retailflow.operators.ranking import dense_rank_auto, dense_rank_range, dense_rank_window
 
 AS_OF = dt.date(2005, 1, 1)
 D1 = dt.date(2024, 1, 15)
@@ -134,6 +134,8 @@ def test_dense_rank_range_matches_window(spark):
     a = {r.k: r.r for r in dense_rank_window(df, "v", "r").collect()}
     b = {r.k: r.r for r in dense_rank_range(df, "v", "r", partitions=4).collect()}
     assert a == b
+    for bound in (10, 10_000):  # over the bound: range form; under it: window form
+        assert {r.k: r.r for r in dense_rank_auto(df, "v", "r", window_max_rows=bound).collect()} == a
     assert a[6] == 1 and a[3] == max(a.values())  # NULL ranks last
 
 
