@@ -1,10 +1,14 @@
 """Distributed generator of realistic dirty retail data.
 
-Every value is a pure function of the row's id and a seed: a uniform
-number is taken from ``xxhash64(id, seed, salt)``. So the output does not
+Every value is a pure function of the row's id, a seed and a per-column
+salt: a uniform number comes from integer mixing modulo the prime
+2^31 - 1 (an affine step, then two squaring steps; every product stays
+below 2^62, so nothing overflows, ANSI mode or not). So the output does not
 depend on partitioning or on which executor computes a row (a lost task
-recomputes the same rows), and any row count works - ids come from
-``spark.range(n)`` or from an existing table.
+recomputes the same rows), any row count works - ids come from
+``spark.range(n)`` or from an existing table - and plain SQL can compute
+the same values, which is how the generated rows are checked. Money is
+drawn as whole cents.
 
 Faults are injected per row with the stated probability (so their counts
 are within sampling tolerance of the target rate, not exact).
@@ -37,18 +41,39 @@ CUSTOMER_BAD_DATE, CUSTOMER_PHONE_NULL, CUSTOMER_GEO_NULL = 0.10, 0.05, 0.03
 ORDER_BAD_DATE, ORDER_NEGATIVE_QTY, ORDER_BIG_DISCOUNT = 0.15, 0.02, 0.01
 ORDER_DISCOUNT_NULL, ORDER_SHIPPING_NULL, ORDER_CUSTOMER_NULL = 0.04, 0.02, 0.01
 
-_TWO53 = float(1 << 53)
+MODULUS = 2147483647  # the prime 2^31 - 1
+MULTIPLIER = 48271
+
+# One salt per generated column, so columns draw independently.
+SALTS = {
+    "postal": 1, "postal_null": 2, "price": 3, "neg_price": 4, "cost": 5, "supplier_null": 6,
+    "supplier": 7, "category_null": 8, "category": 9, "reg": 10, "ph1": 11, "ph2": 12, "ph3": 13,
+    "first": 14, "last": 15, "phone_null": 16, "geo_null": 17, "geo": 18, "reg_fmt": 19,
+    "date": 20, "qty": 21, "big_disc": 22, "big_disc_v": 23, "disc": 24, "cust_null": 25,
+    "cust": 26, "prod": 27, "date_fmt": 28, "neg_qty": 29, "disc_null": 30, "ship_null": 31,
+    "ship": 32,
+}
+
+
+def offset(seed: int, salt: int) -> int:
+    """The additive constant of the affine step for (seed, salt)."""
+    return (seed * 7919 + salt * 104729) % MODULUS
 
 
 def uniform(id_col: Column, seed: int, salt: str) -> Column:
     """A U[0,1) double from the row id; independent per ``salt``."""
-    h = F.xxhash64(id_col, F.lit(seed), F.lit(salt))
-    return F.pmod(h, F.lit(1 << 53)).cast("double") / F.lit(_TWO53)
+    k = SALTS[salt]
+    x = (F.pmod(id_col, F.lit(MODULUS)) * F.lit(MULTIPLIER) + F.lit(offset(seed, k))) % F.lit(MODULUS)
+    x = (x * x + F.lit(k)) % F.lit(MODULUS)
+    x = (x * x + F.lit(seed)) % F.lit(MODULUS)
+    return x.cast("double") / F.lit(float(MODULUS))
 
 
-def between(u: Column, lo: float, hi: float, scale: int | None = 2) -> Column:
-    v = F.lit(lo) + u * F.lit(hi - lo)
-    return F.round(v, scale) if scale is not None else v
+def between(u: Column, lo: float, hi: float) -> Column:
+    """A money amount in [lo, hi], drawn in whole cents."""
+    lo_c, hi_c = round(lo * 100), round(hi * 100)
+    cents = F.lit(lo_c) + F.floor(u * F.lit(float(hi_c - lo_c + 1)))
+    return cents.cast("double") / F.lit(100.0)
 
 
 def randint(u: Column, lo: int, hi: int) -> Column:
@@ -153,7 +178,7 @@ def orders(
     u = lambda salt: uniform(gid, seed, salt)
     od = F.date_add(F.lit(ORDER_START), randint(u("date"), 0, ORDER_DAYS).cast("int"))
     qty = randint(u("qty"), 1, 10)
-    disc = F.when(u("big_disc") < ORDER_BIG_DISCOUNT, between(u("big_disc_v"), 1.0, 2.0, None)).otherwise(
+    disc = F.when(u("big_disc") < ORDER_BIG_DISCOUNT, between(u("big_disc_v"), 1.0, 2.0)).otherwise(
         between(u("disc"), 0.0, 0.3)
     )
     return seeds.select(

@@ -362,6 +362,7 @@ UNION ALL SELECT 'orders', count(*), count(DISTINCT l_orderkey * 8 + l_linenumbe
     for t in ("sales_by_date", "sales_by_category", "sales_by_geography", "customer_analytics",
               "product_performance", "monthly_sales_trend", "orders_by_date"):
         q[f"pipeline_{t}"] = q[t]
+    q.update(datagen_oracles())
     q["stream_product_silver"] = q["product_silver"]
     q["stream_dim_customer"] = q["dim_customer"]
     q["stream_orders_silver"] = q["orders_silver"]
@@ -369,3 +370,123 @@ UNION ALL SELECT 'orders', count(*), count(DISTINCT l_orderkey * 8 + l_linenumbe
     q["stream_json_orders_silver"] = q["json_orders_silver"]
     q["stream_orders_by_date"] = q["orders_by_date"]
     return q
+
+
+# ---- the generator, restated in SQL ------------------------------------------------
+
+
+def _gen_uniforms(ids_sql: str, salts: list[str]) -> str:
+    """A subquery with ``gen_id`` and one ``u_<salt>`` column per salt: the
+    generator's integer mixing modulo 2^31 - 1, step by step."""
+    from retailflow.operators import datagen as G
+
+    m, seed = G.MODULUS, G.DEFAULT_SEED
+    s0 = ", ".join(
+        f"((gen_id % {m}) * {G.MULTIPLIER} + {G.offset(seed, G.SALTS[s])}) % {m} AS x_{s}" for s in salts
+    )
+    s1 = ", ".join(f"(x_{s} * x_{s} + {G.SALTS[s]}) % {m} AS x_{s}" for s in salts)
+    s2 = ", ".join(f"CAST((x_{s} * x_{s} + {seed}) % {m} AS DOUBLE) / {float(m)} AS u_{s}" for s in salts)
+    return (
+        f"(SELECT gen_id, {s2} FROM (SELECT gen_id, {s1} FROM "
+        f"(SELECT gen_id, {s0} FROM ({ids_sql}) ids) a) b)"
+    )
+
+
+def _randint(u: str, lo: int, span: str) -> str:
+    return f"({lo} + CAST(floor({u} * {span}) AS BIGINT))"
+
+
+def _cents(u: str, lo: float, hi: float) -> str:
+    lo_c, hi_c = round(lo * 100), round(hi * 100)
+    return f"(CAST({lo_c} + CAST(floor({u} * {float(hi_c - lo_c + 1)}) AS BIGINT) AS DOUBLE) / 100.0)"
+
+
+def _pick(u: str, values) -> str:
+    arr = ", ".join(f"'{v}'" for v in values)
+    return f"([{arr}])[CAST(floor({u} * {len(values)}) AS INTEGER) + 1]"
+
+
+def _date_text(d: str, u: str, rate: float, layouts: list[str], invalid: str) -> str:
+    slots = len(layouts) + 1
+    slot = f"CAST(floor({u} / {rate!r} * {slots}) AS INTEGER)"
+    parts = [f"WHEN {u} >= {rate!r} THEN strftime({d}, '%Y-%m-%d')"]
+    parts += [f"WHEN {slot} = {i} THEN strftime({d}, '{fmt}')" for i, fmt in enumerate(layouts)]
+    return "CASE " + " ".join(parts) + f" ELSE '{invalid}' END"
+
+
+def datagen_oracles() -> dict[str, str]:
+    from retailflow.operators import datagen as G
+
+    q = {}
+    # geographies: one per nation
+    countries, upper, bands = G.COUNTRY_SPLIT, 0.0, []
+    frac = "CAST(gen_id - 1 AS DOUBLE) / CAST((SELECT count(*) FROM nation) AS DOUBLE)"
+    for name, share in countries[:-1]:
+        upper += share
+        bands.append(f"WHEN {frac} < {upper!r} THEN '{name}'")
+    states = ", ".join(f"'{s}'" for s in G.STATES)
+    u = _gen_uniforms("SELECT CAST(n_nationkey + 1 AS BIGINT) AS gen_id FROM nation", ["postal", "postal_null"])
+    q["datagen_geographies"] = f"""
+SELECT gen_id AS geography_id,
+       CASE {' '.join(bands)} ELSE '{countries[-1][0]}' END AS country,
+       ([{states}])[((gen_id - 1) % {len(G.STATES)}) + 1] AS state,
+       'City_' || CAST(gen_id AS VARCHAR) AS city,
+       CASE WHEN u_postal_null < {G.GEO_POSTAL_NULL!r} THEN NULL
+            ELSE CAST({_randint('u_postal', 10000, '90000')} AS VARCHAR) END AS postal_code
+FROM {u} g"""
+    # products: one per part
+    u = _gen_uniforms(
+        "SELECT CAST(p_partkey + 1 AS BIGINT) AS gen_id FROM part",
+        ["price", "neg_price", "cost", "supplier_null", "supplier", "category_null", "category"],
+    )
+    price = _cents("u_price", 10, 500)
+    q["datagen_products"] = f"""
+SELECT gen_id AS product_id, 'Product_' || CAST(gen_id AS VARCHAR) AS product_name,
+       CASE WHEN u_neg_price < {G.PRODUCT_NEGATIVE_PRICE!r} THEN -{price} ELSE {price} END AS price,
+       {_cents('u_cost', 5, 400)} AS cost,
+       CASE WHEN u_supplier_null < {G.PRODUCT_SUPPLIER_NULL!r} THEN NULL
+            ELSE CAST({_randint('u_supplier', 1, '(SELECT count(*) FROM supplier)')} AS DOUBLE) END AS supplier_id,
+       CASE WHEN u_category_null < {G.PRODUCT_CATEGORY_NULL!r} THEN NULL
+            ELSE {_pick('u_category', G.CATEGORIES)} END AS category
+FROM {u} g"""
+    # customers: one per test customer
+    u = _gen_uniforms(
+        "SELECT CAST(c_custkey + 1 AS BIGINT) AS gen_id FROM customer",
+        ["reg", "ph1", "ph2", "ph3", "first", "last", "phone_null", "geo_null", "geo", "reg_fmt"],
+    )
+    reg = f"(DATE '{G.REGISTRATION_START.isoformat()}' + CAST({_randint('u_reg', 0, str(G.REGISTRATION_DAYS + 1))} AS INTEGER))"
+    phone = (
+        f"printf('%d-%d-%d', {_randint('u_ph1', 100, '900')}, {_randint('u_ph2', 100, '900')}, "
+        f"{_randint('u_ph3', 1000, '9000')})"
+    )
+    q["datagen_customers"] = f"""
+SELECT gen_id AS customer_id, {_pick('u_first', G.FIRST_NAMES)} AS first_name,
+       {_pick('u_last', G.LAST_NAMES)} AS last_name,
+       'customer_' || CAST(gen_id AS VARCHAR) || '@example.com' AS email,
+       CASE WHEN u_phone_null < {G.CUSTOMER_PHONE_NULL!r} THEN NULL ELSE {phone} END AS phone,
+       CASE WHEN u_geo_null < {G.CUSTOMER_GEO_NULL!r} THEN NULL
+            ELSE CAST({_randint('u_geo', 1, '(SELECT count(*) FROM nation)')} AS DOUBLE) END AS geography_id,
+       {_date_text(reg, 'u_reg_fmt', G.CUSTOMER_BAD_DATE, ['%m/%d/%Y', '%d-%m-%Y'], 'invalid_date')} AS registration_date
+FROM {u} g"""
+    # orders: one per lineitem
+    u = _gen_uniforms(
+        "SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS gen_id FROM lineitem",
+        ["date", "qty", "big_disc", "big_disc_v", "disc", "cust_null", "cust", "prod", "date_fmt",
+         "neg_qty", "price", "disc_null", "ship_null", "ship"],
+    )
+    od = f"(DATE '{G.ORDER_START.isoformat()}' + CAST({_randint('u_date', 0, str(G.ORDER_DAYS + 1))} AS INTEGER))"
+    qty = _randint("u_qty", 1, "10")
+    q["datagen_orders"] = f"""
+SELECT gen_id AS order_id,
+       CASE WHEN u_cust_null < {G.ORDER_CUSTOMER_NULL!r} THEN NULL
+            ELSE CAST({_randint('u_cust', 1, '(SELECT count(*) FROM customer)')} AS DOUBLE) END AS customer_id,
+       {_randint('u_prod', 1, '(SELECT count(*) FROM part)')} AS product_id,
+       {_date_text(od, 'u_date_fmt', G.ORDER_BAD_DATE, ['%m/%d/%Y', '%d-%m-%Y', '%Y%m%d'], 'invalid')} AS order_date,
+       CASE WHEN u_neg_qty < {G.ORDER_NEGATIVE_QTY!r} THEN -{qty} ELSE {qty} END AS quantity,
+       {_cents('u_price', 10, 500)} AS unit_price,
+       CASE WHEN u_disc_null < {G.ORDER_DISCOUNT_NULL!r} THEN NULL
+            WHEN u_big_disc < {G.ORDER_BIG_DISCOUNT!r} THEN {_cents('u_big_disc_v', 1.0, 2.0)}
+            ELSE {_cents('u_disc', 0.0, 0.3)} END AS discount,
+       CASE WHEN u_ship_null < {G.ORDER_SHIPPING_NULL!r} THEN NULL ELSE {_cents('u_ship', 5, 50)} END AS shipping_cost
+FROM {u} g"""
+    return q
