@@ -30,7 +30,7 @@ from retailflow.functions import (
     ratio_pct,
 )
 from retailflow.operators.bronze import AUDIT_COLUMNS
-from retailflow.operators.joins import BROADCAST_MAX_ROWS, dimension_side
+from retailflow.operators.joins import BROADCAST_MAX_ROWS, dimension_side, dimension_sides
 
 # Defaults for missing attributes, the factor that imputes a
 # missing price from the cost, and the upper cap of a discount.
@@ -136,7 +136,7 @@ def orders_silver(
     facts = orders.drop(*AUDIT_COLUMNS)
     prod = products.drop(*AUDIT_COLUMNS).select("product_id", "product_name", "category", "price", "cost")
     cust = customers.select("customer_id", "full_name", "country", "state", "city")
-    prod, cust = dimension_side(prod, broadcast_max_rows), dimension_side(cust, broadcast_max_rows)
+    prod, cust = dimension_sides([prod, cust], broadcast_max_rows)
     enriched = facts.join(prod, on="product_id", how="left").join(cust, on="customer_id", how="left")
     defaults = {
         "quantity": default_to("quantity", F.lit(1).cast("long")),
