@@ -52,10 +52,19 @@ def _finish(df: DataFrame, money: tuple[str, ...], extra: dict | None = None) ->
     return df.withColumns(cols)
 
 
+def _lead(df: DataFrame, lead: dict) -> DataFrame:
+    """``lead`` columns first (kept or derived from the group keys), then
+    the rest of ``df``."""
+    return df.select(*[c.alias(n) for n, c in lead.items()], *[c for c in df.columns if c not in lead])
+
+
 def sales_by_date(enriched: DataFrame, sort: bool = True) -> DataFrame:
-    """Daily totals, ordered by date."""
+    """Daily totals, ordered by date. Grouped on the date alone (year,
+    month and quarter follow from it and are derived after the aggregate),
+    so the shuffles carry one key instead of four."""
+    d = F.col("order_date")
     out = (
-        enriched.groupBy("order_date", "year", "month", "quarter")
+        enriched.groupBy("order_date")
         .agg(
             F.count("order_id").alias("total_orders"),
             F.sum("quantity").alias("total_quantity"),
@@ -68,6 +77,7 @@ def sales_by_date(enriched: DataFrame, sort: bool = True) -> DataFrame:
             F.count_distinct("product_id").alias("unique_products"),
         )
         .transform(_finish, ("total_revenue", "total_discount", "total_shipping", "total_profit"))
+        .transform(_lead, {"order_date": d, "year": F.year(d), "month": F.month(d), "quarter": F.quarter(d)})
     )
     return out.orderBy("order_date") if sort else out
 
@@ -187,9 +197,11 @@ def product_performance(enriched: DataFrame, rank_method: str = "auto", sort: bo
 
 
 def monthly_sales_trend(enriched: DataFrame, sort: bool = True) -> DataFrame:
-    """Per calendar month."""
+    """Per calendar month. Grouped on (year, month); quarter and month
+    name follow from them and are derived after the aggregate."""
+    first_day = F.make_date(F.col("year"), F.col("month"), F.lit(1))
     out = (
-        enriched.groupBy("year", "month", "quarter", "month_name")
+        enriched.groupBy("year", "month")
         .agg(
             F.count("order_id").alias("total_orders"),
             F.sum("quantity").alias("total_quantity"),
@@ -200,6 +212,15 @@ def monthly_sales_trend(enriched: DataFrame, sort: bool = True) -> DataFrame:
             F.count_distinct("product_id").alias("unique_products"),
         )
         .transform(_finish, ("total_revenue", "total_profit"))
+        .transform(
+            _lead,
+            {
+                "year": F.col("year"),
+                "month": F.col("month"),
+                "quarter": F.quarter(first_day),
+                "month_name": F.monthname(first_day),
+            },
+        )
     )
     return out.orderBy("year", "month") if sort else out
 
