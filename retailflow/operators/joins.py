@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,9 +45,11 @@ def dimension_side(dim: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) ->
 def dimension_sides(dims: list[DataFrame], max_rows: int | None = BROADCAST_MAX_ROWS) -> list[DataFrame]:
     """:func:`dimension_side` for several independent dimensions; their
     size checks run as concurrent Spark jobs (the scans overlap instead of
-    running one after the other)."""
+    running one after the other), in threads that carry the caller's local
+    properties (job group, scheduler pool)."""
     if len(dims) < 2 or max_rows is None or max_rows == 0 or any(d.isStreaming for d in dims):
         return [dimension_side(d, max_rows) for d in dims]
     with ThreadPoolExecutor(max_workers=len(dims)) as pool:
-        fits = list(pool.map(lambda d: fits_broadcast(d, max_rows), dims))
+        carry = inheritable_thread_target(dims[0].sparkSession)
+        fits = list(pool.map(carry(lambda d: fits_broadcast(d, max_rows)), dims))
     return [F.broadcast(d) if ok else d for d, ok in zip(dims, fits)]

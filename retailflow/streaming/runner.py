@@ -20,6 +20,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DataType, DoubleType
@@ -69,12 +70,15 @@ def run_stream_table(df: DataFrame, wh: Warehouse, name: str) -> StreamingQuery:
 
 def run_concurrently(*steps: Callable[[], object]) -> list:
     """Run independent steps as concurrent Spark jobs (one driver thread
-    each); the scheduler shares the executors between them. Returns their
-    results in order; the first failure is raised."""
+    each); the scheduler shares the executors between them. The threads
+    carry the caller's local properties (job group, description, scheduler
+    pool), so cancelling the caller's job group stops them too. Returns
+    their results in order; the first failure is raised."""
     if len(steps) == 1:
         return [steps[0]()]
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        futures = [pool.submit(step) for step in steps]
+        carry = inheritable_thread_target(SparkSession.active())
+        futures = [pool.submit(carry(step)) for step in steps]
         return [f.result() for f in futures]
 
 

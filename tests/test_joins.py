@@ -1,0 +1,30 @@
+"""Dimension size checks: broadcast under the row bound, shuffle join over
+it, and the concurrent checks run inside the caller's job group."""
+
+from pyspark.sql import functions as F
+
+from retailflow.operators import joins
+
+
+def _is_broadcast(df) -> bool:
+    return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_bound_decides_broadcast(spark):
+    small = spark.range(10).withColumn("v", F.col("id") * 2)
+    large = spark.range(5000).withColumn("v", F.col("id") * 3)
+    a, b = joins.dimension_sides([small, large], max_rows=100)
+    assert _is_broadcast(a) and not _is_broadcast(b)
+    assert [r.id for r in a.orderBy("id").collect()] == list(range(10))
+
+
+def test_concurrent_checks_keep_job_group(spark):
+    sc = spark.sparkContext
+    group = "size-check-group"
+    sc.setJobGroup(group, "dimension size checks")
+    try:
+        joins.dimension_sides([spark.range(7), spark.range(9)], max_rows=100)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    assert len(sc.statusTracker().getJobIdsForGroup(group)) >= 2
