@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from retailflow.llm.common import table
 from retailflow.llm.packing import pack_documents
+from retailflow.llm.substrings import repeated_passages
 from retailflow.llm.tokens import count_tokens
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -31,8 +32,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    passages = repeated_passages(table(spark, sf_dir, "documents"))
+    return passages.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_packing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_packing, op3_substring_dedup)}
 
 
 def llm_oracle() -> dict[str, str]:
