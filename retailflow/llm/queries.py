@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailflow.llm.common import table
+from retailflow.llm.minhash import near_duplicates
 from retailflow.llm.packing import pack_documents
 from retailflow.llm.substrings import repeated_passages
 from retailflow.llm.tokens import count_tokens
@@ -37,8 +38,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_packing, op3_substring_dedup)}
+    return {f.__name__: f for f in (op1_token_counts, op2_packing, op3_substring_dedup, op8_minhash_dedup)}
 
 
 def llm_oracle() -> dict[str, str]:
