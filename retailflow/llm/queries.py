@@ -10,7 +10,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retailflow.llm.caps import near_vectors
 from retailflow.llm.common import table
+from retailflow.llm.knn import top_k
 from retailflow.llm.minhash import near_duplicates
 from retailflow.llm.packing import pack_documents
 from retailflow.llm.substrings import repeated_passages
@@ -38,13 +40,40 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  WHERE q.vec_id % 50 = 0
+),
+r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_packing, op3_substring_dedup, op8_minhash_dedup)}
+    return {f.__name__: f for f in (op1_token_counts, op2_packing, op3_substring_dedup, op4_top_k, op8_minhash_dedup, op9_embedding_dedup)}
 
 
 def llm_oracle() -> dict[str, str]:
-    return {}
+    return {"op4_top_k": OP4_SQL}
