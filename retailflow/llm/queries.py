@@ -17,6 +17,7 @@ from retailflow.llm.minhash import near_duplicates
 from retailflow.llm.packing import pack_documents
 from retailflow.llm.substrings import repeated_passages
 from retailflow.llm.tokens import count_tokens
+from retailflow.llm.toxicity import is_training, score, train
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -63,6 +64,17 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = score(docs, train(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return found.select(
+        "row.doc_id",
+        (~is_training(F.col("row.doc_id"))).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -72,7 +84,7 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_packing, op3_substring_dedup, op4_top_k, op8_minhash_dedup, op9_embedding_dedup)}
+    return {f.__name__: f for f in (op1_token_counts, op2_packing, op3_substring_dedup, op4_top_k, op5_toxicity, op8_minhash_dedup, op9_embedding_dedup)}
 
 
 def llm_oracle() -> dict[str, str]:
