@@ -96,14 +96,15 @@ def least_estimate(percent: int) -> float:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) -> set size, digest of the set, band keys and
-    signature. An empty set has a digest of its own and no bands."""
+    """``docs`` (doc_id, text, text_hash) -> set size, digest of the set, band
+    keys and signature. An empty set, or a row without an id, has a digest of
+    its own and no bands."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").cast(pa.int64())
+            ids, texts = batch.column("doc_id").cast(pa.int64()), batch.column("text_hash")
             sizes, digests, bands, signatures = [], [], [], []
-            for doc, value in zip(ids.to_pylist(), batch.column("text")):
+            for doc, value, text_hash in zip(ids.to_pylist(), batch.column("text"), texts.to_pylist()):
                 hashes = shingles(value.as_py())
                 sizes.append(len(hashes))
                 if len(hashes) and doc is not None:
@@ -112,16 +113,21 @@ def sketches(docs: DataFrame) -> DataFrame:
                     bands.append(band_keys(least))
                     signatures.append(packed(least))
                 else:
-                    digests.append(f"empty {doc} {len(hashes)}".encode() if doc is not None else b"no id %d" % (value.as_py() and xxhash.xxh3_64_intdigest(value.as_py()) or 0))
+                    digests.append(f"alone {doc} {text_hash}".encode())
                     bands.append(None)
                     signatures.append(None)
+            longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(signatures, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "digest", "bands", "signature"],
-            )
+                [
+                    ids, texts, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                    pa.array(bands, longs), pa.array(signatures, longs),
+                ],
+                names=["doc_id", "text_hash", "n_shingles", "digest", "bands", "signature"],
+            )
 
     return docs.mapInArrow(
-        sketch, "doc_id long, n_shingles long, digest binary, bands array<long>, signature array<long>"
+        sketch,
+        "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>, signature array<long>",
     )
 
 
@@ -142,9 +148,10 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = THRESHOLD_PERCENT
 ) -> DataFrame:
     """Per input row: ``n_shingles``, ``component_id`` (the smallest id that
-    links reach, its own included) and ``kept`` (it is that smallest). Two
-    documents are linked if 100 x shared shingles >= ``percent`` x all their
-    different shingles, counted on the full sets.
+    links reach, its own included), ``kept`` (it is that smallest) and
+    ``text_hash`` (xxhash64 of the text, which tells rows of one id apart).
+    Two documents are linked if 100 x shared shingles >= ``percent`` x all
+    their different shingles, counted on the full sets.
 
     A null or empty text, or one of white space only, has an empty set, is
     linked with nothing and kept. A row without an id takes no part: its
@@ -153,9 +160,9 @@ def near_duplicates(
     the id. Other columns are not read; an empty table gives no rows.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketched = written(sketches(docs), "sketches")
+    sketched = written(sketches(docs.withColumn("text_hash", F.xxhash64("text"))), "sketches")
     classes = sketched.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    members = sketched.select("doc_id", "n_shingles", "digest").join(classes, "digest")
+    members = sketched.select("doc_id", "text_hash", "n_shingles", "digest").join(classes, "digest")
     reps = written(
         sketched.where("bands is not null")
         .join(classes, "digest")
@@ -209,4 +216,5 @@ def near_duplicates(
         "n_shingles",
         F.coalesce("component", "rep").alias("component_id"),
         F.coalesce(F.coalesce("component", "rep") == F.col("doc_id"), F.lit(True)).alias("kept"),
+        "text_hash",
     )

@@ -7,17 +7,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailflow.llm.caps import near_vectors
+from retailflow.llm import pii
 from retailflow.llm.common import table
 from retailflow.llm.knn import top_k
 from retailflow.llm.minhash import near_duplicates
+from retailflow.llm.mixing import mix
 from retailflow.llm.packing import pack_documents
 from retailflow.llm.substrings import repeated_passages
 from retailflow.llm.tokens import count_tokens
 from retailflow.llm.toxicity import is_training, score, train
+from retailflow.llm.urls import judge
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -75,17 +78,86 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Target shares: the source that has most is held at a quarter, three are raised.
+MIX_WEIGHTS = {"src0": 0.25, "src1": 0.1, "src2": 0.1, "src3": 0.05}
+MIX_SEED = 17
+
+
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mix(docs, MIX_WEIGHTS, MIX_SEED).select("row.*", "copy")
+
+
+OP6_SQL = """
+WITH RECURSIVE weights(key, weight) AS (
+  VALUES ('src0', 0.25::DOUBLE), ('src1', 0.1::DOUBLE), ('src2', 0.1::DOUBLE), ('src3', 0.05::DOUBLE),
+         (NULL, 1.0::DOUBLE - (0.25::DOUBLE + 0.1::DOUBLE + 0.1::DOUBLE + 0.05::DOUBLE))
+),
+d AS (
+  SELECT *, CASE WHEN source IN ('src0', 'src1', 'src2', 'src3') THEN source END AS key FROM documents
+),
+means AS (
+  SELECT w.key, (SELECT count(*) FROM documents)::DOUBLE * weight / n::DOUBLE AS mean
+  FROM (SELECT key, count(*) AS n FROM d GROUP BY key) c JOIN weights w ON c.key IS NOT DISTINCT FROM w.key
+),
+parts AS (SELECT key, greatest(ceil(mean / 16), 1)::INTEGER AS parts, mean / greatest(ceil(mean / 16), 1)::INTEGER AS m FROM means),
+poisson AS (
+  SELECT key, parts, m, 0 AS k, exp(-m) AS p, exp(-m) AS below FROM parts
+  UNION ALL
+  SELECT key, parts, m, k + 1, p * m / (k + 1), below + p * m / (k + 1) FROM poisson WHERE k < 79
+),
+draws AS (
+  SELECT doc_id, key, part, (CAST('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'null') || ':' || part), 1, 13) AS BIGINT)::DOUBLE + 0.5)
+         / 4503599627370496::DOUBLE AS u
+  FROM (SELECT doc_id, d.key, unnest(range(1, parts + 1)) AS part FROM d JOIN parts p ON d.key IS NOT DISTINCT FROM p.key)
+),
+times AS (
+  SELECT w.doc_id, count(*) AS n
+  FROM draws w JOIN poisson p ON w.key IS NOT DISTINCT FROM p.key AND p.below < w.u
+  GROUP BY w.doc_id
+)
+SELECT doc_id, text, lang, source, n_chars, copy
+FROM (SELECT d.*, unnest(range(1, n + 1))::INTEGER AS copy FROM d JOIN times USING (doc_id))
+"""
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge(pages).select("row.page_id", "host", "path", "rule", "verdict", F.col("blocked").alias("block_chance"))
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+    every = F.array_sort(F.concat("base", "added"))
+
+    def counted(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s.kind == kind)).cast("long")
+
+    return found.select(
+        "row.doc_id",
+        *(counted(i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)),
+        F.sha2(pii.printed(F.col("base")), 256).alias("base_sha256"),
+        pii.printed(every).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_packing, op3_substring_dedup, op4_top_k, op5_toxicity, op8_minhash_dedup, op9_embedding_dedup)}
+    every = (
+        op1_token_counts, op2_packing, op3_substring_dedup, op4_top_k, op5_toxicity, op6_source_mix, op7_url_filter,
+        op8_minhash_dedup, op9_embedding_dedup, op10_pii,
+    )
+    return {f.__name__: f for f in every}
 
 
 def llm_oracle() -> dict[str, str]:
-    return {"op4_top_k": OP4_SQL}
+    return {"op4_top_k": OP4_SQL, "op6_source_mix": OP6_SQL}
