@@ -62,7 +62,7 @@ def in_blocks(docs: DataFrame, docs_per_block: int = DOCS_PER_BLOCK, coarse: int
         inner = docs.groupBy(cell.alias("_of")).agg(
             F.percentile_approx(id_, F.lit([i / subs for i in range(1, subs)]), F.lit(8 * subs)).alias("_bounds")
         )
-        docs = docs.join(F.broadcast(inner), cell == F.col("_of"))
+        docs = docs.join(F.broadcast(inner), cell == F.col("_of"), "left")  # rows without an id have no cell
         block = block + F.size(F.filter("_bounds", lambda b: b < id_))
     loose = -1 - F.pmod(F.xxhash64("text"), F.lit(blocks))
     return docs.select(F.when(F.col("doc_id").isNull(), loose).otherwise(block).cast("long").alias("block"), "doc_id", "text"), blocks
