@@ -18,7 +18,10 @@ the longest document of its input.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -38,37 +41,69 @@ ID = 4
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, window int, step_group long"
 
 
+#: Texts whose unknown words are encoded together.
+TOGETHER = 64
+
+
 def _le(ids) -> bytes:
-    return b"".join(i.to_bytes(ID, "little") for i in ids)
+    return np.array(ids, "<u4").tobytes()
+
+
+@cache
+def _word_ends(path: str) -> np.ndarray:
+    """Whether an id ends a word, by id."""
+    vocabulary = tokenizer(path).get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+    return ends
 
 
 class WordIds(dict):
-    """Words' token ids as little-endian 32-bit numbers, kept in the worker."""
+    """Words' token ids as little-endian 32-bit numbers, kept in the worker.
+    When it fills up, the words met first, which the frequent ones are among,
+    stay and the later ones go."""
 
     def __init__(self, path: str):
         self.path = path
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text."""
-        tok = tokenizer(self.path)
-        if not plain(text, special_strings(self.path)):
-            return _le(tok.encode(text, add_special_tokens=False).ids)
-        words = WORD_LEVEL.findall(text.lower())
-        try:
-            return b"".join(map(self.__getitem__, words))
-        except KeyError:
-            new = [w for w in set(words) if w not in self]
-            if len(self) + len(new) > CACHE_SIZE:
-                self.clear()
-                new = list(set(words))
-            long = {}
-            for i in range(0, len(new), 4096):
-                part = new[i : i + 4096]
-                for w, e in zip(part, tok.encode_batch(part, add_special_tokens=False)):
-                    (self if len(w) <= CACHED_CHARS and len(self) < CACHE_SIZE else long)[w] = _le(e.ids)
-            if long:
-                return b"".join(long[w] if w in long else self[w] for w in words)
-        return b"".join(map(self.__getitem__, words))
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """Encodes ``words``; returns those that are not kept."""
+        tok, ends = tokenizer(self.path), _word_ends(self.path)
+        new, passing = list(words), {}
+        for i in range(0, len(new), 4096):
+            part = new[i : i + 4096]
+            # Words apart by spaces are encoded one by one, and each ends with an id that ends a word.
+            ids = np.array(tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            at = (np.flatnonzero(ends[ids]) + 1) * ID
+            if len(at) != len(part):
+                raise ValueError(f"{self.path}: the vocabulary does not mark the ends of words")
+            whole = ids.tobytes()
+            for word, a, b in zip(part, [0, *at[:-1].tolist()], at.tolist()):
+                (self if len(word) <= CACHED_CHARS and len(self) < CACHE_SIZE else passing)[word] = whole[a:b]
+        return passing
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts."""
+        tok, special = tokenizer(self.path), special_strings(self.path)
+        if len(self) > CACHE_SIZE * 3 // 4:
+            for word in list(islice(self, CACHE_SIZE // 2, None)):
+                del self[word]
+        words, found, unknown = [], [], set()
+        for t in texts:
+            if plain(t, special):
+                words.append(WORD_LEVEL.findall(t.lower()))
+                found.append(list(map(self.get, words[-1])))
+                if None in found[-1]:
+                    unknown.update([w for w, ids in zip(words[-1], found[-1]) if ids is None])
+            else:
+                words.append(())
+                found.append([_le(tok.encode(t, add_special_tokens=False).ids)])
+        if unknown:
+            passing = self.learn(unknown)
+            for own, ids in zip(words, found):
+                if None in ids:
+                    ids[:] = [(passing[w] if w in passing else self[w]) if x is None else x for w, x in zip(own, ids)]
+        return list(map(b"".join, found))
 
 
 _CACHES: dict[str, WordIds] = {}
@@ -201,13 +236,16 @@ def pack_documents(
                 )
 
         for batch in batches:
-            for doc, value in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = words.encode(value.as_py() or "") + end
-                packer.route((doc, 0, ids, len(ids) // ID))
-                if packer.pooled >= POOL_IDS:
-                    packer.pack()
-                if packer.pooled >= POOL_IDS or len(packer.closed) >= 256:
-                    yield from rows(False)
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                for doc, ids in zip(part.column("doc_id").to_pylist(), words.encode(texts)):
+                    ids += end
+                    packer.route((doc, 0, ids, len(ids) // ID))
+                    if packer.pooled >= POOL_IDS:
+                        packer.pack()
+                    if packer.pooled >= POOL_IDS or len(packer.closed) >= 256:
+                        yield from rows(False)
         packer.finish()
         yield from rows(True)
 
