@@ -12,11 +12,22 @@ from retailflow.config import shared_root
 
 #: Entries a worker's cache may hold before it is emptied; with keys of at
 #: most CACHED_CHARS characters this bounds its memory.
-CACHE_SIZE = 300_000
+CACHE_SIZE = 500_000
 CACHED_CHARS = 64
 
 
+#: Words whose hash a worker keeps; hashing one anew costs little more than a look-up.
+KEPT_HASHES = 100_000
+#: Rows that Spark hands to a worker at once where rows are whole texts. The
+#: default of 10,000 long texts would be held several times over, in the JVM,
+#: on the way and in the worker.
+TEXT_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, for a query that hands whole rows to Python workers in
+    batches of TEXT_ROWS (a setting of the session)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -39,7 +50,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
         if len(word) <= CACHED_CHARS:
-            if len(self) >= CACHE_SIZE:
+            if len(self) >= KEPT_HASHES:
                 self.clear()
             self[word] = value
         return value
