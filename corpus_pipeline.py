@@ -44,13 +44,12 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with personal data replaced by its kind in brackets;
     ``n_chars`` counts the new text. Null texts stay null."""
     found = pii.find(docs, pii.train(docs))
-    spans = F.array_sort(F.concat("base", "added"))
-    text = pii.redacted(F.col("row.text"), spans)
-    kept = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": text}
+    found = found.select("row", F.col("row.text").alias("_old"), F.array_sort(F.concat("base", "added")).alias("_spans"))
+    found = pii.redacted(found, "_old", "_spans", "_new")
+    kept = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("_new")}
     if "n_chars" in docs.columns:
-        changed = F.size(spans) > 0
-        kind = docs.schema["n_chars"].dataType
-        kept["n_chars"] = F.when(changed, F.length(text).cast(kind)).otherwise(F.col("row.n_chars"))
+        length = F.length("_new").cast(docs.schema["n_chars"].dataType)
+        kept["n_chars"] = F.when(F.size("_spans") > 0, length).otherwise(F.col("row.n_chars"))
     return found.select(*(c.alias(name) for name, c in kept.items()))
 
 
