@@ -23,11 +23,17 @@ def _long(name: str):
     return F.col(name).try_cast("long")
 
 
+def _date_last(df: DataFrame, name: str) -> DataFrame:
+    """The text column ``name`` replaced by its date, as the last column."""
+    others = [c for c in df.columns if c != name]
+    return df.select(*others, parse_mixed_date(name).alias(name))
+
+
 def customer_bronze(raw: DataFrame, audit: bool = True) -> DataFrame:
-    """Audit columns, 4-layout registration date, phone digits -> long."""
-    return _audit(raw, audit).withColumns(
+    """Audit columns, phone digits -> long, 4-layout registration date
+    (last)."""
+    return _date_last(_audit(raw, audit), "registration_date").withColumns(
         {
-            "registration_date": parse_mixed_date("registration_date"),
             "phone": digits_to_long("phone"),
             "customer_id": _long("customer_id"),
             "geography_id": _long("geography_id"),
@@ -36,10 +42,9 @@ def customer_bronze(raw: DataFrame, audit: bool = True) -> DataFrame:
 
 
 def orders_bronze(raw: DataFrame, audit: bool = True) -> DataFrame:
-    """D3: audit columns, 4-layout order date."""
-    return _audit(raw, audit).withColumns(
+    """D3: audit columns, 4-layout order date (last)."""
+    return _date_last(_audit(raw, audit), "order_date").withColumns(
         {
-            "order_date": parse_mixed_date("order_date"),
             "order_id": _long("order_id"),
             "customer_id": _long("customer_id"),
             "product_id": _long("product_id"),

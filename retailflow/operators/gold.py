@@ -187,12 +187,10 @@ def product_performance_of(ranked: DataFrame, sort: bool = True) -> DataFrame:
     return out.orderBy(F.desc("total_revenue"), "product_id") if sort else out
 
 
-def product_performance(enriched: DataFrame, rank_method: str = "auto", sort: bool = True) -> DataFrame:
+def product_performance(enriched: DataFrame, sort: bool = True) -> DataFrame:
     """Per product, with a dense rank by revenue (ties share a rank);
-    the rank is taken on the exact revenue. ``rank_method``: ``auto`` (one
-    task under a proven row bound, range-parallel beyond), ``range`` or
-    ``window`` (see ``operators/ranking.py``)."""
-    ranked = dense_rank_desc(product_sales(enriched), "total_revenue", "product_rank", method=rank_method)
+    the rank is taken on the exact revenue (see ``operators/ranking.py``)."""
+    ranked = dense_rank_desc(product_sales(enriched), "total_revenue", "product_rank")
     return product_performance_of(ranked, sort=sort)
 
 

@@ -1,24 +1,20 @@
 """Global dense rank (W1) without funnelling every row into one task.
 
 ``dense_rank().over(Window.orderBy(...))`` has no partition key, so Spark
-moves all rows to a single task. That is fine for a few thousand products
-and fatal for billions. The range form computes the same ranks in
-parallel:
+moves all rows to a single task. Here the same ranks are computed in
+parallel, at every size in the same way:
 
-0. the input (already aggregated: one row per ranked entity) is
-   checkpointed once, so the expensive plan behind it runs once and not
-   once per use below;
 1. distinct values (hash aggregate: a value shared by a third of the rows
    collapses map-side, so no task sees more than its share);
-2. range-partition the distinct values in rank order and tag each row with
-   its partition id; the range bounds come from sampling, so the tagged
-   rows are checkpointed (reliable, to the shared checkpoint folder) to keep
-   the ids stable if a task is re-run;
-3. row_number inside each partition (values are distinct, so this is the
-   dense rank within the range);
-4. add the number of values in all earlier ranges (one row per partition,
-   a table whose size is bounded by the partition count, broadcast);
-5. join the ranks back on the value (null-safe: NULL ranks last).
+2. range-partition the distinct values in rank order, sort each range and
+   number it with ``monotonically_increasing_id``: its high bits are the
+   range, its low 33 bits the position in the range. The range bounds come
+   from sampling, so the numbered values are written as a table before they
+   are used more than once;
+3. add the number of values in all earlier ranges (one row per range, a
+   table whose size is bounded by the partition count, broadcast);
+4. join the ranks back on the value (null-safe: NULL ranks last). A value
+   that many rows share is a hot key of this join, which AQE splits.
 """
 
 from __future__ import annotations
@@ -26,89 +22,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retailflow.config import shared_root
+from retailflow.config import run_folder
 
-
-def dense_rank_window(df: DataFrame, value: str, out: str) -> DataFrame:
-    """The literal form: one global window, descending, NULLs last."""
-    return df.withColumn(out, F.dense_rank().over(Window.orderBy(F.col(value).desc_nulls_last())))
+# Position bits of monotonically_increasing_id.
+_POSITION_BITS = 33
 
 
 def range_tagged_values(df: DataFrame, value: str, partitions: int | None = None) -> DataFrame:
-    """Steps 1-2: the distinct values of ``value`` as ``_rv``, range
-    partitioned in rank order and tagged with their partition id ``_rp``.
-    Must be cut from its lineage (checkpoint or a written table) before it
-    is used more than once: the range bounds are sampled."""
+    """Steps 1-2: the distinct values of ``value`` as ``_rv``, numbered in
+    rank order as ``_at``. Must be cut from its lineage (a written table)
+    before it is used more than once: the range bounds are sampled."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = F.col("_rv").desc_nulls_last()
     return (
         df.select(F.col(value).alias("_rv"))
         .distinct()
         .repartitionByRange(n, order)
-        .withColumn("_rp", F.spark_partition_id())
+        .sortWithinPartitions(order)
+        .withColumn("_at", F.monotonically_increasing_id())
     )
 
 
 def ranks_of_tagged(tagged: DataFrame, out: str) -> DataFrame:
-    """Steps 3-4: ``(_rv, out)``, the dense rank of every distinct value."""
-    order = F.col("_rv").desc_nulls_last()
-    local = tagged.withColumn("_rr", F.row_number().over(Window.partitionBy("_rp").orderBy(order)))
+    """Step 3: ``(_rv, out)``, the dense rank of every distinct value."""
+    tagged = tagged.select(
+        "_rv",
+        F.shiftright("_at", _POSITION_BITS).alias("_rp"),
+        F.col("_at").bitwiseAND((1 << _POSITION_BITS) - 1).alias("_rr"),
+    )
+    earlier = F.sum("_rn").over(Window.orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1))
     offsets = (
-        tagged.groupBy("_rp")
-        .agg(F.count(F.lit(1)).alias("_rn"))
-        .withColumn(
-            "_ro",
-            F.coalesce(
-                F.sum("_rn").over(Window.orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ),
-        )
-        .select("_rp", "_ro")
+        tagged.groupBy("_rp").agg(F.count(F.lit(1)).alias("_rn")).select("_rp", F.coalesce(earlier, F.lit(0)).alias("_ro"))
     )
     # one row per range partition: bounded by the partition count
-    return local.join(F.broadcast(offsets), "_rp").select(
-        "_rv", (F.col("_rr") + F.col("_ro")).cast("int").alias(out)
+    return tagged.join(F.broadcast(offsets), "_rp").select(
+        "_rv", (F.col("_rr") + F.col("_ro") + 1).cast("int").alias(out)
     )
 
 
 def join_ranks(df: DataFrame, value: str, ranks: DataFrame) -> DataFrame:
-    """Step 5: attach the ranks on the value, NULL-safe (NULL ranks last)."""
+    """Step 4: attach the ranks on the value, NULL-safe (NULL ranks last)."""
     return df.join(ranks, df[value].eqNullSafe(ranks["_rv"]), "left").drop("_rv")
 
 
-def dense_rank_range(
-    df: DataFrame, value: str, out: str, partitions: int | None = None, cut_input: bool = True
-) -> DataFrame:
-    """Same result as :func:`dense_rank_window`, computed range-parallel.
-    ``cut_input=False`` when ``df`` is already cut from its lineage."""
-    shared_root(df.sparkSession)  # checkpoints go to the cluster's shared folder
-    if cut_input:
-        df = df.checkpoint(eager=True)
-    tagged = range_tagged_values(df, value, partitions).checkpoint(eager=True)
-    return join_ranks(df, value, ranks_of_tagged(tagged, out))
-
+def written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-# Rows up to which one task ranks them all (a sort of at most this many
-# narrow rows); beyond it the range-parallel form.
-WINDOW_MAX_ROWS = 1_000_000
 
-
-def dense_rank_auto(df: DataFrame, value: str, out: str, window_max_rows: int = WINDOW_MAX_ROWS) -> DataFrame:
-    """Window form under a proven row bound, range form beyond it. The input
-    is checkpointed once (the count and the rank then read it, not the plan
-    behind it)."""
-    shared_root(df.sparkSession)
-    df = df.checkpoint(eager=True)
-    if df.count() <= window_max_rows:
-        return dense_rank_window(df, value, out)
-    return dense_rank_range(df, value, out, cut_input=False)
-
-
-def dense_rank_desc(df: DataFrame, value: str, out: str, method: str = "auto") -> DataFrame:
-    if method == "auto":
-        return dense_rank_auto(df, value, out)
-    if method == "window":
-        return dense_rank_window(df, value, out)
-    if method == "range":
-        return dense_rank_range(df, value, out)
-    raise ValueError(f"unknown rank method {method!r}")
+def dense_rank_desc(df: DataFrame, value: str, out: str, partitions: int | None = None) -> DataFrame:
+    """``df`` with the dense rank by ``value``, descending. ``df`` and the
+    numbered values are written to the shared folder first, so the plan
+    behind ``df`` runs once and a lost executor cannot change the ranges."""
+    root = run_folder(df.sparkSession, "rank")
+    df = written(df, f"{root}/input")
+    tagged = written(range_tagged_values(df, value, partitions), f"{root}/values")
+    return join_ranks(df, value, ranks_of_tagged(tagged, out))

@@ -5,11 +5,12 @@ dimension), so they run on streams as well as on batches. The order fact
 is a stream-static left join: the streaming (or batch) fact side against
 snapshots of the product and customer dimensions.
 
-Join strategy: a dimension proven to have at most ``broadcast_max_rows``
-rows is broadcast (see ``operators/joins.py``), so the fact side is not
-shuffled; a larger one (customers at scale) is a sort-merge join, and AQE
-splits a skewed fact partition (e.g. one customer holding a third of all
-orders) into several tasks.
+Join strategy: plain equi left joins, chosen by Spark. A dimension read
+from a written table whose size in bytes lies under the broadcast threshold
+is broadcast; any other is a sort-merge join, which AQE turns into a
+broadcast join where the dimension proves small at run time, and whose
+skewed fact partitions (e.g. one customer holding a third of all orders)
+AQE splits into several tasks. No job runs while the plan is being built.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ from retailflow.functions import (
     ratio_pct,
 )
 from retailflow.operators.bronze import AUDIT_COLUMNS
-from retailflow.operators.joins import BROADCAST_MAX_ROWS, dimension_side, dimension_sides
 
 # Defaults for missing attributes, the factor that imputes a
 # missing price from the cost, and the upper cap of a discount.
@@ -39,6 +39,8 @@ UNKNOWN_CATEGORY = "UNKNOWN"
 PRICE_PER_COST = "1.5"
 DISCOUNT_CAP = "1.0"
 
+# The output columns of the customer dimension and of the
+# order fact, in order.
 CUSTOMER_COLUMNS = (
     "customer_id", "full_name", "first_name", "last_name",
     "geography_id", "country", "state", "city",
@@ -90,7 +92,6 @@ def dim_customer(
     bronze: DataFrame,
     geography: DataFrame,
     default_registration: date = DEFAULT_REGISTRATION_DATE,
-    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Customers with an id, left-joined to geography on geography_id;
     'Unknown' place for a missing geography, 0 for a missing geography id,
@@ -100,7 +101,7 @@ def dim_customer(
         .filter(F.col("customer_id").isNotNull())
         .select("customer_id", "first_name", "last_name", "geography_id", "registration_date", "phone")
     )
-    geo = dimension_side(geography.select("geography_id", "country", "state", "city"), broadcast_max_rows)
+    geo = geography.select("geography_id", "country", "state", "city")
     out = {
         "customer_id": F.col("customer_id"),
         "full_name": full_name("first_name", "last_name"),
@@ -123,7 +124,7 @@ def orders_silver(
     products: DataFrame,
     customers: DataFrame,
     as_of: date | None = None,
-    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
+    join_hint: str | None = None,
 ) -> DataFrame:
     """The order fact enriched with product and customer attributes.
 
@@ -131,12 +132,14 @@ def orders_silver(
     dimension columns stay NULL, and only then becomes 0. ``unit_price``
     falls back to the (possibly imputed) product price; the discount is
     capped at 1 from above only; an unreadable order date becomes
-    ``as_of`` (``current_date()`` when not given).
+    ``as_of`` (``current_date()`` when not given). ``join_hint`` asks for a
+    join strategy of the dimensions (``merge``: both sides are shuffled).
     """
     facts = orders.drop(*AUDIT_COLUMNS)
     prod = products.drop(*AUDIT_COLUMNS).select("product_id", "product_name", "category", "price", "cost")
     cust = customers.select("customer_id", "full_name", "country", "state", "city")
-    prod, cust = dimension_sides([prod, cust], broadcast_max_rows)
+    if join_hint:
+        prod, cust = prod.hint(join_hint), cust.hint(join_hint)
     enriched = facts.join(prod, on="product_id", how="left").join(cust, on="customer_id", how="left")
     defaults = {
         "quantity": default_to("quantity", F.lit(1).cast("long")),

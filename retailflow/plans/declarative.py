@@ -94,7 +94,7 @@ def customer_bronze_v1() -> DataFrame:
 def dim_customer_silver_v2() -> DataFrame:
     spark = _spark()
     return silver.dim_customer(
-        spark.readStream.table("customer_bronze_v1"), spark.read.table("geography_silver"), broadcast_max_rows=None
+        spark.readStream.table("customer_bronze_v1"), spark.read.table("geography_silver")
     )
 
 
@@ -114,7 +114,6 @@ def orders_silver() -> DataFrame:
         spark.read.table("product_silver_v2"),
         spark.read.table("dim_customer_silver_v2"),
         as_of=_as_of(),
-        broadcast_max_rows=None,
     )
 
 

@@ -38,7 +38,7 @@ geo_raw AS (
          'City_' || CAST(n.n_nationkey AS VARCHAR) AS city,
          CASE WHEN n.n_nationkey % 10 = 3 THEN NULL
               ELSE ' ab ' || CAST(n.n_nationkey + 10000 AS VARCHAR) || ' ' END AS postal_code
-  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+  FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 ),
 prod_raw AS (
   SELECT CAST(p_partkey + 1 AS BIGINT) AS product_id, p_name AS product_name,
@@ -85,7 +85,7 @@ ord_raw AS (
               ELSE {_money("round(l.l_discount * 100.0)")} END AS discount,
          CASE WHEN l.l_orderkey % 50 = 17 THEN NULL
               ELSE {_money("round(l.l_tax * 100.0 * 100.0)")} END AS shipping_cost
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
 json_raw AS (
   SELECT CASE WHEN event_id % 100 = 5 THEN NULL ELSE event_id + 1 END AS order_id,
@@ -325,7 +325,6 @@ def oracle_queries() -> dict[str, str]:
         "sales_by_geography": _q(SALES_BY_GEOGRAPHY),
         "customer_analytics": _q(CUSTOMER_ANALYTICS),
         "product_performance": _q(PRODUCT_PERFORMANCE),
-        "product_performance_window": _q(PRODUCT_PERFORMANCE),
         "monthly_sales_trend": _q(MONTHLY_SALES_TREND),
         "json_orders_bronze": _q("SELECT * FROM json_bronze"),
         "json_orders_silver": _q("SELECT * FROM json_silver"),

@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql.types import DataType, DoubleType
 
@@ -70,8 +71,11 @@ def run_gold(spark: SparkSession, wh: Warehouse, as_of: date | None = None) -> N
     enriched = spark.read.parquet(wh.table("gold_orders_enriched"))
 
     def build(name, fn):
-        df = fn(enriched, as_of=as_of, sort=False) if name == "customer_analytics" else fn(enriched, sort=False)
-        return lambda: refresh_table(df, wh, name)
+        def step() -> None:  # built in its own thread: the rank inputs are written there too
+            df = fn(enriched, as_of=as_of, sort=False) if name == "customer_analytics" else fn(enriched, sort=False)
+            refresh_table(df, wh, name)
+
+        return step
 
     # the six tables only read the enriched base: independent jobs
     run_concurrently(*[build(name, fn) for name, fn in gold.GOLD_TABLES.items()])
@@ -113,6 +117,11 @@ def catalog_properties(d: Dataset) -> dict[str, str]:
     return {(f"dataset.{k}" if k in RESERVED_PROPERTIES else k): v for k, v in d.properties.items()}
 
 
+def _quoted(text: str) -> str:
+    """``text`` as an SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def register_tables(spark: SparkSession, wh: Warehouse, schema: str, use: bool = False) -> list[str]:
     """K5, K6: create the schema and register every written table in it,
     with its comment and properties; ``use=True`` also makes it the current
@@ -125,14 +134,15 @@ def register_tables(spark: SparkSession, wh: Warehouse, schema: str, use: bool =
         path = wh.table(d.name)
         try:
             spark.read.parquet(path).schema
-        except Exception:  # not written in this run
-            continue
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            continue  # not written in this run
         full = f"{schema}.{d.name}"
         spark.sql(f"DROP TABLE IF EXISTS {full}")
-        comment = d.comment.replace("'", "\\'")
-        props = ", ".join(f"'{k}' = '{v}'" for k, v in catalog_properties(d).items())
+        props = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in catalog_properties(d).items())
         spark.sql(
-            f"CREATE TABLE {full} USING parquet LOCATION '{path}' COMMENT '{comment}'"
+            f"CREATE TABLE {full} USING parquet LOCATION {_quoted(path)} COMMENT {_quoted(d.comment)}"
             + (f" TBLPROPERTIES ({props})" if props else "")
         )
         done.append(full)

@@ -62,11 +62,11 @@ def dim_customer_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_silver_of(
-    spark: SparkSession, sf_dir: str, as_of: date = DEFAULT_AS_OF, broadcast_max_rows: int | None = silver.BROADCAST_MAX_ROWS
+    spark: SparkSession, sf_dir: str, as_of: date = DEFAULT_AS_OF, join_hint: str | None = None
 ) -> DataFrame:
     orders = bronze.orders_bronze(testdata.raw(spark, sf_dir, "orders"), audit=False)
     return silver.orders_silver(
-        orders, product_silver_of(spark, sf_dir), dim_customer_of(spark, sf_dir), as_of, broadcast_max_rows
+        orders, product_silver_of(spark, sf_dir), dim_customer_of(spark, sf_dir), as_of, join_hint
     )
 
 
@@ -122,7 +122,7 @@ def q_orders_silver(spark, sf_dir):
 def q_orders_silver_shuffle_join(spark, sf_dir):
     """The order fact with both dimension joins as shuffle (sort-merge)
     joins: the path a dimension too large to broadcast takes."""
-    return as_doubles(orders_silver_of(spark, sf_dir, broadcast_max_rows=0))
+    return as_doubles(orders_silver_of(spark, sf_dir, join_hint="merge"))
 
 
 def q_orders_enriched(spark, sf_dir):
@@ -146,11 +146,7 @@ def q_customer_analytics(spark, sf_dir):
 
 
 def q_product_performance(spark, sf_dir):
-    return gold.product_performance(enriched_of(spark, sf_dir), rank_method="range")
-
-
-def q_product_performance_window(spark, sf_dir):
-    return gold.product_performance(enriched_of(spark, sf_dir), rank_method="window")
+    return gold.product_performance(enriched_of(spark, sf_dir))
 
 
 def q_monthly_sales_trend(spark, sf_dir):
@@ -224,7 +220,6 @@ BATCH_QUERIES: dict[str, Query] = {
     "sales_by_geography": q_sales_by_geography,
     "customer_analytics": q_customer_analytics,
     "product_performance": q_product_performance,
-    "product_performance_window": q_product_performance_window,
     "monthly_sales_trend": q_monthly_sales_trend,
     "json_orders_bronze": q_json_orders_bronze,
     "json_orders_silver": q_json_orders_silver,
@@ -238,7 +233,7 @@ BATCH_QUERIES: dict[str, Query] = {
 
 # ---- registered streaming queries --------------------------------------------
 
-_STREAM_RUNS: dict[tuple[str, str], tuple[Landing, Warehouse]] = {}
+_STREAM_RUNS: dict[tuple[SparkSession, str], tuple[Landing, Warehouse]] = {}
 
 
 def streamed_run(spark: SparkSession, sf_dir: str) -> tuple[Landing, Warehouse]:
@@ -246,7 +241,7 @@ def streamed_run(spark: SparkSession, sf_dir: str) -> tuple[Landing, Warehouse]:
     on shared storage and run every streaming table over them with
     ``availableNow``. Done once per session and input folder; the stream
     and round-trip queries below read the resulting files and tables."""
-    key = (spark.conf.get("spark.app.id", ""), sf_dir)
+    key = (spark, sf_dir)
     if key not in _STREAM_RUNS:
         root = run_folder(spark, "stream")
         land = land_test_feeds(spark, sf_dir, f"{root}/landing")
@@ -296,7 +291,7 @@ def q_audit_columns(spark, sf_dir):
     return as_doubles(_streamed(spark, sf_dir, "orders_bronze_v1"))
 
 
-_GOLD_RUNS: set[tuple[str, str]] = set()
+_GOLD_RUNS: set[tuple[SparkSession, str]] = set()
 
 
 def _pipeline_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -305,7 +300,7 @@ def _pipeline_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     streamed silver tables."""
     from retailflow.plans.pipeline import run_gold, run_json_gold
 
-    key = (spark.conf.get("spark.app.id", ""), sf_dir)
+    key = (spark, sf_dir)
     wh = streamed_warehouse(spark, sf_dir)
     if key not in _GOLD_RUNS:
         run_gold(spark, wh, as_of=DEFAULT_AS_OF)

@@ -14,12 +14,18 @@ from pyspark.sql.types import DataType, DoubleType, StructType
 from retailflow import schemas
 
 
+# Bytes of input that a micro-batch takes at most (at least one file).
+MAX_BYTES_PER_TRIGGER = 256 * 1024**3
+
+
 def _reader(spark: SparkSession, stream: bool, schema: StructType, max_files: int | None):
+    """``max_files`` bounds a micro-batch by files instead of bytes (Spark
+    takes one of the two)."""
     r = spark.readStream if stream else spark.read
     r = r.schema(schema)
     if stream and max_files:
-        r = r.option("maxFilesPerTrigger", str(max_files))
-    return r
+        return r.option("maxFilesPerTrigger", str(max_files))
+    return r.option("maxBytesPerTrigger", str(MAX_BYTES_PER_TRIGGER)) if stream else r
 
 
 def read_customers(

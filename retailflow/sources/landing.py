@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,9 +65,10 @@ def write_single_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> N
     _csv_writer(df.coalesce(1), mode).csv(path)
 
 
-def write_csv_files(df: DataFrame, path: str, rows_per_file: int = CUSTOMER_FILE_ROWS, mode: str = "append") -> None:
-    """K9: CSV files of at most ``rows_per_file`` rows each."""
-    _csv_writer(df, mode).option("maxRecordsPerFile", rows_per_file).csv(path)
+def write_csv_files(df: DataFrame, path: str, rows_per_file: int | None = None, mode: str = "append") -> None:
+    """K9: CSV files, one per task, of at most ``rows_per_file`` rows each if
+    given (CUSTOMER_FILE_ROWS is the original feed's)."""
+    _csv_writer(df, mode).option("maxRecordsPerFile", rows_per_file or 0).csv(path)
 
 
 def write_by_category(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -111,6 +113,7 @@ def land_test_feeds(spark: SparkSession, sf_dir: str, root: str) -> Landing:
     ]
     # five independent writes: concurrent jobs share the executors
     with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-        for f in [pool.submit(w) for w in writes]:
+        carry = inheritable_thread_target(spark)
+        for f in [pool.submit(carry(w)) for w in writes]:
             f.result()
     return land

@@ -29,35 +29,15 @@ REGISTRATION_START = date(2020, 1, 1)
 REGISTRATION_DAYS = 1461
 
 
-# Tables with one row per business event or entity; the rest are a handful
-# of reference rows.
-_ROW_TABLES = ("lineitem", "orders", "events", "part", "customer")
-
-_LOADED: dict[tuple[str, str], DataFrame] = {}
+_LOADED: dict[tuple[SparkSession, str], DataFrame] = {}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table. The inputs are read-only, so the DataFrame (file listing
-    and footer schema) is built once per session and reused.
-
-    Each given file is a single parquet row group, which Spark can only scan
-    as one task: every per-row step up to the first shuffle would then run
-    on one core. A row table that plans to fewer scan partitions than the
-    cluster has cores is therefore spread round-robin over the cores first.
-    On a real layout (many files, many row groups) the scan already has
-    more partitions than cores and this adds nothing."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.conf.get("spark.app.id", ""), path)
+    and footer schema) is built once per session and reused."""
+    key = (spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
     if key not in _LOADED:
-        df = spark.read.parquet(path)
-        if name in _ROW_TABLES:
-            try:
-                cores = spark.sparkContext.defaultParallelism
-                if df.rdd.getNumPartitions() < cores:
-                    df = df.repartition(cores)
-            except Exception:  # Spark Connect: no SparkContext / RDD access
-                pass
-        _LOADED[key] = df
+        _LOADED[key] = spark.read.parquet(key[1])
     return _LOADED[key]
 
 
@@ -76,7 +56,7 @@ def raw_geographies(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = load(spark, sf_dir, "nation")
     r = load(spark, sf_dir, "region")
     k = F.col("n_nationkey")
-    return n.join(r, n.n_regionkey == r.r_regionkey, "inner").select(
+    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
         (k + 1).cast("bigint").alias("geography_id"),
         F.col("r_name").alias("country"),
         F.col("n_name").alias("state"),
@@ -146,7 +126,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"
     )
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    j = li.join(o, li.l_orderkey == o.o_orderkey, "left")
     k = F.col("l_orderkey")
     cust = F.col("o_custkey") + 1
     part = F.col("l_partkey") + 1
@@ -204,13 +184,13 @@ RAW_BUILDERS = {
     "json_orders": raw_json_orders,
 }
 
-_RAW: dict[tuple[str, str, str], DataFrame] = {}
+_RAW: dict[tuple[SparkSession, str, str], DataFrame] = {}
 
 
 def raw(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     """The raw feed ``feed`` derived from ``sf_dir``; the plan is built once
     per session (the inputs are read-only), the data is read on each use."""
-    key = (spark.conf.get("spark.app.id", ""), sf_dir, feed)
+    key = (spark, sf_dir, feed)
     if key not in _RAW:
         _RAW[key] = RAW_BUILDERS[feed](spark, sf_dir)
     return _RAW[key]

@@ -15,6 +15,7 @@ reads it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -31,12 +32,6 @@ from retailflow.sources import files
 from retailflow.sources.landing import Landing
 
 
-# Files per micro-batch. With availableNow a backlog is cut into batches of
-# this size, each committed on its own: a failure resumes from the last
-# committed batch instead of redoing the whole backlog.
-DEFAULT_MAX_FILES = 1000
-
-
 @dataclass(frozen=True)
 class Warehouse:
     """Where tables and their checkpoints live (a shared folder)."""
@@ -83,8 +78,24 @@ def run_concurrently(*steps: Callable[[], object]) -> list:
 
 
 def refresh_table(df: DataFrame, wh: Warehouse, name: str) -> None:
-    """Full recompute of a batch table (K2)."""
-    df.write.mode("overwrite").parquet(wh.table(name))
+    """Full recompute of a batch table (K2). The new version is written to a
+    folder of its own and takes the table's place by a rename once it is
+    complete: a failed write leaves the old table as it was."""
+    version = uuid.uuid4().hex[:12]
+    new = f"{wh.root}/versions/{name}-{version}"
+    df.write.parquet(new)
+    jvm = df.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(new).getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf())
+    table, old = path(wh.table(name)), path(f"{wh.root}/versions/{name}-until-{version}")
+    fs.mkdirs(table.getParent())
+    replaced = fs.exists(table) and fs.rename(table, old)
+    if not fs.rename(path(new), table):
+        if replaced:
+            fs.rename(old, table)
+        raise RuntimeError(f"table {name} could not be replaced")
+    if replaced:
+        fs.delete(old, True)
 
 
 def run_retail_streams(
@@ -93,7 +104,7 @@ def run_retail_streams(
     wh: Warehouse,
     as_of: date | None = None,
     money: DataType = DoubleType(),
-    max_files: int | None = DEFAULT_MAX_FILES,
+    max_files: int | None = None,
 ) -> dict[str, StreamingQuery]:
     """Bronze and silver of the retail pipeline. The product chain, the
     customer chain and the order bronze do not depend on each other and run
@@ -146,7 +157,7 @@ def run_json_streams(
     wh: Warehouse,
     bronze_rules: tuple[Expectation, ...] = (),
     silver_rules: tuple[Expectation, ...] = (),
-    max_files: int | None = DEFAULT_MAX_FILES,
+    max_files: int | None = None,
 ) -> dict[str, StreamingQuery]:
     """Bronze and silver of the JSON orders pipeline (D16, D17). Rule
     violation counts are observed as ``<table>_expectations``."""

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL oracle (DuckDB) on sf0.001:
+"""Every registered query of the retail pipeline against its SQL oracle (DuckDB) on sf0.001:
 same columns, same rows (exact)."""
 
 import math
@@ -10,6 +10,8 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from retailflow.plans.oracle import oracle_queries
+from retailflow.plans.queries import all_queries
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
@@ -35,11 +37,11 @@ def _bag(cols, rows):
     return Counter(tuple(norm(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = all_queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    sql = entry.oracle_sql().get(name)
+    sql = oracle_queries().get(name)
     if sql is None:
         assert len(rows) > 0
         return

@@ -3,10 +3,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from retailflow.operators import gold, silver
-from retailflow.operators.ranking import dense_rank_auto, dense_rank_range, dense_rank_window
+from retailflow.operators.ranking import dense_rank_desc
 
 AS_OF = dt.date(2005, 1, 1)
 D1 = dt.date(2024, 1, 15)
@@ -126,17 +127,15 @@ def test_unique_customers_counts_sentinel(fact):
     assert r.unique_customers == 1 and r.total_orders == 1
 
 
-def test_dense_rank_range_matches_window(spark):
-    vals = [(i, float(v) if v is not None else None) for i, v in enumerate(
-        [5, 3, 5, None, 1, 3, 9, 9, 0, None, 2, 7, 7, 7, 4] * 7
-    )]
-    df = spark.createDataFrame(vals, "k int, v double")
-    a = {r.k: r.r for r in dense_rank_window(df, "v", "r").collect()}
-    b = {r.k: r.r for r in dense_rank_range(df, "v", "r", partitions=4).collect()}
-    assert a == b
-    for bound in (10, 10_000):  # over the bound: range form; under it: window form
-        assert {r.k: r.r for r in dense_rank_auto(df, "v", "r", window_max_rows=bound).collect()} == a
-    assert a[6] == 1 and a[3] == max(a.values())  # NULL ranks last
+def test_dense_rank_matches_the_literal_window(spark):
+    values = [5, 3, 5, None, 1, 3, 9, 9, 0, None, 2, 7, 7, 7, 4] * 7 + [0] * 200  # ties, NULLs and a hot value
+    df = spark.createDataFrame([(i, None if v is None else float(v)) for i, v in enumerate(values)], "k int, v double")
+    literal = F.dense_rank().over(Window.orderBy(F.col("v").desc_nulls_last()))
+    want = {r.k: r.r for r in df.withColumn("r", literal).collect()}
+    for partitions in (1, 4, 50):
+        assert {r.k: r.r for r in dense_rank_desc(df, "v", "r", partitions).collect()} == want
+    assert want[6] == 1 and want[3] == max(want.values())  # NULL ranks last
+    assert dense_rank_desc(df.limit(0), "v", "r").collect() == []
 
 
 def test_zero_grand_total_gives_null_share(spark, dims):

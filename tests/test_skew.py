@@ -60,7 +60,7 @@ def test_hot_and_null_keys_are_split_and_results_whole(spark):
     n = 300_000
     with conf(spark, SKEW_CONF):
         orders, products, customers = _inputs(spark, n)
-        df = silver.orders_silver(orders, products, customers, broadcast_max_rows=None)
+        df = silver.orders_silver(orders, products, customers)
         rows = df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin(skew=true)" in plan
