@@ -18,7 +18,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from retailflow.config import DEFAULT_AS_OF, build_session, run_folder  # noqa: E402
+from retailflow.config import DEFAULT_AS_OF, DEFAULT_ORDER_DATE, build_session, run_folder  # noqa: E402
 from retailflow.plans import queries as Q  # noqa: E402
 from retailflow.plans.pipeline import run_pipeline  # noqa: E402
 from retailflow.schemas import MONEY_DECIMAL  # noqa: E402
@@ -46,7 +46,7 @@ def run_noop(df) -> None:
 def end_to_end(spark, sf_dir: str) -> None:
     root = run_folder(spark, "bench")
     land = land_test_feeds(spark, sf_dir, f"{root}/landing")
-    run_pipeline(spark, land, Warehouse(f"{root}/warehouse"), as_of=DEFAULT_AS_OF, money=MONEY_DECIMAL)
+    run_pipeline(spark, land, Warehouse(f"{root}/warehouse"), as_of=DEFAULT_AS_OF, money=MONEY_DECIMAL, order_date_default=DEFAULT_ORDER_DATE)
 
 
 def main() -> None:

@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 # The dates the registered queries use in place of
 # current_date(), so results are reproducible.
 DEFAULT_AS_OF = date(2005, 1, 1)
+DEFAULT_ORDER_DATE = date(2000, 1, 1)
 DEFAULT_REGISTRATION_DATE = date(2020, 1, 1)
 
 

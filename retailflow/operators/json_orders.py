@@ -6,7 +6,7 @@ also given as plain Spark SQL over a DataFrame parameter.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailflow.operators.expectations import Expectation, apply_expectations
@@ -22,15 +22,29 @@ def json_orders_bronze(
     return apply_expectations(df, expectations, observation)
 
 
+def utc_timestamp(name: str) -> Column:
+    """The moment that a text names, as wall-clock time in UTC whatever
+    the session time zone. All digits are seconds since 1970, a text with an
+    offset (or Z) is moved to UTC, one without is UTC already; unreadable
+    text becomes NULL."""
+    text = F.col(name)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    moment = F.when(text.rlike(r"^[0-9]+$"), F.timestamp_seconds(text.try_cast("long"))).otherwise(
+        text.try_cast("timestamp")
+    )
+    zoned = text.rlike(r"^[0-9]+$|:[0-9.]+ *(Z|[+-][0-9]{2}:?[0-9]{2})$")
+    return F.when(zoned, F.timestamp_add("MICROSECOND", F.unix_micros(moment), epoch)).otherwise(
+        text.try_cast("timestamp_ntz")
+    )
+
+
 def json_orders_silver(
     bronze: DataFrame, expectations: tuple[Expectation, ...] = (), observation=None
 ) -> DataFrame:
-    """Four columns, the timestamp text cast to a timestamp. The cast
-    is to a timestamp without time zone (the wall-clock time in the file is
-    kept whatever the session time zone); unreadable text becomes NULL."""
+    """Four columns, the timestamp text converted."""
     df = bronze.select(
         "order_id",
-        F.col("order_timestamp").try_cast("timestamp_ntz").alias("order_timestamp"),
+        utc_timestamp("order_timestamp").alias("order_timestamp"),
         "customer_id",
         "notifications",
     )

@@ -14,6 +14,7 @@ ranks are INTEGER.
 from __future__ import annotations
 
 AS_OF = "DATE '2005-01-01'"
+ORDER_DATE_DEFAULT = "DATE '2000-01-01'"
 REGISTRATION_DEFAULT = "DATE '2020-01-01'"
 
 
@@ -28,12 +29,16 @@ def _mixed_date(c: str) -> str:
     )
 
 
+_CHEAPNESS = (
+    "CASE WHEN l.l_orderkey % 150 = 149 THEN 100.0::DOUBLE WHEN l.l_orderkey % 150 = 74 THEN 10.0::DOUBLE "
+    "ELSE 1.0::DOUBLE END"
+)
 _PRICE = _money("round(p_retailprice * 100.0)")
 _REG = "(DATE '2020-01-01' + CAST(c_custkey % 1461 AS INTEGER))"
 
 CTES = f"""
 geo_raw AS (
-  SELECT CAST(n.n_nationkey + 1 AS BIGINT) AS geography_id,
+  SELECT CASE WHEN n.n_nationkey = 24 THEN NULL ELSE CAST(n.n_nationkey + 1 AS BIGINT) END AS geography_id,
          r.r_name AS country, n.n_name AS state,
          'City_' || CAST(n.n_nationkey AS VARCHAR) AS city,
          CASE WHEN n.n_nationkey % 10 = 3 THEN NULL
@@ -41,7 +46,7 @@ geo_raw AS (
   FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 ),
 prod_raw AS (
-  SELECT CAST(p_partkey + 1 AS BIGINT) AS product_id, p_name AS product_name,
+  SELECT CASE WHEN p_partkey % 150 = 149 THEN NULL ELSE CAST(p_partkey + 1 AS BIGINT) END AS product_id, p_name AS product_name,
          CASE WHEN p_partkey % 40 = 8 THEN NULL
               WHEN p_partkey % 20 = 1 THEN -{_PRICE}
               ELSE {_PRICE} END AS price,
@@ -51,7 +56,8 @@ prod_raw AS (
   FROM part
 ),
 cust_raw AS (
-  SELECT CAST(c_custkey + 1 AS BIGINT) AS customer_id,
+  SELECT CAST(CASE WHEN c_custkey % 120 = 119 THEN NULL WHEN c_custkey % 100 = 70 THEN c_custkey
+                   ELSE c_custkey + 1 END AS BIGINT) AS customer_id,
          CASE WHEN c_custkey % 90 = 4 THEN NULL ELSE 'First' || CAST(c_custkey % 10 AS VARCHAR) END AS first_name,
          CASE WHEN c_custkey % 90 = 4 THEN NULL ELSE c_mktsegment END AS last_name,
          'customer_' || CAST(c_custkey + 1 AS VARCHAR) || '@example.com' AS email,
@@ -77,11 +83,12 @@ ord_raw AS (
               WHEN l.l_orderkey % 20 = 3 THEN 'invalid'
               ELSE strftime(o.o_orderdate, '%Y-%m-%d') END AS order_date,
          CASE WHEN l.l_orderkey % 50 = 9 THEN -CAST(l.l_quantity AS BIGINT)
+              WHEN l.l_orderkey % 70 = 21 THEN NULL
               ELSE CAST(l.l_quantity AS BIGINT) END AS quantity,
-         CASE WHEN l.l_orderkey % 200 = 13 THEN NULL
-              ELSE {_money("floor(l.l_extendedprice * 100.0 / l.l_quantity)")} END AS unit_price,
+         CASE WHEN l.l_orderkey % 200 IN (13, 149) THEN NULL
+              ELSE {_money("floor(l.l_extendedprice * 100.0 / l.l_quantity / " + _CHEAPNESS + ")")} END AS unit_price,
          CASE WHEN l.l_orderkey % 25 = 4 THEN NULL
-              WHEN l.l_orderkey % 100 = 11 THEN CAST(1.50 AS DECIMAL(18,2))
+              WHEN l.l_orderkey % 100 = 11 OR l.l_orderkey % 200 = 99 THEN CAST(1.50 AS DECIMAL(18,2))
               ELSE {_money("round(l.l_discount * 100.0)")} END AS discount,
          CASE WHEN l.l_orderkey % 50 = 17 THEN NULL
               ELSE {_money("round(l.l_tax * 100.0 * 100.0)")} END AS shipping_cost
@@ -89,7 +96,11 @@ ord_raw AS (
 ),
 json_raw AS (
   SELECT CASE WHEN event_id % 100 = 5 THEN NULL ELSE event_id + 1 END AS order_id,
-         strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS order_timestamp,
+         CASE WHEN event_id % 50 = 7 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+05:00'
+              WHEN event_id % 50 = 8 THEN CAST(1640390400 + (event_id - 500) * 600 AS VARCHAR)
+              WHEN event_id % 50 = 9 THEN '2019-06-01 12:00:00'
+              WHEN event_id % 50 = 10 THEN 'not a time'
+              ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS order_timestamp,
          user_id AS customer_id, props AS notifications
   FROM events
 ),
@@ -138,7 +149,7 @@ dim_cust AS (
   WHERE c.customer_id IS NOT NULL
 ),
 ord_silver AS (
-  SELECT o.order_id, coalesce(o.order_date, {AS_OF}) AS order_date,
+  SELECT o.order_id, coalesce(o.order_date, {ORDER_DATE_DEFAULT}) AS order_date,
          coalesce(o.customer_id, 0) AS customer_id, coalesce(o.product_id, 0) AS product_id,
          coalesce(o.quantity, 1) AS quantity, coalesce(o.unit_price, p.price) AS unit_price,
          least(coalesce(o.discount, 0.0), 1.0) AS discount, coalesce(o.shipping_cost, 0.0) AS shipping_cost,
@@ -159,7 +170,13 @@ json_bronze AS (
   SELECT order_id, order_timestamp, customer_id, notifications FROM json_raw
 ),
 json_silver AS (
-  SELECT order_id, TRY_CAST(order_timestamp AS TIMESTAMP) AS order_timestamp, customer_id, notifications
+  SELECT order_id,
+         CASE WHEN regexp_full_match(order_timestamp, '[0-9]+')
+              THEN make_timestamp(CAST(order_timestamp AS BIGINT) * 1000000)
+              WHEN regexp_matches(order_timestamp, '[+-][0-9][0-9]:00$')
+              THEN strptime(left(order_timestamp, 19), '%Y-%m-%dT%H:%M:%S')
+                   - CAST(left(right(order_timestamp, 6), 3) AS INTEGER) * INTERVAL 1 HOUR
+              ELSE TRY_CAST(order_timestamp AS TIMESTAMP) END AS order_timestamp, customer_id, notifications
   FROM json_bronze
 )
 """

@@ -92,13 +92,16 @@ def run_pipeline(
     wh: Warehouse,
     as_of: date | None = None,
     money: DataType = DoubleType(),
+    order_date_default: date | None = None,
     json_rules: tuple = ((), ()),
 ) -> None:
     """Everything in dependency order: streams first, then the batch gold.
-    The retail and the JSON pipelines share nothing and run side by side."""
+    The retail and the JSON pipelines share nothing and run side by side.
+    ``as_of`` stands for today, ``order_date_default`` (else ``as_of``) for
+    the date of an order whose date cannot be read."""
 
     def retail() -> None:
-        run_retail_streams(spark, landing, wh, as_of=as_of, money=money)
+        run_retail_streams(spark, landing, wh, as_of=order_date_default or as_of, money=money)
         run_gold(spark, wh, as_of=as_of)
 
     def json_orders_pipeline() -> None:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from retailflow.config import DEFAULT_AS_OF, run_folder
+from retailflow.config import DEFAULT_AS_OF, DEFAULT_ORDER_DATE, run_folder
 from retailflow.functions import digits_to_long, normalize_postal, parse_mixed_date
 from retailflow.operators import bronze, gold, json_orders, silver
 from retailflow.operators.expectations import (
@@ -62,7 +62,7 @@ def dim_customer_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_silver_of(
-    spark: SparkSession, sf_dir: str, as_of: date = DEFAULT_AS_OF, join_hint: str | None = None
+    spark: SparkSession, sf_dir: str, as_of: date = DEFAULT_ORDER_DATE, join_hint: str | None = None
 ) -> DataFrame:
     orders = bronze.orders_bronze(testdata.raw(spark, sf_dir, "orders"), audit=False)
     return silver.orders_silver(
@@ -70,7 +70,7 @@ def orders_silver_of(
     )
 
 
-def enriched_of(spark: SparkSession, sf_dir: str, as_of: date = DEFAULT_AS_OF) -> DataFrame:
+def enriched_of(spark: SparkSession, sf_dir: str, as_of: date = DEFAULT_ORDER_DATE) -> DataFrame:
     return gold.orders_enriched(orders_silver_of(spark, sf_dir, as_of))
 
 
@@ -246,7 +246,7 @@ def streamed_run(spark: SparkSession, sf_dir: str) -> tuple[Landing, Warehouse]:
         root = run_folder(spark, "stream")
         land = land_test_feeds(spark, sf_dir, f"{root}/landing")
         wh = Warehouse(f"{root}/warehouse")
-        run_retail_streams(spark, land, wh, as_of=DEFAULT_AS_OF, money=MONEY_DECIMAL)
+        run_retail_streams(spark, land, wh, as_of=DEFAULT_ORDER_DATE, money=MONEY_DECIMAL)
         run_json_streams(spark, land.json_source, wh)
         _STREAM_RUNS[key] = (land, wh)
     return _STREAM_RUNS[key]

@@ -57,7 +57,7 @@ def raw_geographies(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = load(spark, sf_dir, "region")
     k = F.col("n_nationkey")
     return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
-        (k + 1).cast("bigint").alias("geography_id"),
+        F.when(k == 24, F.lit(None)).otherwise(k + 1).cast("bigint").alias("geography_id"),
         F.col("r_name").alias("country"),
         F.col("n_name").alias("state"),
         F.concat(F.lit("City_"), k.cast("string")).alias("city"),
@@ -74,7 +74,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     price = money_from_cents(cents(F.col("p_retailprice")))
     return p.select(
-        (k + 1).cast("bigint").alias("product_id"),
+        F.when(k % 150 == 149, F.lit(None)).otherwise(k + 1).cast("bigint").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.when(k % 40 == 8, F.lit(None).cast("decimal(18,2)"))
         .when(k % 20 == 1, -price)
@@ -97,7 +97,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     fmt = k % 30
     no_name = k % 90 == 4
     return c.select(
-        (k + 1).cast("bigint").alias("customer_id"),
+        F.when(k % 120 == 119, F.lit(None)).when(k % 100 == 70, k).otherwise(k + 1).cast("bigint").alias("customer_id"),
         F.when(no_name, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("First"), (k % 10).cast("string")))
         .alias("first_name"),
@@ -133,6 +133,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = F.col("o_orderdate")
     m = k % 20
     qty = F.col("l_quantity").cast("bigint")
+    # orphan customers have few orders: low prices bring them into the lower segments
+    cheapness = F.when(k % 150 == 149, 100.0).when(k % 150 == 74, 10.0).otherwise(1.0)
     return j.select(
         k.alias("order_id"),
         F.when(k % 100 == 7, F.lit(None).cast("double"))
@@ -146,16 +148,16 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(m == 3, F.lit("invalid"))
         .otherwise(F.date_format(od, "yyyy-MM-dd"))
         .alias("order_date"),
-        F.when(k % 50 == 9, -qty).otherwise(qty).alias("quantity"),
-        F.when(k % 200 == 13, F.lit(None).cast("decimal(18,2)"))
+        F.when(k % 50 == 9, -qty).when(k % 70 == 21, F.lit(None)).otherwise(qty).cast("bigint").alias("quantity"),
+        F.when((k % 200).isin(13, 149), F.lit(None).cast("decimal(18,2)"))
         .otherwise(
             money_from_cents(
-                F.floor(F.col("l_extendedprice") * F.lit(100.0) / F.col("l_quantity")).cast("bigint")
+                F.floor(F.col("l_extendedprice") * F.lit(100.0) / F.col("l_quantity") / cheapness).cast("bigint")
             )
         )
         .alias("unit_price"),
         F.when(k % 25 == 4, F.lit(None).cast("decimal(18,2)"))
-        .when(k % 100 == 11, F.lit(Decimal("1.50")).cast("decimal(18,2)"))
+        .when((k % 100 == 11) | (k % 200 == 99), F.lit(Decimal("1.50")).cast("decimal(18,2)"))
         .otherwise(money_from_cents(cents(F.col("l_discount"))))
         .alias("discount"),
         F.when(k % 50 == 17, F.lit(None).cast("decimal(18,2)"))
@@ -165,12 +167,19 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_json_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON orders from the event table; some ids missing (DROP-rule bait)."""
+    """JSON orders from the event table; some ids missing and some times
+    long past (DROP-rule bait), times with an offset, as epoch seconds around
+    2021-12-25, and unreadable."""
     e = load(spark, sf_dir, "events")
     k = F.col("event_id")
     return e.select(
         F.when(k % 100 == 5, F.lit(None).cast("bigint")).otherwise(k + 1).alias("order_id"),
-        F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("order_timestamp"),
+        F.when(k % 50 == 7, F.concat(F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:00")))
+        .when(k % 50 == 8, (F.lit(1640390400) + (k - 500) * 600).cast("string"))
+        .when(k % 50 == 9, F.lit("2019-06-01 12:00:00"))
+        .when(k % 50 == 10, F.lit("not a time"))
+        .otherwise(F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        .alias("order_timestamp"),
         F.col("user_id").alias("customer_id"),
         F.col("props").alias("notifications"),
     )

@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from retailflow.config import DEFAULT_AS_OF
+from retailflow.config import DEFAULT_AS_OF, DEFAULT_ORDER_DATE
 from retailflow.operators.expectations import VALID_ORDER_ID_DROP
 from retailflow.plans import queries as Q
 from retailflow.plans.pipeline import DATASETS, register_tables, run_pipeline
@@ -22,7 +22,7 @@ def pipeline(spark):
     root = run_folder(spark, "test-pipeline")
     land = land_test_feeds(spark, SF_SMALL, f"{root}/landing")
     wh = Warehouse(f"{root}/warehouse")
-    run_pipeline(spark, land, wh, as_of=DEFAULT_AS_OF, money=MONEY_DECIMAL, json_rules=((VALID_ORDER_ID_DROP,), ()))
+    run_pipeline(spark, land, wh, as_of=DEFAULT_AS_OF, money=MONEY_DECIMAL, order_date_default=DEFAULT_ORDER_DATE, json_rules=((VALID_ORDER_ID_DROP,), ()))
     return wh
 
 

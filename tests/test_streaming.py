@@ -25,7 +25,7 @@ def streamed(spark):
     root = run_folder(spark, "test-stream")
     land = land_test_feeds(spark, SF_SMALL, f"{root}/landing")
     wh = Warehouse(f"{root}/warehouse")
-    run_retail_streams(spark, land, wh, as_of=Q.DEFAULT_AS_OF, money=MONEY_DECIMAL)
+    run_retail_streams(spark, land, wh, as_of=Q.DEFAULT_ORDER_DATE, money=MONEY_DECIMAL)
     return land, wh
 
 
@@ -41,7 +41,7 @@ def test_stream_equals_batch(spark, streamed):
 def test_small_micro_batches_give_the_same_rows(spark, streamed, scratch):
     land, _ = streamed
     wh = Warehouse(f"{scratch}/wh")
-    runs = run_retail_streams(spark, land, wh, as_of=Q.DEFAULT_AS_OF, money=MONEY_DECIMAL, max_files=2)
+    runs = run_retail_streams(spark, land, wh, as_of=Q.DEFAULT_ORDER_DATE, money=MONEY_DECIMAL, max_files=2)
     assert len([p for p in runs["orders_bronze_v1"].recentProgress if p["numInputRows"] > 0]) > 1
     s = Q.as_doubles(spark.read.parquet(wh.table("orders_silver")))
     b = Q.q_orders_silver(spark, SF_SMALL)
@@ -51,12 +51,12 @@ def test_small_micro_batches_give_the_same_rows(spark, streamed, scratch):
 def test_rerun_adds_nothing_and_new_file_adds_its_rows(spark, streamed):
     land, wh = streamed
     before = spark.read.parquet(wh.table("orders_silver")).count()
-    run_retail_streams(spark, land, wh, as_of=Q.DEFAULT_AS_OF, money=MONEY_DECIMAL)
+    run_retail_streams(spark, land, wh, as_of=Q.DEFAULT_ORDER_DATE, money=MONEY_DECIMAL)
     assert spark.read.parquet(wh.table("orders_silver")).count() == before
     # one more file of orders lands
     extra = testdata.raw_orders(spark, SF_SMALL).limit(7)
     extra.write.mode("append").parquet(f"{land.orders}/year_month=2099-01")
-    run_retail_streams(spark, land, wh, as_of=Q.DEFAULT_AS_OF, money=MONEY_DECIMAL)
+    run_retail_streams(spark, land, wh, as_of=Q.DEFAULT_ORDER_DATE, money=MONEY_DECIMAL)
     assert spark.read.parquet(wh.table("orders_silver")).count() == before + 7
 
 
