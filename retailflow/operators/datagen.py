@@ -1,14 +1,12 @@
 """Distributed generator of realistic dirty retail data.
 
-Every value is a pure function of the row's id, a seed and a per-column
-salt: a uniform number comes from integer mixing modulo the prime
-2^31 - 1 (an affine step, then two squaring steps; every product stays
-below 2^62, so nothing overflows, ANSI mode or not). So the output does not
-depend on partitioning or on which executor computes a row (a lost task
-recomputes the same rows), any row count works - ids come from
-``spark.range(n)`` or from an existing table - and plain SQL can compute
-the same values, which is how the generated rows are checked. Money is
-drawn as whole cents.
+Every value is a pure function of the row's id, a seed and the column's
+name: a uniform number is 52 bits of the md5 of the three. So the output
+does not depend on partitioning or on which executor computes a row (a lost
+task recomputes the same rows), any row count works without repeating -
+ids come from ``spark.range(n)`` or from an existing table - and plain SQL
+can compute the same values, which is how the generated rows are checked.
+Money is drawn as whole cents.
 
 Faults are injected per row with the stated probability (so their counts
 are within sampling tolerance of the target rate, not exact).
@@ -41,32 +39,15 @@ CUSTOMER_BAD_DATE, CUSTOMER_PHONE_NULL, CUSTOMER_GEO_NULL = 0.10, 0.05, 0.03
 ORDER_BAD_DATE, ORDER_NEGATIVE_QTY, ORDER_BIG_DISCOUNT = 0.15, 0.02, 0.01
 ORDER_DISCOUNT_NULL, ORDER_SHIPPING_NULL, ORDER_CUSTOMER_NULL = 0.04, 0.02, 0.01
 
-MODULUS = 2147483647  # the prime 2^31 - 1
-MULTIPLIER = 48271
-
-# One salt per generated column, so columns draw independently.
-SALTS = {
-    "postal": 1, "postal_null": 2, "price": 3, "neg_price": 4, "cost": 5, "supplier_null": 6,
-    "supplier": 7, "category_null": 8, "category": 9, "reg": 10, "ph1": 11, "ph2": 12, "ph3": 13,
-    "first": 14, "last": 15, "phone_null": 16, "geo_null": 17, "geo": 18, "reg_fmt": 19,
-    "date": 20, "qty": 21, "big_disc": 22, "big_disc_v": 23, "disc": 24, "cust_null": 25,
-    "cust": 26, "prod": 27, "date_fmt": 28, "neg_qty": 29, "disc_null": 30, "ship_null": 31,
-    "ship": 32,
-}
-
-
-def offset(seed: int, salt: int) -> int:
-    """The additive constant of the affine step for (seed, salt)."""
-    return (seed * 7919 + salt * 104729) % MODULUS
+# Bits of the md5 that a uniform number uses: all of a double's precision.
+_BITS = 52
 
 
 def uniform(id_col: Column, seed: int, salt: str) -> Column:
     """A U[0,1) double from the row id; independent per ``salt``."""
-    k = SALTS[salt]
-    x = (F.pmod(id_col, F.lit(MODULUS)) * F.lit(MULTIPLIER) + F.lit(offset(seed, k))) % F.lit(MODULUS)
-    x = (x * x + F.lit(k)) % F.lit(MODULUS)
-    x = (x * x + F.lit(seed)) % F.lit(MODULUS)
-    return x.cast("double") / F.lit(float(MODULUS))
+    text = F.concat_ws(":", id_col.cast("string"), F.lit(str(seed)), F.lit(salt))
+    bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, _BITS // 4), 16, 10).cast("long")
+    return bits.cast("double") / F.lit(float(1 << _BITS))
 
 
 def between(u: Column, lo: float, hi: float) -> Column:
@@ -199,6 +180,42 @@ def orders(
     )
 
 
+def fault_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Faults per generated table and column (G5-G8): missing values, negative
+    amounts, discounts of 1 and more, dates that are not in the ISO layout."""
+    iso = r"^\d{4}-\d{2}-\d{2}$"
+    faults = {
+        "null": lambda c: c.isNull(),
+        "negative": lambda c: c < 0,
+        "discount": lambda c: c >= 1,
+        "date": lambda c: ~c.rlike(iso),
+    }
+    watched = {
+        "geographies": {"postal_code": ("null",)},
+        "products": {"price": ("negative",), "category": ("null",), "supplier_id": ("null",)},
+        "customers": {"registration_date": ("date",), "phone": ("null",), "geography_id": ("null",)},
+        "orders": {
+            "order_date": ("date",), "quantity": ("negative",), "discount": ("null", "discount"),
+            "shipping_cost": ("null",), "customer_id": ("null",),
+        },
+    }
+    out = None
+    for name, df in tables.items():
+        checks = [(c, f) for c, kinds in watched[name].items() for f in kinds]
+        sums = df.agg(*(F.count(F.when(faults[f](F.col(c)), F.lit(1))).alias(f"{c}:{f}") for c, f in checks))
+        rows = F.explode(
+            F.array(
+                *(
+                    F.struct(F.lit(c).alias("column_name"), F.lit(f).alias("fault"), F.col(f"`{c}:{f}`").alias("faults"))
+                    for c, f in checks
+                )
+            )
+        )
+        part = sums.select(F.lit(name).alias("dataset"), rows.alias("r")).select("dataset", "r.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def summary(tables: dict[str, DataFrame], id_columns: dict[str, str]) -> DataFrame:
     """Rows and distinct ids per generated table, as one DataFrame
     (one small aggregate per table, unioned)."""

@@ -365,20 +365,11 @@ def oracle_queries() -> dict[str, str]:
         f"strftime({_mixed_date('order_date')}, '%Y-%m') AS year_month FROM ord_raw"
     )
     q["roundtrip_json_orders"] = _q("SELECT * FROM json_raw")
-    q["datagen_summary"] = """
-SELECT 'geographies' AS dataset, count(*) AS row_count, count(DISTINCT n_nationkey + 1) AS distinct_ids FROM nation
-UNION ALL SELECT 'products', count(*), count(DISTINCT p_partkey + 1) FROM part
-UNION ALL SELECT 'customers', count(*), count(DISTINCT c_custkey + 1) FROM customer
-UNION ALL SELECT 'orders', count(*), count(DISTINCT l_orderkey * 8 + l_linenumber) FROM lineitem
-"""
-    q["datagen_layouts"] = """
-SELECT 'products' AS dataset, count(*) AS row_count, count(DISTINCT p_partkey + 1) AS distinct_ids FROM part
-UNION ALL SELECT 'orders', count(*), count(DISTINCT l_orderkey * 8 + l_linenumber) FROM lineitem
-"""
     for t in ("sales_by_date", "sales_by_category", "sales_by_geography", "customer_analytics",
               "product_performance", "monthly_sales_trend", "orders_by_date"):
         q[f"pipeline_{t}"] = q[t]
     q.update(datagen_oracles())
+    q.update(provenance_oracles())
     q["stream_product_silver"] = q["product_silver"]
     q["stream_dim_customer"] = q["dim_customer"]
     q["stream_orders_silver"] = q["orders_silver"]
@@ -391,21 +382,14 @@ UNION ALL SELECT 'orders', count(*), count(DISTINCT l_orderkey * 8 + l_linenumbe
 # ---- the generator, restated in SQL ------------------------------------------------
 
 
-def _gen_uniforms(ids_sql: str, salts: list[str]) -> str:
-    """A subquery with ``gen_id`` and one ``u_<salt>`` column per salt: the
-    generator's integer mixing modulo 2^31 - 1, step by step."""
-    from retailflow.operators import datagen as G
-
-    m, seed = G.MODULUS, G.DEFAULT_SEED
-    s0 = ", ".join(
-        f"((gen_id % {m}) * {G.MULTIPLIER} + {G.offset(seed, G.SALTS[s])}) % {m} AS x_{s}" for s in salts
-    )
-    s1 = ", ".join(f"(x_{s} * x_{s} + {G.SALTS[s]}) % {m} AS x_{s}" for s in salts)
-    s2 = ", ".join(f"CAST((x_{s} * x_{s} + {seed}) % {m} AS DOUBLE) / {float(m)} AS u_{s}" for s in salts)
-    return (
-        f"(SELECT gen_id, {s2} FROM (SELECT gen_id, {s1} FROM "
-        f"(SELECT gen_id, {s0} FROM ({ids_sql}) ids) a) b)"
+def _gen_uniforms(table: str, salts: list[str]) -> str:
+    """A subquery with ``gen_id`` 1..n for the n rows of ``table`` and one
+    ``u_<salt>`` column per salt: 52 bits of the md5 of id, seed and salt."""
+    draws = ", ".join(
+        f"CAST(CAST('0x' || substr(md5(gen_id || ':42:{s}'), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0::DOUBLE AS u_{s}"
+        for s in salts
     )
+    return f"(SELECT gen_id, {draws} FROM (SELECT unnest(range(1, (SELECT count(*) FROM {table}) + 1)) AS gen_id) ids)"
 
 
 def _randint(u: str, lo: int, span: str) -> str:
@@ -431,78 +415,151 @@ def _date_text(d: str, u: str, rate: float, layouts: list[str], invalid: str) ->
 
 
 def datagen_oracles() -> dict[str, str]:
-    from retailflow.operators import datagen as G
-
+    """The generator's rules with their values spelt out."""
     q = {}
-    # geographies: one per nation
-    countries, upper, bands = G.COUNTRY_SPLIT, 0.0, []
+    u = _gen_uniforms("nation", ["postal", "postal_null"])
     frac = "CAST(gen_id - 1 AS DOUBLE) / CAST((SELECT count(*) FROM nation) AS DOUBLE)"
-    for name, share in countries[:-1]:
-        upper += share
-        bands.append(f"WHEN {frac} < {upper!r} THEN '{name}'")
-    states = ", ".join(f"'{s}'" for s in G.STATES)
-    u = _gen_uniforms("SELECT CAST(n_nationkey + 1 AS BIGINT) AS gen_id FROM nation", ["postal", "postal_null"])
     q["datagen_geographies"] = f"""
 SELECT gen_id AS geography_id,
-       CASE {' '.join(bands)} ELSE '{countries[-1][0]}' END AS country,
-       ([{states}])[((gen_id - 1) % {len(G.STATES)}) + 1] AS state,
+       CASE WHEN {frac} < 0.6::DOUBLE THEN 'USA' WHEN {frac} < 0.8::DOUBLE THEN 'Canada' ELSE 'Mexico' END AS country,
+       (['CA', 'NY', 'TX', 'FL', 'IL'])[((gen_id - 1) % 5) + 1] AS state,
        'City_' || CAST(gen_id AS VARCHAR) AS city,
-       CASE WHEN u_postal_null < {G.GEO_POSTAL_NULL!r} THEN NULL
+       CASE WHEN u_postal_null < 0.1::DOUBLE THEN NULL
             ELSE CAST({_randint('u_postal', 10000, '90000')} AS VARCHAR) END AS postal_code
 FROM {u} g"""
-    # products: one per part
     u = _gen_uniforms(
-        "SELECT CAST(p_partkey + 1 AS BIGINT) AS gen_id FROM part",
-        ["price", "neg_price", "cost", "supplier_null", "supplier", "category_null", "category"],
+        "part", ["price", "neg_price", "cost", "supplier_null", "supplier", "category_null", "category"]
     )
     price = _cents("u_price", 10, 500)
+    categories = ("Electronics", "Clothing", "Food", "Books", "Toys", "Home", "Sports", "Beauty")
     q["datagen_products"] = f"""
 SELECT gen_id AS product_id, 'Product_' || CAST(gen_id AS VARCHAR) AS product_name,
-       CASE WHEN u_neg_price < {G.PRODUCT_NEGATIVE_PRICE!r} THEN -{price} ELSE {price} END AS price,
+       CASE WHEN u_neg_price < 0.05::DOUBLE THEN -{price} ELSE {price} END AS price,
        {_cents('u_cost', 5, 400)} AS cost,
-       CASE WHEN u_supplier_null < {G.PRODUCT_SUPPLIER_NULL!r} THEN NULL
+       CASE WHEN u_supplier_null < 0.03::DOUBLE THEN NULL
             ELSE CAST({_randint('u_supplier', 1, '(SELECT count(*) FROM supplier)')} AS DOUBLE) END AS supplier_id,
-       CASE WHEN u_category_null < {G.PRODUCT_CATEGORY_NULL!r} THEN NULL
-            ELSE {_pick('u_category', G.CATEGORIES)} END AS category
+       CASE WHEN u_category_null < 0.08::DOUBLE THEN NULL ELSE {_pick('u_category', categories)} END AS category
 FROM {u} g"""
-    # customers: one per test customer
     u = _gen_uniforms(
-        "SELECT CAST(c_custkey + 1 AS BIGINT) AS gen_id FROM customer",
-        ["reg", "ph1", "ph2", "ph3", "first", "last", "phone_null", "geo_null", "geo", "reg_fmt"],
+        "customer", ["reg", "ph1", "ph2", "ph3", "first", "last", "phone_null", "geo_null", "geo", "reg_fmt"]
     )
-    reg = f"(DATE '{G.REGISTRATION_START.isoformat()}' + CAST({_randint('u_reg', 0, str(G.REGISTRATION_DAYS + 1))} AS INTEGER))"
+    reg = f"(DATE '2020-01-01' + CAST({_randint('u_reg', 0, '1461')} AS INTEGER))"
     phone = (
         f"printf('%d-%d-%d', {_randint('u_ph1', 100, '900')}, {_randint('u_ph2', 100, '900')}, "
         f"{_randint('u_ph3', 1000, '9000')})"
     )
+    first = ("John", "Jane", "Mike", "Sarah", "David", "Emily", "Chris", "Lisa", "Tom", "Amy")
+    last = (
+        "Smith", "Johnson", "Williams", "Brown", "Jones", "Garcia", "Miller", "Davis", "Rodriguez", "Martinez",
+    )
     q["datagen_customers"] = f"""
-SELECT gen_id AS customer_id, {_pick('u_first', G.FIRST_NAMES)} AS first_name,
-       {_pick('u_last', G.LAST_NAMES)} AS last_name,
+SELECT gen_id AS customer_id, {_pick('u_first', first)} AS first_name, {_pick('u_last', last)} AS last_name,
        'customer_' || CAST(gen_id AS VARCHAR) || '@example.com' AS email,
-       CASE WHEN u_phone_null < {G.CUSTOMER_PHONE_NULL!r} THEN NULL ELSE {phone} END AS phone,
-       CASE WHEN u_geo_null < {G.CUSTOMER_GEO_NULL!r} THEN NULL
+       CASE WHEN u_phone_null < 0.05::DOUBLE THEN NULL ELSE {phone} END AS phone,
+       CASE WHEN u_geo_null < 0.03::DOUBLE THEN NULL
             ELSE CAST({_randint('u_geo', 1, '(SELECT count(*) FROM nation)')} AS DOUBLE) END AS geography_id,
-       {_date_text(reg, 'u_reg_fmt', G.CUSTOMER_BAD_DATE, ['%m/%d/%Y', '%d-%m-%Y'], 'invalid_date')} AS registration_date
+       {_date_text(reg, 'u_reg_fmt', 0.1, ['%m/%d/%Y', '%d-%m-%Y'], 'invalid_date')} AS registration_date
 FROM {u} g"""
-    # orders: one per lineitem
     u = _gen_uniforms(
-        "SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS gen_id FROM lineitem",
+        "lineitem",
         ["date", "qty", "big_disc", "big_disc_v", "disc", "cust_null", "cust", "prod", "date_fmt",
          "neg_qty", "price", "disc_null", "ship_null", "ship"],
-    )
-    od = f"(DATE '{G.ORDER_START.isoformat()}' + CAST({_randint('u_date', 0, str(G.ORDER_DAYS + 1))} AS INTEGER))"
+    )
+    od = f"(DATE '2023-01-01' + CAST({_randint('u_date', 0, '731')} AS INTEGER))"
     qty = _randint("u_qty", 1, "10")
     q["datagen_orders"] = f"""
 SELECT gen_id AS order_id,
-       CASE WHEN u_cust_null < {G.ORDER_CUSTOMER_NULL!r} THEN NULL
+       CASE WHEN u_cust_null < 0.01::DOUBLE THEN NULL
             ELSE CAST({_randint('u_cust', 1, '(SELECT count(*) FROM customer)')} AS DOUBLE) END AS customer_id,
        {_randint('u_prod', 1, '(SELECT count(*) FROM part)')} AS product_id,
-       {_date_text(od, 'u_date_fmt', G.ORDER_BAD_DATE, ['%m/%d/%Y', '%d-%m-%Y', '%Y%m%d'], 'invalid')} AS order_date,
-       CASE WHEN u_neg_qty < {G.ORDER_NEGATIVE_QTY!r} THEN -{qty} ELSE {qty} END AS quantity,
+       {_date_text(od, 'u_date_fmt', 0.15, ['%m/%d/%Y', '%d-%m-%Y', '%Y%m%d'], 'invalid')} AS order_date,
+       CASE WHEN u_neg_qty < 0.02::DOUBLE THEN -{qty} ELSE {qty} END AS quantity,
        {_cents('u_price', 10, 500)} AS unit_price,
-       CASE WHEN u_disc_null < {G.ORDER_DISCOUNT_NULL!r} THEN NULL
-            WHEN u_big_disc < {G.ORDER_BIG_DISCOUNT!r} THEN {_cents('u_big_disc_v', 1.0, 2.0)}
+       CASE WHEN u_disc_null < 0.04::DOUBLE THEN NULL
+            WHEN u_big_disc < 0.01::DOUBLE THEN {_cents('u_big_disc_v', 1.0, 2.0)}
             ELSE {_cents('u_disc', 0.0, 0.3)} END AS discount,
-       CASE WHEN u_ship_null < {G.ORDER_SHIPPING_NULL!r} THEN NULL ELSE {_cents('u_ship', 5, 50)} END AS shipping_cost
+       CASE WHEN u_ship_null < 0.02::DOUBLE THEN NULL ELSE {_cents('u_ship', 5, 50)} END AS shipping_cost
 FROM {u} g"""
+    tables = {"geographies": "geography_id", "products": "product_id", "customers": "customer_id", "orders": "order_id"}
+    q["datagen_summary"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, count(*) AS row_count, count(DISTINCT {i}) AS distinct_ids FROM ({q[f'datagen_{t}']})"
+        for t, i in tables.items()
+    )
+    iso = r"^\d{4}-\d{2}-\d{2}$"
+    faults = (
+        ("geographies", "postal_code", "null", "postal_code IS NULL"),
+        ("products", "price", "negative", "price < 0"),
+        ("products", "category", "null", "category IS NULL"),
+        ("products", "supplier_id", "null", "supplier_id IS NULL"),
+        ("customers", "registration_date", "date", f"NOT regexp_matches(registration_date, '{iso}')"),
+        ("customers", "phone", "null", "phone IS NULL"),
+        ("customers", "geography_id", "null", "geography_id IS NULL"),
+        ("orders", "order_date", "date", f"NOT regexp_matches(order_date, '{iso}')"),
+        ("orders", "quantity", "negative", "quantity < 0"),
+        ("orders", "discount", "null", "discount IS NULL"),
+        ("orders", "discount", "discount", "discount >= 1"),
+        ("orders", "shipping_cost", "null", "shipping_cost IS NULL"),
+        ("orders", "customer_id", "null", "customer_id IS NULL"),
+    )
+    q["datagen_faults"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, '{c}' AS column_name, '{f}' AS fault, count(*) FILTER (WHERE {w}) AS faults "
+        f"FROM ({q[f'datagen_{t}']})"
+        for t, c, f, w in faults
+    )
+    q["datagen_layouts"] = f"""
+SELECT 'products' AS dataset, category AS partition_value, count(*) AS row_count,
+       count(DISTINCT product_id) AS distinct_ids FROM ({q['datagen_products']}) GROUP BY category
+UNION ALL
+SELECT 'orders', strftime({_mixed_date('order_date')}, '%Y-%m'), count(*), count(DISTINCT order_id)
+FROM ({q['datagen_orders']}) GROUP BY 2"""
+    return q
+
+
+def provenance_oracles() -> dict[str, str]:
+    q = {
+        "provenance_order_months": _q(
+            f"SELECT coalesce(strftime({_mixed_date('order_date')}, '%Y-%m'), '__HIVE_DEFAULT_PARTITION__') "
+            "AS month_folder, count(*) AS row_count FROM ord_raw GROUP BY 1"
+        )
+    }
+    raw = {
+        "customer_bronze_v1": "cust_raw", "geography_bronze_v1": "geo_raw", "orders_bronze_demo3": "json_raw",
+        "orders_bronze_v1": "ord_raw", "product_bronze_v1": "prod_raw",
+    }
+    zero = "CAST(0 AS BIGINT)"
+    q["provenance_audit"] = _q(
+        " UNION ALL ".join(
+            f"SELECT '{d}' AS dataset, count(*) AS row_count, {zero} AS bad_times, {zero} AS bad_sources FROM {t}"
+            for d, t in raw.items()
+        )
+    )
+    # Names, comments and qualities of the declared datasets.
+    declared = (
+        ("geography_bronze_v1", "Raw geography reference data (single CSV)", "bronze", "SELECT 1 FROM geo_raw"),
+        ("geography_silver", "Cleaned geography reference data", "silver", "SELECT 1 FROM geo_silver"),
+        ("product_bronze_v1", "Raw product data ingested from Parquet files", "bronze", "SELECT 1 FROM prod_raw"),
+        ("product_silver_v2", "Cleaned and enriched product dimension", "silver", "SELECT 1 FROM prod_silver"),
+        ("customer_bronze_v1", "Raw customer data ingested from CSV files", "bronze", "SELECT 1 FROM cust_raw"),
+        ("dim_customer_silver_v2", "Cleaned & enriched customer dimension", "silver", "SELECT 1 FROM dim_cust"),
+        ("orders_bronze_v1", "Raw orders data ingested from Parquet files", "bronze", "SELECT 1 FROM ord_raw"),
+        ("orders_silver", "Order fact table enriched with dimensions", "silver", "SELECT 1 FROM ord_silver"),
+        ("gold_orders_enriched", "Enriched base for gold layer calculations", None, "SELECT 1 FROM enriched"),
+        ("sales_by_date", "Daily sales summary with key metrics", "gold", SALES_BY_DATE),
+        ("sales_by_category", "Sales performance aggregated by product category", "gold", SALES_BY_CATEGORY),
+        ("sales_by_geography", "Sales performance by country/state/city", "gold", SALES_BY_GEOGRAPHY),
+        ("customer_analytics", "Customer-level lifetime metrics and segmentation", "gold", CUSTOMER_ANALYTICS),
+        ("product_performance", "Product-level sales and profitability metrics", "gold", PRODUCT_PERFORMANCE),
+        ("monthly_sales_trend", "Monthly aggregated sales trends", "gold", MONTHLY_SALES_TREND),
+        ("orders_bronze_demo3", "Ingest raw JSON order files with data quality checks", "bronze", "SELECT 1 FROM json_raw"),
+        ("orders_silver_demo3", "Cleaned and transformed orders data with quality checks", "silver", "SELECT 1 FROM json_raw"),
+        ("orders_by_date_gold_demo3", "Daily order aggregations", "gold", ORDERS_BY_DATE),
+    )
+    q["catalog"] = _q(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS dataset, '{comment}' AS comment, "
+            + (f"'{quality}'" if quality else "CAST(NULL AS VARCHAR)")
+            + f" AS quality, (SELECT count(*) FROM ({body})) AS row_count"
+            for name, comment, quality, body in declared
+        )
+    )
     return q

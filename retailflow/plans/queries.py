@@ -7,12 +7,13 @@ directly; the ``stream_*`` queries land the raw inputs as files and run the
 real Structured Streaming chain over them (see ``retailflow.streaming``).
 
 Audit columns (ingest time, file path) depend on when and where a run
-happens, so the compared queries leave them out and ``audit_columns``
-shows them.
+happens, so the compared queries leave them out; the ``provenance_*``
+queries compare what does not depend on it.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -285,10 +286,56 @@ def q_stream_orders_by_date(spark, sf_dir):
     return json_orders.orders_by_date(_streamed(spark, sf_dir, "orders_silver_demo3"))
 
 
-def q_audit_columns(spark, sf_dir):
-    """Streamed order bronze with its ingest time and source file path
-    (run dependent, so compared by row count only)."""
-    return as_doubles(_streamed(spark, sf_dir, "orders_bronze_v1"))
+def q_provenance_order_months(spark, sf_dir):
+    """Rows of the streamed order bronze per month folder, taken from the
+    recorded path of the file that each came from."""
+    month = F.regexp_extract("source_file", r"/year_month=([^/]+)/[^/]+\.parquet$", 1)
+    orders = _streamed(spark, sf_dir, "orders_bronze_v1")
+    return orders.groupBy(month.alias("month_folder")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def q_provenance_audit(spark, sf_dir):
+    """S7-S10 per bronze table: rows, rows without an ingest time or with one
+    that lies ahead, and rows whose source is not of the expected form."""
+    tables = {
+        "customer_bronze_v1": r"/customers/[^/]+\.csv$",
+        "geography_bronze_v1": r"^geographies\.csv$",
+        "orders_bronze_demo3": r"^[^/]+\.json$",
+        "orders_bronze_v1": r"/orders/year_month=[^/]+/[^/]+\.parquet$",
+        "product_bronze_v1": r"/products/category=[^/]+/[^/]+\.parquet$",
+    }
+    out = None
+    for name, form in tables.items():
+        df = _streamed(spark, sf_dir, name).agg(
+            F.lit(name).alias("dataset"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.count(F.when(F.coalesce(F.col("processing_time") > F.current_timestamp(), F.lit(True)), 1)).alias("bad_times"),
+            F.count(F.when(~F.coalesce(F.col("source_file").rlike(form), F.lit(False)), 1)).alias("bad_sources"),
+        )
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def q_catalog(spark, sf_dir):
+    """K5, K6: the pipeline's tables registered in a schema of their own, read
+    back from the catalog: name, comment, quality and row count."""
+    from retailflow.plans.pipeline import register_tables
+
+    _pipeline_table(spark, sf_dir, "sales_by_date")
+    schema = f"retailflow_{uuid.uuid4().hex[:12]}"
+    out = None
+    for full in register_tables(spark, streamed_warehouse(spark, sf_dir), schema):
+        name = full.split(".")[1]
+        comment = spark.catalog.getTable(full).description
+        properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {full}").collect()}
+        df = spark.table(full).agg(
+            F.lit(name).alias("dataset"),
+            F.lit(comment).alias("comment"),
+            F.lit(properties.get("quality")).cast("string").alias("quality"),
+            F.count(F.lit(1)).alias("row_count"),
+        )
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 _GOLD_RUNS: set[tuple[SparkSession, str]] = set()
@@ -324,7 +371,9 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_sales_by_category": q_stream_sales_by_category,
     "stream_json_orders_silver": q_stream_json_orders_silver,
     "stream_orders_by_date": q_stream_orders_by_date,
-    "audit_columns": q_audit_columns,
+    "provenance_order_months": q_provenance_order_months,
+    "provenance_audit": q_provenance_audit,
+    "catalog": q_catalog,
     **{
         f"pipeline_{t}": _pipeline_query(t)
         for t in (
@@ -368,57 +417,75 @@ def q_roundtrip_json_orders(spark, sf_dir):
 # ---- generator (ids taken from the test tables) -----------------------------
 
 
-def _generated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """One generated row per row of the matching test table; the sizes of
-    the id domains are table counts (single numbers)."""
-    nation = testdata.load(spark, sf_dir, "nation")
-    part = testdata.load(spark, sf_dir, "part")
-    customer = testdata.load(spark, sf_dir, "customer")
-    lineitem = testdata.load(spark, sf_dir, "lineitem")
-    n_geo, n_products = nation.count(), part.count()
-    n_customers, n_suppliers = customer.count(), testdata.load(spark, sf_dir, "supplier").count()
-    seeds = lambda df, expr: df.select(F.expr(expr).cast("long").alias("gen_id"))
-    return {
-        "geographies": datagen.geographies(seeds(nation, "n_nationkey + 1"), n_total=n_geo),
-        "products": datagen.products(seeds(part, "p_partkey + 1"), n_suppliers=n_suppliers),
-        "customers": datagen.customers(seeds(customer, "c_custkey + 1"), n_geographies=n_geo),
-        "orders": datagen.orders(
-            seeds(lineitem, "l_orderkey * 8 + l_linenumber"), n_customers=n_customers, n_products=n_products
-        ),
-    }
+def _rows(spark: SparkSession, sf_dir: str, table: str) -> int:
+    return testdata.load(spark, sf_dir, table).count()
+
+
+def _generated(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One generated row per row of the matching test table, under ids from
+    1; the sizes of the id domains are table counts (single numbers)."""
+    n = {
+        "geographies": "nation", "products": "part", "customers": "customer", "orders": "lineitem",
+    }
+    ids = datagen.ids(spark, rows := _rows(spark, sf_dir, n[name]))
+    if name == "geographies":
+        return datagen.geographies(ids, n_total=rows)
+    if name == "products":
+        return datagen.products(ids, n_suppliers=_rows(spark, sf_dir, "supplier"))
+    if name == "customers":
+        return datagen.customers(ids, n_geographies=_rows(spark, sf_dir, "nation"))
+    return datagen.orders(
+        ids, n_customers=_rows(spark, sf_dir, "customer"), n_products=_rows(spark, sf_dir, "part")
+    )
+
+
+GENERATED = ("geographies", "products", "customers", "orders")
 
 
 def q_datagen_geographies(spark, sf_dir):
-    return _generated(spark, sf_dir)["geographies"]
+    return _generated(spark, sf_dir, "geographies")
 
 
 def q_datagen_products(spark, sf_dir):
-    return _generated(spark, sf_dir)["products"]
+    return _generated(spark, sf_dir, "products")
 
 
 def q_datagen_customers(spark, sf_dir):
-    return _generated(spark, sf_dir)["customers"]
+    return _generated(spark, sf_dir, "customers")
 
 
 def q_datagen_orders(spark, sf_dir):
-    return _generated(spark, sf_dir)["orders"]
+    return _generated(spark, sf_dir, "orders")
 
 
 def q_datagen_summary(spark, sf_dir):
     ids = {"geographies": "geography_id", "products": "product_id", "customers": "customer_id", "orders": "order_id"}
-    return datagen.summary(_generated(spark, sf_dir), ids)
+    return datagen.summary({name: _generated(spark, sf_dir, name) for name in GENERATED}, ids)
+
+
+def q_datagen_faults(spark, sf_dir):
+    return datagen.fault_counts({name: _generated(spark, sf_dir, name) for name in GENERATED})
 
 
 def q_datagen_layouts(spark, sf_dir):
-    """Generated products and orders written in their raw-zone layouts
-    (by category, by month) and read back through the stream-capable readers."""
-    g = _generated(spark, sf_dir)
+    """Generated products and orders written in their raw-zone layouts (by
+    category, by month) and read back through the stream-capable readers:
+    rows per partition value."""
     root = run_folder(spark, "generated")
-    write_by_category(g["products"], f"{root}/products")
-    write_by_month(g["orders"], f"{root}/orders")
-    prods = files.read_products(spark, f"{root}/products", stream=False)
-    ords = files.read_orders(spark, f"{root}/orders", stream=False)
-    return datagen.summary({"products": prods, "orders": ords}, {"products": "product_id", "orders": "order_id"})
+    write_by_category(_generated(spark, sf_dir, "products"), f"{root}/products")
+    write_by_month(_generated(spark, sf_dir, "orders"), f"{root}/orders")
+    products = files.read_products(spark, f"{root}/products", stream=False)
+    orders = files.read_orders(spark, f"{root}/orders", stream=False)
+    parts = [
+        df.groupBy(F.col(key).alias("partition_value"))
+        .agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(id_).alias("distinct_ids"))
+        .select(F.lit(name).alias("dataset"), "partition_value", "row_count", "distinct_ids")
+        for name, df, key, id_ in (
+            ("products", products, "category", "product_id"),
+            ("orders", orders, "year_month", "order_id"),
+        )
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 EXTRA_QUERIES: dict[str, Query] = {
@@ -432,6 +499,7 @@ EXTRA_QUERIES: dict[str, Query] = {
     "datagen_customers": q_datagen_customers,
     "datagen_orders": q_datagen_orders,
     "datagen_summary": q_datagen_summary,
+    "datagen_faults": q_datagen_faults,
     "datagen_layouts": q_datagen_layouts,
 }
 
