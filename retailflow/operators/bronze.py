@@ -19,8 +19,12 @@ def _audit(df: DataFrame, audit: bool, source=None) -> DataFrame:
 
 
 def _long(name: str):
-    """An id that may arrive as double (NULLs in pandas-written files) -> bigint."""
-    return F.col(name).try_cast("long")
+    """An id that may arrive as double (NULLs in pandas-written files), or as
+    text of either -> bigint; NULL if it is no whole number."""
+    number = F.col(name).try_cast("double")
+    return F.coalesce(
+        F.col(name).try_cast("long"), F.when(number == F.floor(number), number.try_cast("long"))
+    )
 
 
 def _date_last(df: DataFrame, name: str) -> DataFrame:
@@ -29,9 +33,12 @@ def _date_last(df: DataFrame, name: str) -> DataFrame:
     return df.select(*others, parse_mixed_date(name).alias(name))
 
 
-def customer_bronze(raw: DataFrame, audit: bool = True) -> DataFrame:
+def customer_bronze(raw: DataFrame, audit: bool = True, keep_text: bool = False) -> DataFrame:
     """Audit columns, phone digits -> long, 4-layout registration date
-    (last)."""
+    (last). ``keep_text`` keeps the ids as they came as ``<name>_text``, which
+    shows what an id that became NULL was."""
+    if keep_text:
+        raw = raw.withColumns({f"{c}_text": F.col(c) for c in ("customer_id", "geography_id")})
     return _date_last(_audit(raw, audit), "registration_date").withColumns(
         {
             "phone": digits_to_long("phone"),

@@ -354,7 +354,20 @@ def oracle_queries() -> dict[str, str]:
         "expect_fail_passes": _q("SELECT * FROM json_silver WHERE order_id IS NOT NULL"),
     }
     q["roundtrip_geographies_csv"] = _q("SELECT * FROM geo_raw")
-    q["roundtrip_customers_csv"] = _q("SELECT * FROM cust_raw")
+    q["roundtrip_customers_csv"] = _q(
+        "SELECT * REPLACE (CAST(customer_id AS VARCHAR) AS customer_id, CAST(geography_id AS VARCHAR) AS geography_id) "
+        "FROM cust_raw"
+    )
+    q["customer_bronze_dirty"] = """
+SELECT CASE WHEN c_custkey % 7 < 2 THEN NULL ELSE c_custkey END AS customer_id, 'First' AS first_name,
+       c_mktsegment AS last_name, CAST(NULL AS VARCHAR) AS email, CAST(5551 AS BIGINT) AS phone,
+       CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(c_nationkey + 1 AS BIGINT) END AS geography_id,
+       CASE c_custkey % 7 WHEN 0 THEN 'X' || c_custkey WHEN 1 THEN c_custkey || '.5' WHEN 2 THEN c_custkey || '.0'
+            ELSE CAST(c_custkey AS VARCHAR) END AS customer_id_text,
+       CASE WHEN c_custkey % 5 = 0 THEN 'unknown' ELSE CAST(CAST(c_nationkey + 1 AS DOUBLE) AS VARCHAR) END AS geography_id_text,
+       DATE '2021-02-03' AS registration_date
+FROM customer
+"""
     q["roundtrip_products_by_category"] = _q(
         "SELECT product_id, product_name, CAST(price AS DOUBLE) AS price, CAST(cost AS DOUBLE) AS cost, "
         "supplier_id, category FROM prod_raw"

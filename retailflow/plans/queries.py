@@ -33,7 +33,7 @@ from retailflow.schemas import MONEY_DECIMAL
 from retailflow.sources import testdata
 from retailflow.operators import datagen
 from retailflow.sources import files
-from retailflow.sources.landing import Landing, land_test_feeds, write_by_category, write_by_month
+from retailflow.sources.landing import Landing, land_test_feeds, write_by_category, write_by_month, write_csv_files
 from retailflow.streaming.runner import Warehouse, run_json_streams, run_retail_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -488,12 +488,35 @@ def q_datagen_layouts(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+def q_customer_bronze_dirty(spark, sf_dir):
+    """Customer feed with ids that are no numbers, landed as CSV and read
+    back: every row is kept, with the text of its ids."""
+    k = F.col("c_custkey")
+    dirty = testdata.load(spark, sf_dir, "customer").select(
+        F.when(k % 7 == 0, F.concat(F.lit("X"), k.cast("string")))
+        .when(k % 7 == 1, F.concat(k.cast("string"), F.lit(".5")))
+        .when(k % 7 == 2, F.concat(k.cast("string"), F.lit(".0")))
+        .otherwise(k.cast("string"))
+        .alias("customer_id"),
+        F.lit("First").alias("first_name"),
+        F.col("c_mktsegment").alias("last_name"),
+        F.lit(None).cast("string").alias("email"),
+        F.lit("5551").alias("phone"),
+        F.when(k % 5 == 0, "unknown").otherwise((F.col("c_nationkey") + 1).cast("double").cast("string")).alias("geography_id"),
+        F.lit("2021-02-03").alias("registration_date"),
+    )
+    path = f"{run_folder(spark, 'dirty')}/customers"
+    write_csv_files(dirty, path)
+    return bronze.customer_bronze(files.read_customers(spark, path, stream=False), audit=False, keep_text=True)
+
+
 EXTRA_QUERIES: dict[str, Query] = {
     "roundtrip_geographies_csv": q_roundtrip_geographies_csv,
     "roundtrip_customers_csv": q_roundtrip_customers_csv,
     "roundtrip_products_by_category": q_roundtrip_products_by_category,
     "roundtrip_orders_by_month": q_roundtrip_orders_by_month,
     "roundtrip_json_orders": q_roundtrip_json_orders,
+    "customer_bronze_dirty": q_customer_bronze_dirty,
     "datagen_geographies": q_datagen_geographies,
     "datagen_products": q_datagen_products,
     "datagen_customers": q_datagen_customers,

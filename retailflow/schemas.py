@@ -49,14 +49,15 @@ def product_schema(money: DataType = DoubleType()) -> StructType:
 
 
 def customer_schema() -> StructType:
-    """Customers land as CSV; ``geography_id`` is written as ``12.0``."""
+    """Customers land as CSV. Ids are read as text (``geography_id`` is
+    written as ``12.0``), so an id that is no number is seen and not lost."""
     return _s(
-        ("customer_id", LongType()),
+        ("customer_id", StringType()),
         ("first_name", StringType()),
         ("last_name", StringType()),
         ("email", StringType()),
         ("phone", StringType()),
-        ("geography_id", DoubleType()),
+        ("geography_id", StringType()),
         ("registration_date", StringType()),
     )
 

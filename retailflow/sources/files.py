@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, StructType
+from pyspark.sql.types import DataType, DoubleType, StringType, StructField, StructType
 
 from retailflow import schemas
 
@@ -28,16 +28,34 @@ def _reader(spark: SparkSession, stream: bool, schema: StructType, max_files: in
     return r.option("maxBytesPerTrigger", str(MAX_BYTES_PER_TRIGGER)) if stream else r
 
 
+def header_schema(spark: SparkSession, path: str, declared: StructType) -> StructType:
+    """The columns of the CSV files at ``path`` by their header line: declared
+    types for declared names in whatever order, text for all others."""
+    types = {f.name: f.dataType for f in declared}
+    names = spark.read.option("header", "true").csv(path).columns
+    return StructType([StructField(n, types.get(n, StringType()), True) for n in names])
+
+
 def read_customers(
-    spark: SparkSession, path: str, stream: bool = True, max_files: int | None = None
+    spark: SparkSession,
+    path: str,
+    stream: bool = True,
+    max_files: int | None = None,
+    schema: StructType | None = None,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
-    """Directory of customer CSV files with a header line."""
-    return (
-        _reader(spark, stream, schemas.customer_schema(), max_files)
-        .option("header", "true")
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    """Directory of customer CSV files with a header line (S1). A file whose
+    header does not name the expected columns in their order fails the read;
+    pass ``schema=header_schema(...)`` to take other orders and further
+    columns as they are. ``corrupt_column`` names a column that gets the
+    whole line of a row with too few or too many values."""
+    schema = schema or schemas.customer_schema()
+    if corrupt_column:
+        schema = StructType([*schema.fields, StructField(corrupt_column, StringType(), True)])
+    reader = _reader(spark, stream, schema, max_files).option("header", "true").option("enforceSchema", "false")
+    if corrupt_column:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    return reader.option("mode", "PERMISSIVE").csv(path)
 
 
 def read_orders(
