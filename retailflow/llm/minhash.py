@@ -181,21 +181,14 @@ def near_duplicates(
         return table.select(*(F.col(c).alias(name if c == "id" else f"{name}_{c}") for c in table.columns))
 
     close = estimate(F.col("a_signature"), F.col("b_signature")) >= least_estimate(percent)
-    shared_size = F.size(F.array_intersect("a_shingles", "b_shingles"))
+    shared_size = F.size(F.array_intersect("a_shingles", "b_shingles")).cast("long")
     all_size = F.size("a_shingles") + F.size("b_shingles") - shared_size
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        """Of the pairs (a, b), those that the full sets confirm."""
-        return (
-            pairs.join(side(sets, "a"), "a")
-            .join(side(sets, "b"), "b")
-            .where(100 * shared_size.cast("long") >= percent * all_size.cast("long"))
-            .select("a", "b")
-        )
+    confirmed = 100 * shared_size >= percent * all_size
 
     star = banded.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
     star = star.join(side(signatures, "a"), "a").join(side(signatures, "b"), "b").where(close).select("a", "b")
-    links = written(linked(star), "links")
+    star = star.join(side(sets, "a"), "a").join(side(sets, "b"), "b").where(confirmed)
+    links = written(star.select("a", "b"), "links")
     found = components(links, "near")
 
     labelled = banded.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
@@ -203,13 +196,18 @@ def near_duplicates(
     )
     split = labelled.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("band")
     rest = written(
-        labelled.join(split, "band").join(signatures.withColumnRenamed("id", "rep"), "rep").withColumnRenamed("rep", "id"),
+        labelled.join(split, "band")
+        .join(reps.select("rep", "bands", "signature"), "rep")
+        .withColumnRenamed("rep", "id")
+        .join(sets, "id"),
         "rest",
     )
     a = side(rest, "a").withColumnRenamed("a_band", "band")
     b = side(rest, "b").withColumnRenamed("b_band", "band")
-    across = a.join(b, (a.band == b.band) & (F.col("a_part") < F.col("b_part")) & close).select("a", "b").distinct()
-    links = links.union(linked(across))
+    # A pair is judged in the first band that both have, and only if it is linked does it leave the join.
+    first = F.get(F.array_intersect("a_bands", "b_bands"), F.lit(0)) == a.band
+    across = a.join(b, (a.band == b.band) & (F.col("a_part") < F.col("b_part")) & close & first & confirmed)
+    links = links.union(across.select("a", "b"))
     found = components(links, "near-all").withColumnRenamed("id", "rep")
     return members.join(found, "rep", "left").select(
         "doc_id",
