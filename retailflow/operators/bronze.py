@@ -49,8 +49,9 @@ def customer_bronze(raw: DataFrame, audit: bool = True, keep_text: bool = False)
 
 
 def orders_bronze(raw: DataFrame, audit: bool = True) -> DataFrame:
-    """D3: audit columns, 4-layout order date (last)."""
-    return _date_last(_audit(raw, audit), "order_date").withColumns(
+    """D3: audit columns, 4-layout order date (last). The month folder that
+    the files lie in is no column of the orders."""
+    return _date_last(_audit(raw, audit).drop("year_month"), "order_date").withColumns(
         {
             "order_id": _long("order_id"),
             "customer_id": _long("customer_id"),

@@ -20,8 +20,9 @@ KEEP = re.compile(
 
 
 def final_plan(df) -> str:
-    df.collect()  # runs the DataFrame's own query execution, so its adaptive plan is final
-    return df._jdf.queryExecution().executedPlan().toString()
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()  # runs the DataFrame's own execution on the executors, so its adaptive plan is final
+    return execution.executedPlan().toString()
 
 
 def main(argv):

@@ -41,7 +41,8 @@ def test_unreadable_ids_and_broken_lines_leave_a_trace(spark, scratch):
 @pytest.mark.parametrize("stream", [False, True])
 def test_bronze_columns_are_in_the_declared_order(spark, scratch, stream):
     land(spark, f"{scratch}/customers", HEADER, "1,A,B,,1,2.0,2020-01-02")
-    spark.createDataFrame([], schemas.order_schema()).write.parquet(f"{scratch}/orders")
+    orders = spark.createDataFrame([(1, None, 2, "2024-01-01", 1, 1.0, 0.0, 0.0)], schemas.order_schema())
+    orders.write.parquet(f"{scratch}/orders/year_month=2024-01")
     customers = bronze.customer_bronze(files.read_customers(spark, f"{scratch}/customers", stream=stream))
     assert customers.columns == [
         "customer_id", "first_name", "last_name", "email", "phone", "geography_id",
