@@ -163,7 +163,8 @@ def near_duplicates(
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketched = written(sketches(docs.withColumn("text_hash", F.xxhash64("text"))), "sketches")
-    classes = sketched.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    # Written, so the joins below shuffle both sides anew and a digest that very many copies share can be split.
+    classes = written(sketched.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     members = sketched.select("doc_id", "text_hash", "n_shingles", "digest").join(classes, "digest")
     reps = written(
         sketched.where("bands is not null")

@@ -72,7 +72,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = score(docs, train(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
     return found.select(
         "row.doc_id",
-        (~is_training(F.col("row.doc_id"))).alias("held_out"),
+        F.coalesce(~is_training(F.col("row.doc_id")), F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
