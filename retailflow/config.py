@@ -62,7 +62,7 @@ def shared_root(spark: SparkSession) -> str:
             current = None
         if not current:
             master = spark.conf.get("spark.master", "")
-            if not master.startswith("local"):
+            if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
                 raise RuntimeError(
                     "spark.checkpoint.dir is not set: point it at a folder on shared "
                     "storage (tables, stream checkpoints and lineage cuts go below it)"
