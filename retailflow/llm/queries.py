@@ -10,12 +10,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm.caps import near_vectors
 from retailflow.llm import pii
+from retailflow.llm.caps import near_vectors
 from retailflow.llm.common import table
 from retailflow.llm.knn import top_k
 from retailflow.llm.minhash import near_duplicates
 from retailflow.llm.mixing import mix
+from retailflow.llm.oracles import ORACLES
 from retailflow.llm.packing import pack_documents
 from retailflow.llm.substrings import repeated_passages
 from retailflow.llm.tokens import count_tokens
@@ -48,25 +49,6 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
-OP4_SQL = """
-WITH v AS (
-  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e
-  FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
-),
-s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
-  WHERE q.vec_id % 50 = 0
-),
-r AS (
-  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
-)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
-"""
-
-
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = score(docs, train(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
@@ -88,39 +70,6 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(docs, MIX_WEIGHTS, MIX_SEED).select("row.*", "copy")
 
 
-OP6_SQL = """
-WITH RECURSIVE weights(key, weight) AS (
-  VALUES ('src0', 0.25::DOUBLE), ('src1', 0.1::DOUBLE), ('src2', 0.1::DOUBLE), ('src3', 0.05::DOUBLE),
-         (NULL, 1.0::DOUBLE - (0.25::DOUBLE + 0.1::DOUBLE + 0.1::DOUBLE + 0.05::DOUBLE))
-),
-d AS (
-  SELECT *, CASE WHEN source IN ('src0', 'src1', 'src2', 'src3') THEN source END AS key FROM documents
-),
-means AS (
-  SELECT w.key, (SELECT count(*) FROM documents)::DOUBLE * weight / n::DOUBLE AS mean
-  FROM (SELECT key, count(*) AS n FROM d GROUP BY key) c JOIN weights w ON c.key IS NOT DISTINCT FROM w.key
-),
-parts AS (SELECT key, greatest(ceil(mean / 16), 1)::INTEGER AS parts, mean / greatest(ceil(mean / 16), 1)::INTEGER AS m FROM means),
-poisson AS (
-  SELECT key, parts, m, 0 AS k, exp(-m) AS p, exp(-m) AS below FROM parts
-  UNION ALL
-  SELECT key, parts, m, k + 1, p * m / (k + 1), below + p * m / (k + 1) FROM poisson WHERE k < 79
-),
-draws AS (
-  SELECT doc_id, key, part, (CAST('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'null') || ':' || part), 1, 13) AS BIGINT)::DOUBLE + 0.5)
-         / 4503599627370496::DOUBLE AS u
-  FROM (SELECT doc_id, d.key, unnest(range(1, parts + 1)) AS part FROM d JOIN parts p ON d.key IS NOT DISTINCT FROM p.key)
-),
-times AS (
-  SELECT w.doc_id, count(*) AS n
-  FROM draws w JOIN poisson p ON w.key IS NOT DISTINCT FROM p.key AND p.below < w.u
-  GROUP BY w.doc_id
-)
-SELECT doc_id, text, lang, source, n_chars, copy
-FROM (SELECT d.*, unnest(range(1, n + 1))::INTEGER AS copy FROM d JOIN times USING (doc_id))
-"""
-
-
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judge(pages).select("row.page_id", "host", "path", "rule", "verdict", F.col("blocked").alias("block_chance"))
@@ -160,4 +109,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracle() -> dict[str, str]:
-    return {"op4_top_k": OP4_SQL, "op6_source_mix": OP6_SQL}
+    return dict(ORACLES)
