@@ -21,6 +21,7 @@ from retailflow.llm.packing import pack_documents
 from retailflow.llm.queries import MIX_SEED, MIX_WEIGHTS, WORD_BPE
 
 TOXIC = 0.5
+NEAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,10 +32,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest id;
-    rows without an id stay. Rows that repeat an id stay or go by their own
-    texts."""
-    found = near_duplicates(docs)
+    """One document of each group of near-duplicates (linked from a similarity
+    of NEAR_PERCENT on), that of the smallest id; rows without an id stay.
+    Rows that repeat an id stay or go by their own texts."""
+    found = near_duplicates(docs, percent=NEAR_PERCENT)
     gone = found.where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     mine = (docs["doc_id"].cast("long") == gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_hash"])
     return docs.join(gone, mine, "left_anti")

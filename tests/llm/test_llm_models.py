@@ -391,3 +391,15 @@ def test_the_rest_works_without_this_subpackage(tmp_path):
     assert "sales_by_category" in names and not any(n.startswith("op") and n[2].isdigit() for n in names) and "pipeline" not in names
     entry = importlib.import_module("__spark_entry__")
     assert {f"op{i}" for i in range(1, 11)} <= {n.split("_")[0] for n in entry.queries()} and "pipeline" in entry.queries()
+
+
+def test_pipeline_drops_near_duplicates_from_080(spark):
+    """Copies of similarity 0.83 and 0.77: only the first goes."""
+    words = [[f"{c}{i}" for i in range(104)] for c in "vw"]
+    texts = [words[0], words[0][16:] + ["x"], words[1], words[1][22:] + ["x"]]
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    near, far = (len(a & b) / len(a | b) for a, b in (sets[:2], sets[2:]))
+    assert far < 0.8 < near < 0.85
+    docs = frame(spark, [(i, " ".join(t), "src0") for i, t in enumerate(texts)])
+    left = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SMALL)
+    assert sorted(r.doc_id for r in left.collect()) == [0, 2, 3]
