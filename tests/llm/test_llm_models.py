@@ -403,3 +403,11 @@ def test_pipeline_drops_near_duplicates_from_080(spark):
     docs = frame(spark, [(i, " ".join(t), "src0") for i, t in enumerate(texts)])
     left = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, SMALL)
     assert sorted(r.doc_id for r in left.collect()) == [0, 2, 3]
+
+
+def test_class_counts_use_all_training_labels(spark):
+    """The bound on labelled documents holds for the curve alone."""
+    rows, labels = speech(400)
+    docs, labels = frame(spark, rows), spark.createDataFrame(labels, LABELS)
+    few, every = (toxicity.train(docs, labels, max_labelled=n) for n in (40, 10_000))
+    assert every.ids and few.ids == every.ids and (few.table == every.table).all()
