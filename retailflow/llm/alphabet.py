@@ -32,6 +32,9 @@ BYTE_LEVEL = re.compile(
 #: Word vocabulary: white space is dropped, digits stand alone.
 WORD_LEVEL = re.compile(f"{_CONTRACTIONS}|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
 
+#: A contraction with a letter after it: split here, though it may be the middle of a word.
+CONTRACTED_LETTER = f"(?:{_CONTRACTIONS})[{_LETTER}]"
+
 #: Outside the fast split; U+0130 is there because lower-casing it gives two characters.
 _OUTSIDE = re.compile(f"[^\x00-{chr(LIMIT - 1)}]|İ")
 

@@ -114,6 +114,45 @@ times AS (
 SELECT doc_id, text, lang, source, n_chars, copy
 FROM (SELECT d.*, unnest(range(1, n + 1))::INTEGER AS copy FROM d JOIN times USING (doc_id))
 """
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id, length(coalesce(text, '')) AS n_chars,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain
+  FROM documents
+),
+r AS (
+  SELECT *, count(*) OVER (PARTITION BY plain) AS group_size,
+         first_value(doc_id) OVER best AS keep_id, first_value(row_id) OVER best AS keep_row
+  FROM d WINDOW best AS (PARTITION BY plain ORDER BY n_chars DESC, doc_id NULLS LAST, row_id)
+)
+SELECT doc_id, keep_id, group_size, row_id = keep_row AS kept, sha256(plain) AS text_sha256 FROM r
+"""
+_TERMS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, {_TERMS} AS terms FROM documents),
+size AS (SELECT count(*) FILTER (len(terms) > 0) AS n, CAST(sum(len(terms)) AS BIGINT) AS total FROM d),
+q AS (
+  SELECT item, item_id, term, count(*) AS times
+  FROM (SELECT row_number() OVER () AS item, item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL
+),
+tf AS (
+  SELECT row_id, doc_id, len_, term, count(*) AS tf
+  FROM (SELECT row_id, doc_id, len(terms) AS len_, unnest(terms) AS term FROM d) SEMI JOIN q USING (term) GROUP BY ALL
+),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * max(n) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf CROSS JOIN size GROUP BY term
+),
+s AS (
+  SELECT item, item_id, row_id, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * len_ * n) // total)))) AS BIGINT) AS score
+  FROM tf JOIN q USING (term) JOIN w USING (term) CROSS JOIN size GROUP BY ALL
+),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20
+"""
 
 ORACLES = {
     "op3_substring_dedup": OP3_SQL,
@@ -121,4 +160,6 @@ ORACLES = {
     "op6_source_mix": OP6_SQL,
     "op8_minhash_dedup": OP8_SQL,
     "op9_embedding_dedup": OP9_SQL,
+    "op11_exact_dedup": OP11_SQL,
+    "op13_lexical_search": OP13_SQL,
 }

@@ -11,9 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailflow.llm import pii
+from retailflow.llm.align import alignments
 from retailflow.llm.caps import near_vectors
 from retailflow.llm.common import table
+from retailflow.llm.exact import exact_duplicates
 from retailflow.llm.knn import top_k
+from retailflow.llm.lexical import search
 from retailflow.llm.minhash import near_duplicates
 from retailflow.llm.mixing import mix
 from retailflow.llm.oracles import ORACLES
@@ -25,6 +28,7 @@ from retailflow.llm.urls import judge
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,10 +104,24 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = map(public_tokenizers.path, (BYTE_BPE, PIECE_BPE))
+    return alignments(table(spark, sf_dir, "documents"), *paths)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_token_counts, op2_packing, op3_substring_dedup, op4_top_k, op5_toxicity, op6_source_mix, op7_url_filter,
-        op8_minhash_dedup, op9_embedding_dedup, op10_pii,
+        op8_minhash_dedup, op9_embedding_dedup, op10_pii, op11_exact_dedup, op12_token_alignment, op13_lexical_search,
     )
     return {f.__name__: f for f in every}
 
