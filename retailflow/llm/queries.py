@@ -111,7 +111,7 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = map(public_tokenizers.path, (BYTE_BPE, PIECE_BPE))
-    return alignments(table(spark, sf_dir, "documents"), *paths)
+    return alignments(table(spark, sf_dir, "documents"), *paths).drop("links")
 
 
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
