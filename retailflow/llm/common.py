@@ -40,6 +40,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a bit map of hashes: 16 for each, between these bounds (128 KB and 128 MB), which are broadcast.
+LEAST_MAP_BITS, MOST_MAP_BITS = 20, 30
+
+
+def may_be_in(df: DataFrame, hashed: str, wanted: DataFrame, n: int, bits: int = 64) -> DataFrame:
+    """The rows of ``df`` whose 64-bit hash in column ``hashed`` may be one of
+    ``wanted`` (one column of n hashes, of which the leading ``bits`` count):
+    those whose leading bits are set in a broadcast bit map. The map's size
+    is bounded, and beyond it more rows pass for which an exact join decides."""
+    map_bits = min(bits, max(LEAST_MAP_BITS, min(MOST_MAP_BITS, (16 * max(1, n) - 1).bit_length())))
+    place = F.shiftrightunsigned(wanted.columns[0], 64 - map_bits)
+    maps = wanted.groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_map")
+    )
+    place = F.shiftrightunsigned(hashed, 64 - map_bits)
+    position = F.bitmap_bit_position(place)
+    byte = F.substring("_map", (F.floor(position / 8) + 1).cast("int"), F.lit(1))
+    hit = F.bit_get(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(position, F.lit(8)).cast("int")) == 1
+    found = df.withColumn("_bucket", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "_bucket").where(hit)
+    return found.drop("_bucket", "_map")
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 

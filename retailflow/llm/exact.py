@@ -30,14 +30,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailflow.llm.common import written
+from retailflow.llm.common import may_be_in, written
 
 #: Bits of a fingerprint beyond those that number the rows: of n different texts, about n / 2^16 meet another's by chance.
 REMAINDER_BITS = 16
 #: Rows whose fingerprints one filter of a partition holds, and about as many as a slice holds in all.
 FILTER_ROWS = 1 << 20
-#: Bits of the broadcast map of repeated fingerprints: 16 for each, between these bounds (128 KB and 128 MB).
-LEAST_MAP_BITS, MOST_MAP_BITS = 20, 30
 
 SPACE = b" \t\n\x0b\x0c\r"
 _DTYPES = (np.uint8, np.uint16, np.uint32, np.uint64)
@@ -190,23 +188,6 @@ def repeated_fingerprints(rows: DataFrame, bits: int, slices: int, filter_rows:
     return filters.groupBy("slice").applyInArrow(merge, "print long")
 
 
-def _in_map(df: DataFrame, repeated: DataFrame, bits: int) -> DataFrame:
-    """The rows of ``df`` (hash) whose fingerprint may be among ``repeated``:
-    those whose leading bits are set in a broadcast bit map."""
-    wanted = (16 * max(1, repeated.count()) - 1).bit_length()
-    map_bits = min(bits, max(LEAST_MAP_BITS, min(MOST_MAP_BITS, wanted)))
-    place = F.shiftrightunsigned("print", bits - map_bits)
-    maps = repeated.groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_map")
-    )
-    place = F.shiftrightunsigned("hash", 64 - map_bits)
-    position = F.bitmap_bit_position(place)
-    byte = F.substring("_map", (F.floor(position / 8) + 1).cast("int"), F.lit(1))
-    hit = F.bit_get(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(position, F.lit(8)).cast("int")) == 1
-    found = df.withColumn("_bucket", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "_bucket").where(hit)
-    return found.drop("_bucket", "_map")
-
-
 def normalised_texts(docs: DataFrame) -> DataFrame:
     """``docs`` (text) -> ``hash`` and the normalised text as bytes."""
 
@@ -248,13 +229,15 @@ def exact_duplicates(
     repeated = written(repeated_fingerprints(rows, bits, slices, filter_rows), "repeated")
 
     # Grouping by the bytes themselves compares them; copies are combined in each task before the shuffle.
-    texts = _in_map(normalised_texts(docs.select("text")), repeated, bits)
+    wanted, many = repeated.select(F.shiftleft("print", 64 - bits)), repeated.count()
+    texts = may_be_in(normalised_texts(docs.select("text")), "hash", wanted, many, bits)
     verified = written(
         texts.groupBy("plain").agg(F.count("*").alias("size")).select(F.unhex(F.sha2("plain", 256)).alias("digest"), "size"),
         "verified",
     )
     first = F.min(F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
-    groups = _in_map(rows, repeated, bits).groupBy("digest").agg(first, F.count("*").alias("n")).join(verified, "digest")
+    candidates = may_be_in(rows, "hash", wanted, many, bits)
+    groups = candidates.groupBy("digest").agg(first, F.count("*").alias("n")).join(verified, "digest")
     size = F.when(F.col("n") == F.col("size"), F.col("n")).otherwise(F.raise_error(F.lit("texts of one digest differ")))
     groups = written(
         groups.where("n > 1 or size > 1").select(
