@@ -133,17 +133,19 @@ def sketches(docs: DataFrame) -> DataFrame:
     )
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """``texts`` (class, text) -> the set of each class."""
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
                 found = [shingles(t.as_py()).view(np.int64) for t in part.column("text")]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["id", "shingles"]
+                    [part.column("class"), pa.array(found, pa.list_(pa.int64()))], names=["id", "shingles"]
                 )
 
-    return docs.mapInArrow(sets, "id long, shingles array<long>")
+    return texts.mapInArrow(sets, "id long, shingles array<long>")
 
 
 def near_duplicates(
@@ -159,26 +161,40 @@ def near_duplicates(
     linked with nothing and kept. A row without an id takes no part: its
     component is null and it is kept. Rows that repeat an id are one
     document: each is judged by its own text, and links of either hold for
-    the id. Other columns are not read; an empty table gives no rows.
+    the id. Rows that repeat an id and a text are one set, however many. Other columns are not read; an empty table gives no rows.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketched = written(sketches(docs.withColumn("text_hash", F.xxhash64("text"))), "sketches")
-    # Written, so the joins below shuffle both sides anew and a digest that very many copies share can be split.
-    classes = written(sketched.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    members = sketched.select("doc_id", "text_hash", "n_shingles", "digest").join(classes, "digest")
-    reps = written(
-        sketched.where("bands is not null")
-        .join(classes, "digest")
-        .where("doc_id = rep")
-        .select("rep", "n_shingles", "bands", "signature"),
-        "reps",
+    # One row per set, copies combined in each task. Written, so the joins below shuffle both sides anew and a
+    # digest that very many copies share can be split.
+    sketch = (F.first(c).alias(c) for c in ("bands", "signature"))
+    classes = written(
+        sketched.groupBy("digest")
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("_first"), *sketch)
+        .select(
+            F.monotonically_increasing_id().alias("class"), "digest", F.col("_first.doc_id").alias("rep"),
+            F.col("_first.text_hash").alias("rep_hash"), "bands", "signature",
+        ),
+        "classes",
+    )
+    members = sketched.select("doc_id", "text_hash", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest")
+    reps = classes.where("bands is not null").select("class", "rep", "rep_hash", "bands", "signature")
+    banded = reps.select(F.explode("bands").alias("band"), "class", "rep")
+    shared = banded.groupBy("band").agg(F.min(F.struct("rep", "class")).alias("_least"), F.max(F.struct("rep", "class")).alias("_most"))
+    shared = shared.where("_least < _most").select("band", F.col("_least.class").alias("first"))
+    banded = written(banded.join(shared, "band"), "banded")
+    signatures = reps.select(F.col("class").alias("id"), "signature")
+    # Rows that repeat an id and a text are one set: combined before their set is taken.
+    times = sketched.groupBy("doc_id", "text_hash").count().select(
+        F.col("doc_id").alias("rep"), F.col("text_hash").alias("rep_hash"), (F.col("count") > 1).alias("often")
+    )
+    wanted = reps.join(banded.select("class").distinct(), "class", "left_semi").select("class", "rep", "rep_hash")
+    wanted = written(wanted.join(times, ["rep", "rep_hash"]).withColumnsRenamed({"rep": "doc_id", "rep_hash": "text_hash"}), "wanted")
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    once, often = (
+        hashed.join(wanted.where(c).drop("often"), ["doc_id", "text_hash"]).select("class", "text") for c in ("not often", "often")
     )
-    banded = reps.select(F.explode("bands").alias("band"), "rep")
-    shared = banded.groupBy("band").agg(F.min("rep").alias("first"), F.max("rep").alias("last")).where("first < last")
-    banded = written(banded.join(shared.select("band", "first"), "band"), "banded")
-    signatures = reps.select(F.col("rep").alias("id"), "signature")
-    wanted = banded.select(F.col("rep").alias("doc_id")).distinct()
-    sets = written(shingle_sets(docs.join(wanted, "doc_id", "left_semi")), "sets")
+    sets = written(shingle_sets(once.union(often.distinct())), "sets")
 
     def side(table: DataFrame, name: str) -> DataFrame:
         return table.select(*(F.col(c).alias(name if c == "id" else f"{name}_{c}") for c in table.columns))
@@ -188,20 +204,25 @@ def near_duplicates(
     all_size = F.size("a_shingles") + F.size("b_shingles") - shared_size
     confirmed = 100 * shared_size >= percent * all_size
 
-    star = banded.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct()
+    star = banded.where("class <> first").select(F.col("first").alias("a"), F.col("class").alias("b")).distinct()
     star = star.join(side(signatures, "a"), "a").join(side(signatures, "b"), "b").where(close).select("a", "b")
     star = star.join(side(sets, "a"), "a").join(side(sets, "b"), "b").where(confirmed)
     links = written(star.select("a", "b"), "links")
-    found = components(links, "near")
+
+    def by_id(links: DataFrame) -> DataFrame:
+        a, b = (classes.select(F.col("class").alias(c), F.col("rep").alias(f"rep_{c}")) for c in "ab")
+        return links.join(a, "a").join(b, "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+
+    found = components(by_id(links), "near")
 
     labelled = banded.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "band", "rep", F.coalesce("component", "rep").alias("part")
+        "band", "class", F.coalesce("component", "rep").alias("part")
     )
     split = labelled.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("band")
     rest = written(
         labelled.join(split, "band")
-        .join(reps.select("rep", "bands", "signature"), "rep")
-        .withColumnRenamed("rep", "id")
+        .join(reps.select("class", "bands", "signature"), "class")
+        .withColumnRenamed("class", "id")
         .join(sets, "id"),
         "rest",
     )
@@ -211,7 +232,7 @@ def near_duplicates(
     first = F.get(F.array_intersect("a_bands", "b_bands"), F.lit(0)) == a.band
     across = a.join(b, (a.band == b.band) & (F.col("a_part") < F.col("b_part")) & close & first & confirmed)
     links = links.union(across.select("a", "b"))
-    found = components(links, "near-all").withColumnRenamed("id", "rep")
+    found = components(by_id(links), "near-all").withColumnRenamed("id", "rep")
     return members.join(found, "rep", "left").select(
         "doc_id",
         "n_shingles",

@@ -243,6 +243,40 @@ def test_members_split_after_the_first_round_are_compared_with_each_other(spark,
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == plain_components(rows, 85)
 
 
+def test_equal_rows_are_one_set(spark, monkeypatch):
+    """A thousand equal rows and two near copies cost no more than one such row."""
+    words = [f"w{i}" for i in range(120)]
+    near = [(5, " ".join(words[:-1])), (6, " ".join(words[1:]))]
+    sizes = {}
+    for k in (1, 1000):
+        seen = sizes.setdefault(k, {})
+
+        def counted(df, label):
+            out = kept(df, label)
+            seen[label] = seen.get(label, 0) + out.count()
+            return out
+
+        from retailflow.llm import common
+
+        kept = common.written
+        monkeypatch.setattr(minhash, "written", counted)
+        rows = [(3, " ".join(words))] * k + near
+        got = minhash.near_duplicates(frame(spark, rows)).collect()
+        monkeypatch.setattr(minhash, "written", kept)
+        assert Counter((r.doc_id, r.component_id, r.kept) for r in got) == {(3, 3, True): k, (5, 3, False): 1, (6, 3, False): 1}
+    assert sizes[1].pop("sketches") == 3 and sizes[1000].pop("sketches") == 1002
+    assert sizes[1] == sizes[1000]
+
+
+def test_an_id_with_many_texts(spark):
+    """Rows of one id and different texts are judged each by its own text."""
+    rnd = random.Random(12)
+    texts = [" ".join(rnd.choices("abcdefgh", k=30)) for _ in range(40)]
+    rows = [(1, t) for t in texts] + [(100 + i, t) for i, t in enumerate(texts)] + [(500, texts[0] + " x")]
+    got = minhash.near_duplicates(frame(spark, rows)).collect()
+    assert all(r.component_id == 1 and r.kept == (r.doc_id == 1) for r in got) and len(got) == 81
+
+
 def test_signature_estimates_are_corrected_for_chance(spark):
     import numpy as np
 
