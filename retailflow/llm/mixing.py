@@ -5,7 +5,9 @@ documents, so each of its documents is repeated w x total / n times on
 average. Each document draws its own count: a uniform number from a seeded
 hash of its id inverts the Poisson distribution of that mean. Copies are
 exploded and shuffled globally by another hash. Draws depend only on id and
-seed, so a lost task repeats them exactly.
+seed, so a lost task repeats them exactly. A row whose id is missing or
+repeated draws and is placed by the number of its row as well, so such rows
+neither come and go together nor meet in one task.
 
 A mean above CHUNK is drawn as a sum of equal parts (sums of Poisson numbers
 are Poisson), which bounds the table of the distribution whatever the mean.
@@ -54,17 +56,19 @@ def rates(docs: DataFrame, weights: dict[str, float], source: str, total: int |
     if any(not 0 <= w <= 1 for w in weights.values()) or sum(weights.values()) > 1 + 1e-9:
         raise ValueError("weights are shares of the whole")
     rest = max(0.0, 1.0 - sum(weights.values()))
+    alone = Window.partitionBy(F.lit(0))  # of one row per weighted source
     counted = docs.groupBy(key(source, weights).alias("_key")).agg(F.count("*").alias("_n"))
     weight = F.lit(rest)
     if weights:
         shares = F.create_map(*(F.lit(x) for item in weights.items() for x in item))
         weight = F.coalesce(F.try_element_at(shares, F.col("_key")), weight)
-    everything = F.sum("_n").over(Window.partitionBy(F.lit(0)))  # of one row per weighted source
-    everything = everything if total is None else F.lit(total)
-    mean = everything.cast("double") * weight / F.col("_n").cast("double")
+    everything = F.sum("_n").over(alone) if total is None else F.lit(total)
+    share = F.coalesce(F.try_divide("_weight", F.sum("_weight").over(alone)), F.lit(0.0))  # of the weights that occur
+    mean = everything.cast("double") * share / F.col("_n").cast("double")
     parts = F.greatest(F.ceil(F.col("_mean") / CHUNK), F.lit(1)).cast("int")
     return (
-        counted.select("_key", mean.alias("_mean"))
+        counted.withColumn("_weight", weight)
+        .select("_key", mean.alias("_mean"))
         .withColumn("_parts", parts)
         .withColumn("_sums", distribution(F.col("_mean") / F.col("_parts")))
     )
@@ -89,14 +93,21 @@ def mix(
     None); all other sources, and rows without one, share what is left.
 
     A document drawn 0 times is left out, which is how a source is thinned.
-    Rows that repeat an id draw alike. A null id draws from the text "null".
-    Texts are not looked at. A weighted source without documents stays
-    empty; an empty table gives no rows.
+    Rows that repeat an id, and rows without one, draw each for itself, by
+    their number in ``docs`` (the same on every reading of the same files).
+    Texts are not looked at. The share of a weighted source without documents
+    goes to the others in proportion; an empty table gives no rows.
     """
     rows = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-        F.col(f"`{doc_id}`").alias("_id"),
+        F.col(f"`{doc_id}`").cast("string").alias("_doc"),
         key(source, weights).alias("_source"),
+        F.monotonically_increasing_id().alias("_number"),
+    )
+    repeated = rows.where("_doc is not null").groupBy("_doc").count().where("count > 1").select("_doc", F.lit(True).alias("_again"))
+    own = F.concat_ws(":", "_doc", F.lit("row"), "_number")
+    rows = rows.join(repeated, "_doc", "left").select(
+        "row", "_source", F.when(F.col("_doc").isNull() | F.col("_again").isNotNull(), own).otherwise(F.col("_doc")).alias("_id")
     )
     table = rates(docs, weights, source, total)
     drawn = rows.join(F.broadcast(table), F.col("_source").eqNullSafe(F.col("_key")))

@@ -92,7 +92,7 @@ d AS (
   SELECT *, CASE WHEN source IN ('src0', 'src1', 'src2', 'src3') THEN source END AS key FROM documents
 ),
 means AS (
-  SELECT w.key, (SELECT count(*) FROM documents)::DOUBLE * weight / n::DOUBLE AS mean
+  SELECT w.key, (SELECT count(*) FROM documents)::DOUBLE * (weight / sum(weight) OVER ()) / n::DOUBLE AS mean
   FROM (SELECT key, count(*) AS n FROM d GROUP BY key) c JOIN weights w ON c.key IS NOT DISTINCT FROM w.key
 ),
 parts AS (SELECT key, greatest(ceil(mean / 16), 1)::INTEGER AS parts, mean / greatest(ceil(mean / 16), 1)::INTEGER AS m FROM means),
