@@ -33,12 +33,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (linked from a similarity
-    of NEAR_PERCENT on), that of the smallest id; rows without an id stay.
-    Rows that repeat an id stay or go by their own texts."""
-    found = near_duplicates(docs, percent=NEAR_PERCENT)
-    gone = found.where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    mine = (docs["doc_id"].cast("long") == gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_hash"])
-    return docs.join(gone, mine, "left_anti")
+    of NEAR_PERCENT on), that of the smallest id. Rows are compared each for
+    itself, so of rows that repeat an id and a text one stays, and rows
+    without an id take part, behind all others."""
+    rows = written(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("_number")), "numbered")
+    texts = rows.select(F.col("_number").alias("doc_id"), "row.text")
+    found = written(near_duplicates(texts, percent=NEAR_PERCENT).select("doc_id", "component_id"), "near")
+    ids = rows.select(F.col("_number").alias("doc_id"), F.col("row.doc_id").alias("_id"))
+    order = F.struct(F.col("_id").isNull(), "_id", "doc_id")
+    grouped = found.groupBy("component_id").count().where("count > 1").select("component_id")
+    members = found.join(grouped, "component_id").join(ids, "doc_id")
+    first = written(members.groupBy("component_id").agg(F.min(order).alias("_first")), "near-first")
+    gone = members.join(first, "component_id").where(F.col("doc_id") != F.col("_first.doc_id")).select(F.col("doc_id").alias("_number"))
+    return rows.join(gone, "_number", "left_anti").select("row.*")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
