@@ -13,4 +13,5 @@ from retailflow.functions.cleaning import (  # noqa: F401
     ratio_pct,
     segment,
     share_pct,
+    whole_number,
 )

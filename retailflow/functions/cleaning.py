@@ -43,6 +43,14 @@ def digits_to_long(c: Column | str) -> Column:
     return F.regexp_replace(_c(c), "[^0-9]", "").try_cast("long")
 
 
+def whole_number(c: Column | str) -> Column:
+    """An id that may arrive as double (NULLs in pandas-written files), or as
+    text of either -> bigint; NULL if it is no whole number."""
+    c = _c(c)
+    number = c.try_cast("double")
+    return F.coalesce(c.try_cast("long"), F.when(number == F.floor(number), number.try_cast("long")))
+
+
 def normalize_postal(c: Column | str) -> Column:
     """Trim, remove inner spaces, upper-case."""
     return F.upper(F.regexp_replace(F.trim(_c(c)), " ", ""))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailflow.functions import digits_to_long, parse_mixed_date
+from retailflow.functions import digits_to_long, parse_mixed_date, whole_number
 from retailflow.sources.files import with_audit
 
 
@@ -18,15 +18,6 @@ def _audit(df: DataFrame, audit: bool, source=None) -> DataFrame:
     return with_audit(df, source) if audit else df
 
 
-def _long(name: str):
-    """An id that may arrive as double (NULLs in pandas-written files), or as
-    text of either -> bigint; NULL if it is no whole number."""
-    number = F.col(name).try_cast("double")
-    return F.coalesce(
-        F.col(name).try_cast("long"), F.when(number == F.floor(number), number.try_cast("long"))
-    )
-
-
 def _date_last(df: DataFrame, name: str) -> DataFrame:
     """The text column ``name`` replaced by its date, as the last column."""
     others = [c for c in df.columns if c != name]
@@ -42,8 +33,8 @@ def customer_bronze(raw: DataFrame, audit: bool = True, keep_text: bool = False)
     return _date_last(_audit(raw, audit), "registration_date").withColumns(
         {
             "phone": digits_to_long("phone"),
-            "customer_id": _long("customer_id"),
-            "geography_id": _long("geography_id"),
+            "customer_id": whole_number("customer_id"),
+            "geography_id": whole_number("geography_id"),
         }
     )
 
@@ -53,21 +44,21 @@ def orders_bronze(raw: DataFrame, audit: bool = True) -> DataFrame:
     the files lie in is no column of the orders."""
     return _date_last(_audit(raw, audit).drop("year_month"), "order_date").withColumns(
         {
-            "order_id": _long("order_id"),
-            "customer_id": _long("customer_id"),
-            "product_id": _long("product_id"),
+            "order_id": whole_number("order_id"),
+            "customer_id": whole_number("customer_id"),
+            "product_id": whole_number("product_id"),
         }
     )
 
 
 def product_bronze(raw: DataFrame, audit: bool = True) -> DataFrame:
     """Audit columns only (ids repaired to long)."""
-    return _audit(raw, audit).withColumns({"product_id": _long("product_id"), "supplier_id": _long("supplier_id")})
+    return _audit(raw, audit).withColumns({"product_id": whole_number("product_id"), "supplier_id": whole_number("supplier_id")})
 
 
 def geography_bronze(raw: DataFrame, audit: bool = True, source_name: str = "geographies.csv") -> DataFrame:
     """Batch single file, the source recorded as a constant name."""
-    return _audit(raw, audit, F.lit(source_name)).withColumns({"geography_id": _long("geography_id")})
+    return _audit(raw, audit, F.lit(source_name)).withColumns({"geography_id": whole_number("geography_id")})
 
 
 AUDIT_COLUMNS = ("processing_time", "source_file")

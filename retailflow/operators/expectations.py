@@ -13,7 +13,8 @@ A rule is a boolean SQL expression plus an action:
 Violation counts are attached with ``observe``: for a batch pass an
 :class:`pyspark.sql.Observation`, for a stream a name (the counts show up
 in ``StreamingQuery.lastProgress['observedMetrics']``). Counting is part of
-the same scan, no extra job.
+the same scan, no extra job. Streaming tables also keep the counts of every
+batch as a table and the dropped rows in quarantine (``streaming.runner``).
 """
 
 from __future__ import annotations
@@ -40,24 +41,48 @@ class Expectation:
         return F.coalesce(F.expr(self.condition), F.lit(False))
 
 
+Rules = tuple[Expectation, ...] | list[Expectation]
+
+
+def metrics(expectations: Rules) -> list[Column]:
+    """Violations of each rule and rows seen, as aggregates to observe."""
+    counts = [F.count(F.when(~e.holds(), F.lit(1))).alias(f"violations_{e.name}") for e in expectations]
+    return [*counts, F.count(F.lit(1)).alias("rows_seen")]
+
+
+def kept(expectations: Rules) -> Column:
+    """True where no ``drop`` rule is violated."""
+    holds = F.lit(True)
+    for e in expectations:
+        if e.action == "drop":
+            holds = holds & e.holds()
+    return holds
+
+
+def failing(df: DataFrame, expectations: Rules) -> DataFrame:
+    """``df``, whose run fails at a row that violates a ``fail`` rule."""
+    for e in expectations:
+        if e.action == "fail":
+            message = F.lit(f"expectation {e.name} violated: {e.condition}")
+            df = df.filter(F.when(e.holds(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    return df
+
+
+def violated(expectations: Rules) -> Column:
+    """The names of the rules that a row violates."""
+    return F.array_compact(F.array(*(F.when(~e.holds(), F.lit(e.name)) for e in expectations)))
+
+
 def apply_expectations(
-    df: DataFrame,
-    expectations: tuple[Expectation, ...] | list[Expectation],
-    observation: Observation | str | None = None,
+    df: DataFrame, expectations: Rules, observation: Observation | str | None = None
 ) -> DataFrame:
+    """Rules in the order given: a row that one drops is not seen by the next."""
     if not expectations:
         return df
     if observation is not None:
-        metrics = [
-            F.count(F.when(~e.holds(), F.lit(1))).alias(f"violations_{e.name}") for e in expectations
-        ] + [F.count(F.lit(1)).alias("rows_seen")]
-        df = df.observe(observation, *metrics)
+        df = df.observe(observation, *metrics(expectations))
     for e in expectations:
-        if e.action == "drop":
-            df = df.filter(e.holds())
-        elif e.action == "fail":
-            message = F.lit(f"expectation {e.name} violated: {e.condition}")
-            df = df.filter(F.when(e.holds(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+        df = df.filter(e.holds()) if e.action == "drop" else failing(df, [e])
     return df
 
 

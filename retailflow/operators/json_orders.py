@@ -24,13 +24,17 @@ def json_orders_bronze(
 
 def utc_timestamp(name: str) -> Column:
     """The moment that a text names, as wall-clock time in UTC whatever
-    the session time zone. All digits are seconds since 1970, a text with an
-    offset (or Z) is moved to UTC, one without is UTC already; unreadable
-    text becomes NULL."""
+    the session time zone. Up to 11 digits are seconds since 1970 and 12 or
+    13 digits milliseconds, a text with an offset (or Z) is moved to UTC, one
+    without is UTC already; unreadable text, longer numbers included, becomes
+    NULL."""
     text = F.col(name)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    moment = F.when(text.rlike(r"^[0-9]+$"), F.timestamp_seconds(text.try_cast("long"))).otherwise(
-        text.try_cast("timestamp")
+    number = text.try_cast("long")
+    moment = (
+        F.when(text.rlike(r"^[0-9]{1,11}$"), F.timestamp_seconds(number))
+        .when(text.rlike(r"^[0-9]{12,13}$"), F.timestamp_millis(number))
+        .when(~text.rlike(r"^[0-9]+$"), text.try_cast("timestamp"))
     )
     zoned = text.rlike(r"^[0-9]+$|:[0-9.]+ *(Z|[+-][0-9]{2}:?[0-9]{2})$")
     return F.when(zoned, F.timestamp_add("MICROSECOND", F.unix_micros(moment), epoch)).otherwise(

@@ -100,6 +100,9 @@ json_raw AS (
               WHEN event_id % 50 = 8 THEN CAST(1640390400 + (event_id - 500) * 600 AS VARCHAR)
               WHEN event_id % 50 = 9 THEN '2019-06-01 12:00:00'
               WHEN event_id % 50 = 10 THEN 'not a time'
+              WHEN event_id % 50 = 11 THEN strftime(ts, '%Y%m%d%H%M%S')
+              WHEN event_id % 50 = 12
+              THEN CAST((1640390400 + (event_id - 500) * 600) * 1000 + event_id % 1000 AS VARCHAR)
               ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS order_timestamp,
          user_id AS customer_id, props AS notifications
   FROM events
@@ -171,8 +174,11 @@ json_bronze AS (
 ),
 json_silver AS (
   SELECT order_id,
-         CASE WHEN regexp_full_match(order_timestamp, '[0-9]+')
+         CASE WHEN regexp_full_match(order_timestamp, '[0-9]{{1,11}}')
               THEN make_timestamp(CAST(order_timestamp AS BIGINT) * 1000000)
+              WHEN regexp_full_match(order_timestamp, '[0-9]{{12,13}}')
+              THEN make_timestamp(CAST(order_timestamp AS BIGINT) * 1000)
+              WHEN regexp_full_match(order_timestamp, '[0-9]+') THEN NULL
               WHEN regexp_matches(order_timestamp, '[+-][0-9][0-9]:00$')
               THEN strptime(left(order_timestamp, 19), '%Y-%m-%dT%H:%M:%S')
                    - CAST(left(right(order_timestamp, 6), 3) AS INTEGER) * INTERVAL 1 HOUR
@@ -368,6 +374,67 @@ SELECT CASE WHEN c_custkey % 7 < 2 THEN NULL ELSE c_custkey END AS customer_id,
        DATE '2021-02-03' AS registration_date
 FROM customer
 """
+    q["geography_bronze_by_header"] = _q(
+        "SELECT CASE WHEN geography_id % 5 = 0 THEN NULL ELSE geography_id END AS geography_id, country, state, city, "
+        "postal_code, lower(state) AS region_name, CASE WHEN geography_id % 5 = 0 THEN 'X' || geography_id "
+        "ELSE CAST(CAST(geography_id AS DOUBLE) AS VARCHAR) END AS geography_id_text FROM geo_raw"
+    )
+    q["json_orders_dirty"] = r"""
+WITH t AS (
+  SELECT *, CASE WHEN event_id % 50 = 7 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+05:00'
+              WHEN event_id % 50 = 8 THEN CAST(1640390400 + (event_id - 500) * 600 AS VARCHAR)
+              WHEN event_id % 50 = 9 THEN '2019-06-01 12:00:00'
+              WHEN event_id % 50 = 10 THEN 'not a time'
+              WHEN event_id % 50 = 11 THEN strftime(ts, '%Y%m%d%H%M%S')
+              WHEN event_id % 50 = 12
+              THEN CAST((1640390400 + (event_id - 500) * 600) * 1000 + event_id % 1000 AS VARCHAR)
+              ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS time_text,
+         CASE WHEN event_id % 7 = 0 THEN 'A-' || event_id WHEN event_id % 7 = 2 THEN NULL
+              ELSE CAST(event_id AS VARCHAR) END AS id_text
+  FROM events
+),
+w AS (
+  SELECT *, '{"customer_id":' || coalesce(CAST(user_id AS VARCHAR), 'null') || ','
+         || CASE WHEN event_id % 3 = 0 THEN '"extra":{"rank":' || event_id || ',"tags":["a","b"]},' ELSE '' END
+         || '"notifications":' || coalesce('"' || replace(replace(props, '\', '\\'), '"', '\"') || '"', 'null')
+         || ',"order_id":' || CASE WHEN event_id % 7 < 2 THEN '"' || id_text || '"' ELSE coalesce(id_text, 'null') END
+         || ',"order_timestamp":"' || time_text || '"}' AS line,
+         event_id % 11 = 0 AS broken
+  FROM t
+)
+SELECT CASE WHEN NOT broken AND event_id % 7 NOT IN (0, 2) THEN event_id END AS order_id,
+       CASE WHEN NOT broken THEN id_text END AS order_id_text,
+       CASE WHEN NOT broken THEN user_id END AS customer_id,
+       CASE WHEN NOT broken THEN props END AS notifications,
+       CASE WHEN broken THEN NULL
+            WHEN regexp_full_match(time_text, '[0-9]{1,11}') THEN make_timestamp(CAST(time_text AS BIGINT) * 1000000)
+            WHEN regexp_full_match(time_text, '[0-9]{12,13}') THEN make_timestamp(CAST(time_text AS BIGINT) * 1000)
+            WHEN regexp_full_match(time_text, '[0-9]+') THEN NULL
+            WHEN time_text LIKE '%+05:00' THEN strptime(left(time_text, 19), '%Y-%m-%dT%H:%M:%S') - INTERVAL 5 HOUR
+            ELSE TRY_CAST(time_text AS TIMESTAMP) END AS order_timestamp,
+       CASE WHEN NOT broken AND event_id % 3 = 0 THEN event_id END AS extra_rank,
+       CASE WHEN NOT broken THEN line END AS record,
+       CASE WHEN broken THEN left(line, length(line) - 3) END AS broken_line
+FROM w
+"""
+    q["expectation_results"] = _q("""
+SELECT 'orders_bronze_demo3' AS dataset, 'valid_order_id' AS rule, 'order_id IS NOT NULL' AS condition, 'drop' AS action,
+       count(*) AS rows_seen, count(*) FILTER (order_id IS NULL) AS violations, count(*) FILTER (order_id IS NULL) AS quarantined
+FROM json_bronze
+UNION ALL
+SELECT 'orders_silver_demo3', 'valid_timestamp', 'order_timestamp > ''2021-12-25''', 'drop', count(*), count(*) FILTER (old),
+       count(*) FILTER (old)
+FROM (SELECT NOT coalesce(order_timestamp > TIMESTAMP '2021-12-25', false) AS old FROM json_silver WHERE order_id IS NOT NULL)
+""")
+    q["later_columns_customers"] = _q(
+        "SELECT b.*, CASE WHEN CAST(regexp_extract(email, '_([0-9]+)@', 1) AS BIGINT) % 2 = 1 THEN lower(last_name) END "
+        "AS tier FROM cust_bronze b"
+    )
+    q["later_columns_orders"] = _q(
+        "SELECT order_id, customer_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price, "
+        "CAST(discount AS DOUBLE) AS discount, CAST(shipping_cost AS DOUBLE) AS shipping_cost, order_date, "
+        "CASE WHEN order_id % 2 = 1 THEN 'channel ' || (order_id % 3) END AS channel FROM ord_bronze"
+    )
     q["roundtrip_products_by_category"] = _q(
         "SELECT product_id, product_name, CAST(price AS DOUBLE) AS price, CAST(cost AS DOUBLE) AS cost, "
         "supplier_id, category FROM prod_raw"

@@ -13,14 +13,15 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType
 
 from retailflow.operators import gold, json_orders
 from retailflow.sources.landing import Landing
 from retailflow.streaming.runner import (
     Warehouse,
+    current_version,
     refresh_table,
     run_concurrently,
     run_json_streams,
@@ -65,15 +66,32 @@ DATASETS: tuple[Dataset, ...] = (
 BY_NAME = {d.name: d for d in DATASETS}
 
 
+# The order in which a gold table is stored: files of disjoint ranges of these keys (O1, O2).
+STORED_ORDER = {
+    "sales_by_date": ("order_date",),
+    "sales_by_category": ("total_revenue desc", "category"),
+    "sales_by_geography": ("total_revenue desc", "country", "state", "city"),
+    "customer_analytics": ("lifetime_value desc", "customer_id", "full_name"),
+    "product_performance": ("total_revenue desc", "product_id"),
+    "monthly_sales_trend": ("year", "month"),
+}
+
+
+def sort_keys(names: tuple[str, ...]) -> tuple[Column, ...]:
+    keys = (n.split(" ") for n in names)
+    return tuple(F.desc(k[0]) if len(k) > 1 else F.asc(k[0]) for k in keys)
+
+
 def run_gold(spark: SparkSession, wh: Warehouse, as_of: date | None = None) -> None:
-    """Batch gold layer over the streamed silver fact (T5)."""
+    """Batch gold layer over the streamed silver fact (T5), each table stored
+    in its order."""
     refresh_table(gold.orders_enriched(spark.read.parquet(wh.table("orders_silver"))), wh, "gold_orders_enriched")
     enriched = spark.read.parquet(wh.table("gold_orders_enriched"))
 
     def build(name, fn):
         def step() -> None:  # built in its own thread: the rank inputs are written there too
             df = fn(enriched, as_of=as_of, sort=False) if name == "customer_analytics" else fn(enriched, sort=False)
-            refresh_table(df, wh, name)
+            refresh_table(df, wh, name, cluster_by=sort_keys(STORED_ORDER[name]))
 
         return step
 
@@ -125,27 +143,31 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _name(text: str) -> str:
+    """``text`` as an SQL identifier."""
+    return "`" + text.replace("`", "``") + "`"
+
+
 def register_tables(spark: SparkSession, wh: Warehouse, schema: str, use: bool = False) -> list[str]:
     """K5, K6: create the schema and register every written table in it,
     with its comment and properties; ``use=True`` also makes it the current
     schema (``USE SCHEMA``)."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{wh.root}/catalog/{schema}.db'")
+    quoted_schema = _name(schema)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted_schema} LOCATION {_quoted(f'{wh.root}/catalog/{schema}.db')}")
     if use:
         spark.catalog.setCurrentDatabase(schema)
     done = []
     for d in DATASETS:
-        path = wh.table(d.name)
-        try:
-            spark.read.parquet(path).schema
-        except AnalysisException as e:
-            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
+        if (version := current_version(spark, wh, d.name)) is None:
             continue  # not written in this run
+        path = wh.kept(d.name) if d.kind == "stream" else f"{wh.folder(d.name)}/{version}"
         full = f"{schema}.{d.name}"
-        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        spark.sql(f"DROP TABLE IF EXISTS {quoted_schema}.{d.name}")
         props = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in catalog_properties(d).items())
+        # A streaming table is all its batch folders.
+        options = "OPTIONS (recursiveFileLookup 'true')" if d.kind == "stream" else ""
         spark.sql(
-            f"CREATE TABLE {full} USING parquet LOCATION {_quoted(path)} COMMENT {_quoted(d.comment)}"
+            f"CREATE TABLE {quoted_schema}.{d.name} USING parquet {options} LOCATION {_quoted(path)} COMMENT {_quoted(d.comment)}"
             + (f" TBLPROPERTIES ({props})" if props else "")
         )
         done.append(full)

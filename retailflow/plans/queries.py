@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from retailflow.config import DEFAULT_AS_OF, DEFAULT_ORDER_DATE, run_folder
-from retailflow.functions import digits_to_long, normalize_postal, parse_mixed_date
+from retailflow.functions import digits_to_long, normalize_postal, parse_mixed_date, whole_number
 from retailflow.operators import bronze, gold, json_orders, silver
 from retailflow.operators.expectations import (
     VALID_ORDER_ID_DROP,
@@ -33,8 +33,24 @@ from retailflow.schemas import MONEY_DECIMAL
 from retailflow.sources import testdata
 from retailflow.operators import datagen
 from retailflow.sources import files
-from retailflow.sources.landing import Landing, land_test_feeds, write_by_category, write_by_month, write_csv_files
-from retailflow.streaming.runner import Warehouse, run_json_streams, run_retail_streams
+from retailflow.sources.landing import (
+    Landing,
+    land_test_feeds,
+    write_by_category,
+    write_by_month,
+    write_csv_files,
+    write_lines,
+)
+from retailflow.streaming.runner import (
+    Warehouse,
+    expectation_results,
+    quarantined,
+    read_all_columns,
+    run_customer_bronze,
+    run_json_streams,
+    run_orders_bronze,
+    run_retail_streams,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -393,7 +409,8 @@ STREAM_QUERIES: dict[str, Query] = {
 
 
 def q_roundtrip_geographies_csv(spark, sf_dir):
-    return files.read_geographies(spark, streamed_run(spark, sf_dir)[0].geographies)
+    raw = files.read_geographies(spark, streamed_run(spark, sf_dir)[0].geographies)
+    return raw.withColumn("geography_id", whole_number("geography_id"))
 
 
 def q_roundtrip_customers_csv(spark, sf_dir):
@@ -510,7 +527,117 @@ def q_customer_bronze_dirty(spark, sf_dir):
     return bronze.customer_bronze(files.read_customers(spark, path, stream=False), audit=False, keep_text=True)
 
 
+def q_geography_bronze_by_header(spark, sf_dir):
+    """The geography file with its columns in another order, one more
+    column and ids that are no numbers, read by its header."""
+    raw = testdata.raw(spark, sf_dir, "geographies")
+    shuffled = raw.select(
+        "city", "state", F.lower("state").alias("region_name"), "country",
+        F.when(F.col("geography_id") % 5 == 0, F.concat(F.lit("X"), F.col("geography_id").cast("string")))
+        .otherwise(F.col("geography_id").cast("double").cast("string")).alias("geography_id"),
+        "postal_code",
+    )
+    path = f"{run_folder(spark, 'dirty')}/geographies.csv"
+    write_csv_files(shuffled, path)
+    read = files.read_geographies(spark, path)
+    return bronze.geography_bronze(read.withColumn("geography_id_text", F.col("geography_id")), audit=False)
+
+
+def _json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON line per event: ids that are text, numbers in quotes or
+    missing, fields that no schema lists, times of all kinds, and lines that
+    break off."""
+    raw = testdata.raw_json_orders(spark, sf_dir, ("event_id",))
+    k = F.col("event_id")
+
+    def quoted(c: str):
+        return F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
+
+    order_id = (
+        F.when(k % 7 == 0, F.concat(F.lit('"A-'), k.cast("string"), F.lit('"')))
+        .when(k % 7 == 1, F.concat(F.lit('"'), k.cast("string"), F.lit('"')))
+        .when(k % 7 == 2, "null")
+        .otherwise(k.cast("string"))
+    )
+    extra = F.when(k % 3 == 0, F.concat(F.lit('"extra":{"rank":'), k.cast("string"), F.lit(',"tags":["a","b"]},'))).otherwise("")
+    line = F.concat(
+        F.lit('{"customer_id":'), F.coalesce(F.col("customer_id").cast("string"), F.lit("null")), F.lit(","), extra,
+        F.lit('"notifications":'), F.coalesce(quoted("notifications"), F.lit("null")), F.lit(',"order_id":'), order_id,
+        F.lit(',"order_timestamp":'), quoted("order_timestamp"), F.lit("}"),
+    )
+    broken = F.expr("left(line, length(line) - 3)")
+    return raw.select(k, line.alias("line")).select(F.when(k % 11 == 0, broken).otherwise(F.col("line")).alias("line"))
+
+
+def q_json_orders_dirty(spark, sf_dir):
+    """The dirty JSON feed landed as files and streamed: no
+    row and no field is lost."""
+    root = run_folder(spark, "dirty")
+    write_lines(_json_lines(spark, sf_dir), f"{root}/json/orders")
+    wh = Warehouse(f"{root}/warehouse")
+    run_json_streams(spark, f"{root}/json", wh)
+    return spark.read.parquet(wh.table("orders_bronze_demo3")).select(
+        "order_id", "order_id_text", "customer_id", "notifications",
+        json_orders.utc_timestamp("order_timestamp").alias("order_timestamp"),
+        F.try_variant_get("record", "$.extra.rank", "long").alias("extra_rank"),
+        F.to_json("record").alias("record"), "broken_line",
+    )
+
+
+JSON_RULES = ((VALID_ORDER_ID_DROP,), (VALID_TIMESTAMP_DROP,))
+
+
+def q_expectation_results(spark, sf_dir):
+    """Q1, Q2: what the rules found in the streamed JSON pipeline, from the
+    results tables of its micro-batches, beside the rows in quarantine."""
+    land, _ = streamed_run(spark, sf_dir)
+    wh = Warehouse(f"{run_folder(spark, 'rules')}/warehouse")
+    run_json_streams(spark, land.json_source, wh, *JSON_RULES)
+    results = expectation_results(spark, wh).groupBy("dataset", "rule", "condition", "action")
+    results = results.agg(F.sum("rows_seen").alias("rows_seen"), F.sum("violations").alias("violations"))
+    rows = None
+    for dataset, rules in zip(("orders_bronze_demo3", "orders_silver_demo3"), JSON_RULES):
+        dropped = quarantined(spark, wh, dataset, rules).select(F.explode("violated_rules").alias("rule"))
+        dropped = dropped.groupBy("rule").agg(F.lit(dataset).alias("dataset"), F.count(F.lit(1)).alias("quarantined"))
+        rows = dropped if rows is None else rows.unionByName(dropped)
+    return results.join(rows, ["dataset", "rule"], "left")
+
+
+def q_later_columns_customers(spark, sf_dir):
+    """Two deliveries of customers, the second with its columns in
+    another order and one more, streamed one after the other into one table."""
+    root = run_folder(spark, "later")
+    raw = testdata.raw(spark, sf_dir, "customers")
+    odd = F.regexp_extract("email", "_([0-9]+)@", 1).cast("long") % 2 == 1
+    wh = Warehouse(f"{root}/warehouse")
+    write_csv_files(raw.where(~odd), f"{root}/customers")
+    run_customer_bronze(spark, f"{root}/customers", wh)
+    more = raw.where(odd).select(F.lower("last_name").alias("tier"), *reversed(raw.columns))
+    write_csv_files(more, f"{root}/customers")
+    run_customer_bronze(spark, f"{root}/customers", wh)
+    return read_all_columns(spark, wh, "customer_bronze_v1").drop(*bronze.AUDIT_COLUMNS)
+
+
+def q_later_columns_orders(spark, sf_dir):
+    """Two deliveries of orders, the second with one more column."""
+    root = run_folder(spark, "later")
+    raw = testdata.raw(spark, sf_dir, "orders")
+    odd = F.col("order_id") % 2 == 1
+    wh = Warehouse(f"{root}/warehouse")
+    write_by_month(raw.where(~odd), f"{root}/orders")
+    run_orders_bronze(spark, f"{root}/orders", wh, MONEY_DECIMAL)
+    more = raw.where(odd).withColumn("channel", F.concat(F.lit("channel "), (F.col("order_id") % 3).cast("string")))
+    write_by_month(more, f"{root}/orders")
+    run_orders_bronze(spark, f"{root}/orders", wh, MONEY_DECIMAL)
+    return as_doubles(read_all_columns(spark, wh, "orders_bronze_v1").drop(*bronze.AUDIT_COLUMNS))
+
+
 EXTRA_QUERIES: dict[str, Query] = {
+    "geography_bronze_by_header": q_geography_bronze_by_header,
+    "json_orders_dirty": q_json_orders_dirty,
+    "expectation_results": q_expectation_results,
+    "later_columns_customers": q_later_columns_customers,
+    "later_columns_orders": q_later_columns_orders,
     "roundtrip_geographies_csv": q_roundtrip_geographies_csv,
     "roundtrip_customers_csv": q_roundtrip_customers_csv,
     "roundtrip_products_by_category": q_roundtrip_products_by_category,

@@ -97,6 +97,11 @@ def write_json(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_lines(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Lines of text (one column) as they are."""
+    df.write.mode(mode).text(path)
+
+
 def land_test_feeds(spark: SparkSession, sf_dir: str, root: str) -> Landing:
     """Derive every raw feed from the test tables and write it in its
     raw-zone layout below ``root``."""

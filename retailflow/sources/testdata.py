@@ -166,10 +166,11 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_json_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_json_orders(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """JSON orders from the event table; some ids missing and some times
-    long past (DROP-rule bait), times with an offset, as epoch seconds around
-    2021-12-25, and unreadable."""
+    long past (DROP-rule bait), times with an offset, as epoch seconds and
+    milliseconds around 2021-12-25, as 14 digits, and unreadable. ``keep``
+    names event columns to keep beside them."""
     e = load(spark, sf_dir, "events")
     k = F.col("event_id")
     return e.select(
@@ -178,10 +179,13 @@ def raw_json_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 50 == 8, (F.lit(1640390400) + (k - 500) * 600).cast("string"))
         .when(k % 50 == 9, F.lit("2019-06-01 12:00:00"))
         .when(k % 50 == 10, F.lit("not a time"))
+        .when(k % 50 == 11, F.date_format(F.col("ts"), "yyyyMMddHHmmss"))
+        .when(k % 50 == 12, ((F.lit(1640390400) + (k - 500) * 600) * 1000 + k % 1000).cast("string"))
         .otherwise(F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
         .alias("order_timestamp"),
         F.col("user_id").alias("customer_id"),
         F.col("props").alias("notifications"),
+        *keep,
     )
 
 

@@ -1,11 +1,22 @@
-"""Incremental runs of the bronze and silver tables.
+"""Incremental runs of the bronze and silver tables (T1-T5, K1) and full
+refreshes of batch tables (K2).
 
 Each streaming table is one Structured Streaming query with its own
-checkpoint, writing parquet in append mode with ``trigger(availableNow)``:
-it processes every file that arrived since the last run, exactly once, and
-stops. Rerunning with no new files adds nothing; a new file adds only its
-rows. Downstream streams read the upstream sink directory, which they
-follow through the sink's commit log.
+checkpoint and ``trigger(availableNow)``: it processes every file that
+arrived since the last run and stops. A micro-batch is written into a
+folder named by its number, replacing what an earlier attempt at the same
+batch left there, so a replayed batch changes nothing; the rows are
+rebalanced by bytes, so the number of files follows from the data and not
+from the number of tasks. Rerunning with no new files adds nothing; a new
+file adds only its rows. A downstream stream follows the batch folders; it
+starts after its upstream has finished, so it never sees half a batch.
+
+A batch table is written as a new version, in a folder of its own, and
+becomes the table when a small pointer file naming it is added, last of
+all. Readers resolve the pointer to a folder that no refresh touches again:
+one that started earlier finishes on the old version, and a crash before
+the pointer leaves the old version in place. ``remove_old_versions`` clears
+versions that have been out of use for some time.
 
 Tables run in dependency order and each query is awaited before its
 dependants start, so a static side (the product and customer dimensions
@@ -15,6 +26,8 @@ reads it.
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -22,15 +35,26 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DataType, DoubleType
+from pyspark.sql.types import DataType, DoubleType, StructType
 
+from retailflow import schemas
 from retailflow.operators import bronze, json_orders, silver
-from retailflow.operators.expectations import Expectation
+from retailflow.operators.expectations import Expectation, failing, kept, metrics, violated
 from retailflow.sources import files
+from retailflow.sources.columns import csv_columns, csv_headers, joined, parquet_columns, read_csv_by_header
 from retailflow.sources.landing import Landing
 
+#: Seconds that an old version of a batch table stays for its readers.
+RETENTION_SECONDS = 7 * 24 * 3600
+
+KEPT = "_kept=true"
+#: What the pointer of a streaming table names.
+ALL_BATCHES = f"{KEPT}/_batch=*"
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -38,21 +62,87 @@ class Warehouse:
 
     root: str
 
-    def table(self, name: str) -> str:
+    def folder(self, name: str) -> str:
         return f"{self.root}/tables/{name}"
 
+    def pointers(self, name: str) -> str:
+        return f"{self.root}/pointers/{name}"
+
+    def table(self, name: str) -> str:
+        """Where Spark reads table ``name``: the current version of a batch
+        table, the batches of a streaming table."""
+        return f"{self.folder(name)}/{current_version(SparkSession.active(), self, name) or ALL_BATCHES}"
+
+    def kept(self, name: str) -> str:
+        """All batches of a streaming table, one folder each."""
+        return f"{self.folder(name)}/{KEPT}"
+
+    def quarantine(self, name: str) -> str:
+        """The rows that rules kept out of a streaming table."""
+        return f"{self.folder(name)}/_kept=false/_batch=*"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
 
-def run_stream_table(df: DataFrame, wh: Warehouse, name: str) -> StreamingQuery:
+RESULTS = "expectation_results"
+RESULTS_SCHEMA = (
+    "dataset string, batch_id long, rule string, condition string, action string, rows_seen long, violations long"
+)
+
+
+def write_batch(df: DataFrame, wh: Warehouse, name: str, batch_id: int, rules: tuple[Expectation, ...] = ()) -> None:
+    """Writes a micro-batch as its own folder, whatever stood there before.
+    Rows that a ``drop`` rule rejects go to quarantine in the same write; the
+    counts of violations, taken in the same pass, are written as the batch's
+    rows of the results table, last."""
+    if not rules:
+        df.hint("rebalance").write.mode("overwrite").parquet(f"{wh.kept(name)}/_batch={batch_id}")
+        return
+    seen = Observation()
+    flagged = failing(df.observe(seen, *metrics(rules)), rules)
+    flagged = flagged.withColumns({"_kept": kept(rules), "_batch": F.lit(batch_id)})
+    writer = flagged.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("_kept", "_batch").parquet(wh.folder(name))
+    counts = seen.get
+    rows = [
+        (name, batch_id, r.name, r.condition, r.action, counts["rows_seen"], counts[f"violations_{r.name}"]) for r in rules
+    ]
+    results = df.sparkSession.createDataFrame(rows, RESULTS_SCHEMA).coalesce(1)
+    results.write.mode("overwrite").parquet(f"{wh.folder(RESULTS)}/{name}/batch-{batch_id}")
+
+
+def expectation_results(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """Rows seen and violations per dataset, micro-batch and rule."""
+    return spark.read.schema(RESULTS_SCHEMA).parquet(f"{wh.folder(RESULTS)}/*/batch-*")
+
+
+def quarantined(spark: SparkSession, wh: Warehouse, name: str, rules: tuple[Expectation, ...], schema=None) -> DataFrame:
+    """The rows that ``rules`` kept out of table ``name``, with the names of
+    the rules they violate as ``violated_rules``."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(wh.quarantine(name)).withColumn("violated_rules", violated(rules))
+
+
+def run_stream_table(
+    df: DataFrame, wh: Warehouse, name: str, rules: tuple[Expectation, ...] = ()
+) -> StreamingQuery:
     """Append the stream into table ``name`` until all available input is
-    processed; raise if the query failed."""
+    processed; raise if the query failed. The violations of ``rules`` are
+    also observed in the query's progress as ``<name>_expectations``."""
+    if rules:
+        df = df.observe(f"{name}_expectations", *metrics(rules))
+    spark = df.sparkSession
+    # An empty batch with the columns, so a table without input can be read too.
+    spark.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").parquet(f"{wh.kept(name)}/_batch=start")
+    _pointer(spark, ALL_BATCHES, 0).write.mode("ignore").json(wh.pointers(name))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, wh, name, batch_id, rules)
+
     writer = (
-        df.writeStream.format("parquet")
-        .outputMode("append")
+        df.writeStream.foreachBatch(write)
         .option("checkpointLocation", wh.checkpoint(name))
-        .option("path", wh.table(name))
         .queryName(name)
         .trigger(availableNow=True)
     )
@@ -77,25 +167,109 @@ def run_concurrently(*steps: Callable[[], object]) -> list:
         return [f.result() for f in futures]
 
 
-def refresh_table(df: DataFrame, wh: Warehouse, name: str) -> None:
-    """Full recompute of a batch table (K2). The new version is written to a
-    folder of its own and takes the table's place by a rename once it is
-    complete: a failed write leaves the old table as it was."""
-    version = uuid.uuid4().hex[:12]
-    new = f"{wh.root}/versions/{name}-{version}"
-    df.write.parquet(new)
-    jvm = df.sparkSession._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(new).getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf())
-    table, old = path(wh.table(name)), path(f"{wh.root}/versions/{name}-until-{version}")
-    fs.mkdirs(table.getParent())
-    replaced = fs.exists(table) and fs.rename(table, old)
-    if not fs.rename(path(new), table):
-        if replaced:
-            fs.rename(old, table)
-        raise RuntimeError(f"table {name} could not be replaced")
-    if replaced:
-        fs.delete(old, True)
+POINTER_SCHEMA = "version string, written long"
+
+
+def _pointer(spark: SparkSession, version: str, written: int) -> DataFrame:
+    return spark.createDataFrame([(version, written)], POINTER_SCHEMA).coalesce(1)
+
+
+def versions(spark: SparkSession, wh: Warehouse, name: str) -> list[tuple[str, int]]:
+    """The versions that table ``name`` has had, in order, with when each was
+    written (nanoseconds)."""
+    try:
+        found = spark.read.schema(POINTER_SCHEMA).json(wh.pointers(name)).collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(((r.version, r.written) for r in found), key=lambda r: (r[1], r[0]))
+
+
+def current_version(spark: SparkSession, wh: Warehouse, name: str) -> str | None:
+    """The folder, below that of the table, which its newest pointer names."""
+    found = versions(spark, wh, name)
+    return found[-1][0] if found else None
+
+
+def refresh_table(
+    df: DataFrame, wh: Warehouse, name: str, cluster_by: tuple[Column | str, ...] = ()
+) -> str:
+    """Full recompute of a batch table (K2); returns the folder of the new
+    version. ``cluster_by`` sorts the rows into files of disjoint key ranges
+    (O1, O2), so a reader that wants the order, or a part of the keys, finds
+    it file by file."""
+    spark = df.sparkSession
+    version = f"version-{uuid.uuid4().hex[:12]}"
+    if cluster_by:
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    df.write.parquet(f"{wh.folder(name)}/{version}")
+    # One file, which appears whole or not at all: from here on it is the table.
+    _pointer(spark, version, time.time_ns()).write.mode("append").json(wh.pointers(name))
+    return f"{wh.folder(name)}/{version}"
+
+
+def remove_old_versions(spark: SparkSession, wh: Warehouse, name: str, retention: float = RETENTION_SECONDS) -> list[str]:
+    """Deletes the versions of a batch table that were replaced more than
+    ``retention`` seconds ago; returns their folders. Pointers stay (a few
+    bytes a refresh), so the current version is never in doubt."""
+    found, gone = versions(spark, wh, name), []
+    now = time.time_ns()
+    for (version, _), (_, replaced) in zip(found, found[1:]):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{wh.folder(name)}/{version}")
+        fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        if replaced <= now - retention * 1e9 and fs.exists(path) and fs.delete(path, True):
+            gone.append(f"{wh.folder(name)}/{version}")
+    return gone
+
+
+def known_columns(spark: SparkSession, wh: Warehouse, feed: str, declared: StructType, found: StructType) -> StructType:
+    """The columns of a feed: the declared ones, those known from earlier
+    runs, and those that files have by now, which the registry then keeps."""
+    name = f"columns/{feed}"
+    known = declared
+    if version := current_version(spark, wh, name):
+        kept_text = spark.read.schema("columns string").parquet(f"{wh.folder(name)}/{version}").first().columns
+        known = StructType.fromJson(json.loads(kept_text))
+    columns = joined(joined(declared, known), found)
+    if columns != known or version is None:
+        refresh_table(spark.createDataFrame([(columns.json(),)], "columns string").coalesce(1), wh, name)
+    return columns
+
+
+def run_product_bronze(
+    spark: SparkSession, path: str, wh: Warehouse, money: DataType = DoubleType(), max_files: int | None = None
+) -> tuple[StreamingQuery, StructType]:
+    """D5 as a stream, by all columns that the files have; the run and the
+    columns of the table."""
+    columns = known_columns(spark, wh, "products", schemas.product_schema(money), parquet_columns(spark, path))
+    df = bronze.product_bronze(files.read_products(spark, path, True, money, max_files, columns))
+    return run_stream_table(df, wh, "product_bronze_v1"), df.schema
+
+
+def run_customer_bronze(
+    spark: SparkSession, path: str, wh: Warehouse, max_files: int | None = None
+) -> tuple[StreamingQuery, StructType]:
+    """D1 as a stream, each file by its own header."""
+    headers = csv_headers(spark, path, wh.folder("columns"))
+    columns = known_columns(spark, wh, "customers", schemas.customer_schema(), csv_columns(headers))
+    df = bronze.customer_bronze(read_csv_by_header(spark, path, columns, headers, True, max_files))
+    return run_stream_table(df, wh, "customer_bronze_v1"), df.schema
+
+
+def run_orders_bronze(
+    spark: SparkSession, path: str, wh: Warehouse, money: DataType = DoubleType(), max_files: int | None = None
+) -> tuple[StreamingQuery, StructType]:
+    """D3 as a stream, by all columns that the files have."""
+    columns = known_columns(spark, wh, "orders", schemas.order_schema(money), parquet_columns(spark, path))
+    df = bronze.orders_bronze(files.read_orders(spark, path, True, money, max_files, columns))
+    return run_stream_table(df, wh, "orders_bronze_v1"), df.schema
+
+
+def read_all_columns(spark: SparkSession, wh: Warehouse, name: str) -> DataFrame:
+    """Table ``name`` with the columns of all its batches; rows of a batch
+    without one have NULL there."""
+    return spark.read.option("mergeSchema", "true").parquet(wh.table(name))
 
 
 def run_retail_streams(
@@ -110,44 +284,38 @@ def run_retail_streams(
     customer chain and the order bronze do not depend on each other and run
     concurrently; the order fact starts once all three are complete."""
     runs: dict[str, StreamingQuery] = {}
+    columns: dict[str, StructType] = {}
+
+    def upstream(name: str) -> DataFrame:
+        return files.read_table(spark, wh.table(name), stream=True, max_files=max_files, schema=columns[name])
 
     def products() -> None:
-        raw = files.read_products(spark, landing.products, stream=True, money=money, max_files=max_files)
-        b = bronze.product_bronze(raw)
-        runs["product_bronze_v1"] = run_stream_table(b, wh, "product_bronze_v1")
-        up = files.read_table(spark, wh.table("product_bronze_v1"), stream=True, max_files=max_files, schema=b.schema)
-        runs["product_silver_v2"] = run_stream_table(silver.product_silver(up), wh, "product_silver_v2")
+        name = "product_bronze_v1"
+        runs[name], columns[name] = run_product_bronze(spark, landing.products, wh, money, max_files)
+        runs["product_silver_v2"] = run_stream_table(silver.product_silver(upstream(name)), wh, "product_silver_v2")
 
     def customers() -> None:
         # geography: batch reference data, fully refreshed, then the
         # customer stream joined to its snapshot
         geo_raw = files.read_geographies(spark, landing.geographies)
-        refresh_table(bronze.geography_bronze(geo_raw), wh, "geography_bronze_v1")
-        geo_b = spark.read.parquet(wh.table("geography_bronze_v1"))
-        refresh_table(silver.geography_silver(geo_b), wh, "geography_silver")
-        raw = files.read_customers(spark, landing.customers, stream=True, max_files=max_files)
-        b = bronze.customer_bronze(raw)
-        runs["customer_bronze_v1"] = run_stream_table(b, wh, "customer_bronze_v1")
-        up = files.read_table(spark, wh.table("customer_bronze_v1"), stream=True, max_files=max_files, schema=b.schema)
-        geo = spark.read.parquet(wh.table("geography_silver"))
-        runs["dim_customer_silver_v2"] = run_stream_table(silver.dim_customer(up, geo), wh, "dim_customer_silver_v2")
-
-    order_bronze = bronze.orders_bronze(
-        files.read_orders(spark, landing.orders, stream=True, money=money, max_files=max_files)
-    )
+        geo_b = spark.read.parquet(refresh_table(bronze.geography_bronze(geo_raw), wh, "geography_bronze_v1"))
+        geo = spark.read.parquet(refresh_table(silver.geography_silver(geo_b), wh, "geography_silver"))
+        name = "customer_bronze_v1"
+        runs[name], columns[name] = run_customer_bronze(spark, landing.customers, wh, max_files)
+        dim = silver.dim_customer(upstream(name), geo)
+        runs["dim_customer_silver_v2"] = run_stream_table(dim, wh, "dim_customer_silver_v2")
 
     def orders_bronze() -> None:
-        runs["orders_bronze_v1"] = run_stream_table(order_bronze, wh, "orders_bronze_v1")
+        name = "orders_bronze_v1"
+        runs[name], columns[name] = run_orders_bronze(spark, landing.orders, wh, money, max_files)
 
     run_concurrently(products, customers, orders_bronze)
 
     # orders (stream) joined to the product and customer snapshots
-    up = files.read_table(
-        spark, wh.table("orders_bronze_v1"), stream=True, max_files=max_files, schema=order_bronze.schema
-    )
     products = spark.read.parquet(wh.table("product_silver_v2"))
     customers = spark.read.parquet(wh.table("dim_customer_silver_v2"))
-    runs["orders_silver"] = run_stream_table(silver.orders_silver(up, products, customers, as_of), wh, "orders_silver")
+    fact = silver.orders_silver(upstream("orders_bronze_v1"), products, customers, as_of)
+    runs["orders_silver"] = run_stream_table(fact, wh, "orders_silver")
     return runs
 
 
@@ -159,13 +327,14 @@ def run_json_streams(
     silver_rules: tuple[Expectation, ...] = (),
     max_files: int | None = None,
 ) -> dict[str, StreamingQuery]:
-    """Bronze and silver of the JSON orders pipeline (D16, D17). Rule
-    violation counts are observed as ``<table>_expectations``."""
+    """Bronze and silver of the JSON orders pipeline (D16, D17). The bronze
+    table keeps every record whole; what the rules find is in the results
+    and quarantine tables."""
     runs: dict[str, StreamingQuery] = {}
-    raw = files.read_json_orders(spark, source_root, stream=True, max_files=max_files)
-    b = json_orders.json_orders_bronze(raw, expectations=bronze_rules, observation="orders_bronze_demo3_expectations")
-    runs["orders_bronze_demo3"] = run_stream_table(b, wh, "orders_bronze_demo3")
+    b = json_orders.json_orders_bronze(files.read_json_records(spark, source_root, stream=True, max_files=max_files))
+    runs["orders_bronze_demo3"] = run_stream_table(b, wh, "orders_bronze_demo3", bronze_rules)
     up = files.read_table(spark, wh.table("orders_bronze_demo3"), stream=True, max_files=max_files, schema=b.schema)
-    s = json_orders.json_orders_silver(up, expectations=silver_rules, observation="orders_silver_demo3_expectations")
-    runs["orders_silver_demo3"] = run_stream_table(s, wh, "orders_silver_demo3")
+    runs["orders_silver_demo3"] = run_stream_table(
+        json_orders.json_orders_silver(up), wh, "orders_silver_demo3", silver_rules
+    )
     return runs
