@@ -155,10 +155,13 @@ def customer_analytics(enriched: DataFrame, as_of: date | None = None, sort: boo
     return out.orderBy(F.desc("lifetime_value"), "customer_id", "full_name") if sort else out
 
 
+PRODUCT_KEY = ("product_id", "product_name", "category")
+
+
 def product_sales(enriched: DataFrame) -> DataFrame:
     """D14 before the rank: per-product totals (revenue still exact)."""
     return (
-        enriched.groupBy("product_id", "product_name", "category")
+        enriched.groupBy(*PRODUCT_KEY)
         .agg(
             F.count("order_id").alias("total_orders"),
             F.sum("quantity").alias("total_quantity_sold"),
@@ -190,7 +193,7 @@ def product_performance_of(ranked: DataFrame, sort: bool = True) -> DataFrame:
 def product_performance(enriched: DataFrame, sort: bool = True) -> DataFrame:
     """Per product, with a dense rank by revenue (ties share a rank);
     the rank is taken on the exact revenue (see ``operators/ranking.py``)."""
-    ranked = dense_rank_desc(product_sales(enriched), "total_revenue", "product_rank")
+    ranked = dense_rank_desc(product_sales(enriched), "total_revenue", "product_rank", ties=PRODUCT_KEY)
     return product_performance_of(ranked, sort=sort)
 
 

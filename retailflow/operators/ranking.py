@@ -4,17 +4,16 @@
 moves all rows to a single task. Here the same ranks are computed in
 parallel, at every size in the same way:
 
-1. distinct values (hash aggregate: a value shared by a third of the rows
-   collapses map-side, so no task sees more than its share);
-2. range-partition the distinct values in rank order, sort each range and
-   number it with ``monotonically_increasing_id``: its high bits are the
-   range, its low 33 bits the position in the range. The range bounds come
-   from sampling, so the numbered values are written as a table before they
-   are used more than once;
-3. add the number of values in all earlier ranges (one row per range, a
-   table whose size is bounded by the partition count, broadcast);
-4. join the ranks back on the value (null-safe: NULL ranks last). A value
-   that many rows share is a hot key of this join, which AQE splits.
+1. the rows are range-partitioned in rank order and get the number of their
+   range. Rows of equal value are told apart by further keys, so a value that
+   a third of all rows share is spread over several ranges. The range bounds
+   come from sampling, so the numbered rows are written as a table;
+2. rows are ranked within their range;
+3. each range hands on how many values it has, its first and its last value.
+   A value carried over from the range before is not counted again; the sum
+   over all earlier ranges is a range's offset (one row per range, a table
+   whose size is bounded by the partition count, broadcast);
+4. rank = rank in the range + offset. Nothing is joined on the value.
 """
 
 from __future__ import annotations
@@ -24,45 +23,33 @@ from pyspark.sql import functions as F
 
 from retailflow.config import run_folder
 
-# Position bits of monotonically_increasing_id.
-_POSITION_BITS = 33
 
-
-def range_tagged_values(df: DataFrame, value: str, partitions: int | None = None) -> DataFrame:
-    """Steps 1-2: the distinct values of ``value`` as ``_rv``, numbered in
-    rank order as ``_at``. Must be cut from its lineage (a written table)
-    before it is used more than once: the range bounds are sampled."""
+def in_ranges(df: DataFrame, value: str, ties: tuple[str, ...] = (), partitions: int | None = None) -> DataFrame:
+    """Step 1: ``df`` with the number ``_range`` of each row's range, in the
+    descending order of ``value`` (NULL last). Must be written before it is
+    used more than once: the range bounds are sampled."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = F.col("_rv").desc_nulls_last()
-    return (
-        df.select(F.col(value).alias("_rv"))
-        .distinct()
-        .repartitionByRange(n, order)
-        .sortWithinPartitions(order)
-        .withColumn("_at", F.monotonically_increasing_id())
-    )
-
-
-def ranks_of_tagged(tagged: DataFrame, out: str) -> DataFrame:
-    """Step 3: ``(_rv, out)``, the dense rank of every distinct value."""
-    tagged = tagged.select(
-        "_rv",
-        F.shiftright("_at", _POSITION_BITS).alias("_rp"),
-        F.col("_at").bitwiseAND((1 << _POSITION_BITS) - 1).alias("_rr"),
+    return df.repartitionByRange(n, F.col(value).desc_nulls_last(), *ties).withColumn("_range", F.spark_partition_id())
+
+
+def ranked(ranged: DataFrame, value: str, out: str) -> DataFrame:
+    """Steps 2-4 on the written rows of :func:`in_ranges`."""
+    none = F.col(value).isNull()
+    # Values of a range, NULL being one, with what the neighbours need: its first and its last value.
+    values = ranged.groupBy("_range", value).agg(F.lit(1).alias("_one"))
+    ranges = values.groupBy("_range").agg(
+        F.count("_one").alias("_values"),
+        F.max(value).alias("_first"),
+        F.when(F.bool_or(none), F.lit(None)).otherwise(F.min(value)).alias("_last"),
     )
-    earlier = F.sum("_rn").over(Window.orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (
-        tagged.groupBy("_rp").agg(F.count(F.lit(1)).alias("_rn")).select("_rp", F.coalesce(earlier, F.lit(0)).alias("_ro"))
-    )
-    # one row per range partition: bounded by the partition count
-    return tagged.join(F.broadcast(offsets), "_rp").select(
-        "_rv", (F.col("_rr") + F.col("_ro") + 1).cast("int").alias(out)
-    )
-
-
-def join_ranks(df: DataFrame, value: str, ranks: DataFrame) -> DataFrame:
-    """Step 4: attach the ranks on the value, NULL-safe (NULL ranks last)."""
-    return df.join(ranks, df[value].eqNullSafe(ranks["_rv"]), "left").drop("_rv")
+    before = Window.orderBy("_range")  # of one row per range
+    carried = (F.row_number().over(before) > 1) & F.col("_first").eqNullSafe(F.lag("_last").over(before))
+    counted = ranges.select("_range", "_values", carried.cast("long").alias("_carried"))
+    earlier = F.sum("_values").over(before) - F.col("_values") - F.sum("_carried").over(before)
+    offsets = counted.select("_range", earlier.alias("_offset"))
+    local = F.dense_rank().over(Window.partitionBy("_range").orderBy(F.col(value).desc_nulls_last()))
+    rows = ranged.withColumn(out, local).join(F.broadcast(offsets), "_range")
+    return rows.withColumn(out, (F.col(out) + F.col("_offset")).cast("int")).drop("_range", "_offset")
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
@@ -70,11 +57,12 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def dense_rank_desc(df: DataFrame, value: str, out: str, partitions: int | None = None) -> DataFrame:
-    """``df`` with the dense rank by ``value``, descending. ``df`` and the
-    numbered values are written to the shared folder first, so the plan
-    behind ``df`` runs once and a lost executor cannot change the ranges."""
-    root = run_folder(df.sparkSession, "rank")
-    df = written(df, f"{root}/input")
-    tagged = written(range_tagged_values(df, value, partitions), f"{root}/values")
-    return join_ranks(df, value, ranks_of_tagged(tagged, out))
+def dense_rank_desc(
+    df: DataFrame, value: str, out: str, partitions: int | None = None, ties: tuple[str, ...] = ()
+) -> DataFrame:
+    """``df`` with the dense rank by ``value``, descending, NULL last. ``ties``
+    are keys that tell rows of equal value apart. The numbered rows are
+    written to the shared folder first, so the plan behind ``df`` runs once
+    and a lost executor cannot change the ranges."""
+    ranged = written(in_ranges(df, value, ties, partitions), f"{run_folder(df.sparkSession, 'rank')}/ranged")
+    return ranked(ranged, value, out)

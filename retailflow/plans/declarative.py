@@ -11,24 +11,27 @@ Settings (Spark conf):
 * ``retailflow.source`` - raw-zone root holding ``geographies.csv``,
   ``customers/``, ``products/``, ``orders/`` and ``json/orders/``;
 * ``retailflow.as_of`` - optional fixed date (``yyyy-MM-dd``) used in place
-  of ``current_date()``.
+  of ``current_date()``;
+* ``retailflow.rules.orders_bronze_demo3`` and ``..._silver_demo3`` - optional
+  quality rules, a JSON list such as ``[{"name": "valid_order_id",
+  "condition": "order_id IS NOT NULL", "action": "drop"}]``.
 
 Query functions only build plans: the runner forbids actions while the
-graph is defined, so dimension joins leave the broadcast choice to Spark
-here (``broadcast_max_rows=None``), and the lineage cuts of the
-range-parallel product rank are datasets of their own
-(``product_sales``, ``product_revenue_ranges``) instead of checkpoints.
+graph is defined, so the lineage cut of the range-parallel product rank is a
+dataset of its own (``product_revenue_ranges``, over ``product_sales``).
 """
 
 from __future__ import annotations
 
+import json
 from datetime import date
 
 from pyspark import pipelines as dp
 from pyspark.sql import DataFrame, SparkSession
 
 from retailflow.operators import bronze, gold, json_orders, silver
-from retailflow.operators.ranking import join_ranks, range_tagged_values, ranks_of_tagged
+from retailflow.operators.expectations import Expectation, apply_expectations
+from retailflow.operators.ranking import in_ranges, ranked
 from retailflow.plans.pipeline import BY_NAME
 from retailflow.sources import files
 from retailflow.sources.landing import Landing
@@ -154,17 +157,15 @@ def product_sales() -> DataFrame:
     return gold.product_sales(_enriched())
 
 
-@dp.materialized_view(**_internal("product_revenue_ranges", "Distinct product revenues, range-partitioned"))
+@dp.materialized_view(**_internal("product_revenue_ranges", "Per-product totals with the number of their revenue range"))
 def product_revenue_ranges() -> DataFrame:
-    return range_tagged_values(_spark().read.table("product_sales"), "total_revenue")
+    return in_ranges(_spark().read.table("product_sales"), "total_revenue", gold.PRODUCT_KEY)
 
 
 @dp.materialized_view(**_meta("product_performance"))
 def product_performance() -> DataFrame:
-    spark = _spark()
-    ranks = ranks_of_tagged(spark.read.table("product_revenue_ranges"), "product_rank")
-    ranked = join_ranks(spark.read.table("product_sales"), "total_revenue", ranks)
-    return gold.product_performance_of(ranked, sort=False)
+    rows = ranked(_spark().read.table("product_revenue_ranges"), "total_revenue", "product_rank")
+    return gold.product_performance_of(rows, sort=False)
 
 
 @dp.materialized_view(**_meta("monthly_sales_trend"))
@@ -175,14 +176,22 @@ def monthly_sales_trend() -> DataFrame:
 # ---- JSON orders -----------------------------------------------------------------
 
 
+def _rules(dataset: str) -> tuple[Expectation, ...]:
+    """The rules that the conf ``retailflow.rules.<dataset>`` gives."""
+    given = json.loads(_spark().conf.get(f"retailflow.rules.{dataset}", "[]"))
+    return tuple(Expectation(r["name"], r["condition"], r.get("action", "warn")) for r in given)
+
+
 @dp.table(**_meta("orders_bronze_demo3"))
 def orders_bronze_demo3() -> DataFrame:
-    return json_orders.json_orders_bronze(files.read_json_orders(_spark(), _landing().json_source, stream=True))
+    raw = files.read_json_records(_spark(), _landing().json_source, stream=True)
+    return apply_expectations(json_orders.json_orders_bronze(raw), _rules("orders_bronze_demo3"))
 
 
 @dp.table(**_meta("orders_silver_demo3"))
 def orders_silver_demo3() -> DataFrame:
-    return json_orders.json_orders_silver(_spark().readStream.table("orders_bronze_demo3"))
+    silver_rows = json_orders.json_orders_silver(_spark().readStream.table("orders_bronze_demo3"))
+    return apply_expectations(silver_rows, _rules("orders_silver_demo3"))
 
 
 @dp.materialized_view(**_meta("orders_by_date_gold_demo3"))
