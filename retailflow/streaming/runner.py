@@ -34,6 +34,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -104,7 +105,10 @@ def write_batch(df: DataFrame, wh: Warehouse, name: str, batch_id: int, rules: t
     flagged = flagged.withColumns({"_kept": kept(rules), "_batch": F.lit(batch_id)})
     writer = flagged.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("_kept", "_batch").parquet(wh.folder(name))
-    counts = seen.get
+    try:
+        counts = seen.get
+    except Py4JJavaError:  # Spark leaves the observation out of the plan of a batch that it finds empty
+        counts = df.agg(*metrics(rules)).first().asDict()
     rows = [
         (name, batch_id, r.name, r.condition, r.action, counts["rows_seen"], counts[f"violations_{r.name}"]) for r in rules
     ]
@@ -134,7 +138,7 @@ def run_stream_table(
         df = df.observe(f"{name}_expectations", *metrics(rules))
     spark = df.sparkSession
     # An empty batch with the columns, so a table without input can be read too.
-    spark.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").parquet(f"{wh.kept(name)}/_batch=start")
+    spark.createDataFrame([], df.schema).coalesce(1).write.mode("ignore").parquet(f"{wh.kept(name)}/_batch=start")
     _pointer(spark, ALL_BATCHES, 0).write.mode("ignore").json(wh.pointers(name))
 
     def write(batch: DataFrame, batch_id: int) -> None:
