@@ -57,7 +57,7 @@ def between(u: Column, lo: float, hi: float) -> Column:
     return cents.cast("double") / F.lit(100.0)
 
 
-def randint(u: Column, lo: int, hi: int) -> Column:
+def randint(u: Column, lo: int, hi: int | Column) -> Column:
     """Integer in [lo, hi] inclusive."""
     return (F.lit(lo) + F.floor(u * F.lit(hi - lo + 1))).cast("long")
 
@@ -72,11 +72,11 @@ def ids(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(1, n + 1).withColumnRenamed("id", "gen_id")
 
 
-def geographies(seeds: DataFrame, n_total: int, seed: int = DEFAULT_SEED) -> DataFrame:
+def geographies(seeds: DataFrame, n_total: int | Column, seed: int = DEFAULT_SEED) -> DataFrame:
     """G1: country by id band (60% / 20% / 20% of ``n_total`` ids), states
     cycling, postal codes with 10% NULL."""
     gid = F.col("gen_id")
-    frac = (gid - 1).cast("double") / F.lit(float(max(n_total, 1)))
+    frac = (gid - 1).cast("double") / F.greatest(F.lit(n_total), F.lit(1)).cast("double")
     country, upper = None, 0.0
     for name, share in COUNTRY_SPLIT[:-1]:
         upper += share
@@ -94,7 +94,7 @@ def geographies(seeds: DataFrame, n_total: int, seed: int = DEFAULT_SEED) -> Dat
     )
 
 
-def products(seeds: DataFrame, n_suppliers: int = 50, seed: int = DEFAULT_SEED) -> DataFrame:
+def products(seeds: DataFrame, n_suppliers: int | Column = 50, seed: int = DEFAULT_SEED) -> DataFrame:
     """Price U(10,500), cost U(5,400), 8 categories; 5% negative prices,
     8% NULL category, 3% NULL supplier (double column, as pandas writes it)."""
     gid = F.col("gen_id")
@@ -124,7 +124,7 @@ def _date_text(d: Column, u: Column, bad_rate: float, layouts: tuple[str, ...],
     return expr.otherwise(F.lit(invalid))
 
 
-def customers(seeds: DataFrame, n_geographies: int = 50, seed: int = DEFAULT_SEED) -> DataFrame:
+def customers(seeds: DataFrame, n_geographies: int | Column = 50, seed: int = DEFAULT_SEED) -> DataFrame:
     """Names from fixed lists, ``ddd-ddd-dddd`` phones (5% NULL),
     geography 1..n (3% NULL, double column), registration dates over four
     years, 10% of them as MM/dd/yyyy, dd-MM-yyyy or ``invalid_date``."""
@@ -150,7 +150,7 @@ def customers(seeds: DataFrame, n_geographies: int = 50, seed: int = DEFAULT_SEE
 
 
 def orders(
-    seeds: DataFrame, n_customers: int = 10000, n_products: int = 1000, seed: int = DEFAULT_SEED
+    seeds: DataFrame, n_customers: int | Column = 10000, n_products: int | Column = 1000, seed: int = DEFAULT_SEED
 ) -> DataFrame:
     """Orders over two years with 15% of dates in other layouts or
     invalid, 2% negative quantities, 1% discounts in [1, 2), 4% NULL

@@ -462,14 +462,14 @@ FROM (SELECT NOT coalesce(order_timestamp > TIMESTAMP '2021-12-25', false) AS ol
 # ---- the generator, restated in SQL ------------------------------------------------
 
 
-def _gen_uniforms(table: str, salts: list[str]) -> str:
-    """A subquery with ``gen_id`` 1..n for the n rows of ``table`` and one
+def _gen_uniforms(table: str, gen_id: str, salts: list[str]) -> str:
+    """A subquery with a ``gen_id`` for each row of ``table`` and one
     ``u_<salt>`` column per salt: 52 bits of the md5 of id, seed and salt."""
     draws = ", ".join(
         f"CAST(CAST('0x' || substr(md5(gen_id || ':42:{s}'), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0::DOUBLE AS u_{s}"
         for s in salts
     )
-    return f"(SELECT gen_id, {draws} FROM (SELECT unnest(range(1, (SELECT count(*) FROM {table}) + 1)) AS gen_id) ids)"
+    return f"(SELECT gen_id, {draws} FROM (SELECT {gen_id} AS gen_id FROM {table}) ids)"
 
 
 def _randint(u: str, lo: int, span: str) -> str:
@@ -497,7 +497,7 @@ def _date_text(d: str, u: str, rate: float, layouts: list[str], invalid: str) ->
 def datagen_oracles() -> dict[str, str]:
     """The generator's rules with their values spelt out."""
     q = {}
-    u = _gen_uniforms("nation", ["postal", "postal_null"])
+    u = _gen_uniforms("nation", "n_nationkey + 1", ["postal", "postal_null"])
     frac = "CAST(gen_id - 1 AS DOUBLE) / CAST((SELECT count(*) FROM nation) AS DOUBLE)"
     q["datagen_geographies"] = f"""
 SELECT gen_id AS geography_id,
@@ -508,7 +508,7 @@ SELECT gen_id AS geography_id,
             ELSE CAST({_randint('u_postal', 10000, '90000')} AS VARCHAR) END AS postal_code
 FROM {u} g"""
     u = _gen_uniforms(
-        "part", ["price", "neg_price", "cost", "supplier_null", "supplier", "category_null", "category"]
+        "part", "p_partkey + 1", ["price", "neg_price", "cost", "supplier_null", "supplier", "category_null", "category"]
     )
     price = _cents("u_price", 10, 500)
     categories = ("Electronics", "Clothing", "Food", "Books", "Toys", "Home", "Sports", "Beauty")
@@ -521,7 +521,7 @@ SELECT gen_id AS product_id, 'Product_' || CAST(gen_id AS VARCHAR) AS product_na
        CASE WHEN u_category_null < 0.08::DOUBLE THEN NULL ELSE {_pick('u_category', categories)} END AS category
 FROM {u} g"""
     u = _gen_uniforms(
-        "customer", ["reg", "ph1", "ph2", "ph3", "first", "last", "phone_null", "geo_null", "geo", "reg_fmt"]
+        "customer", "c_custkey + 1", ["reg", "ph1", "ph2", "ph3", "first", "last", "phone_null", "geo_null", "geo", "reg_fmt"]
     )
     reg = f"(DATE '2020-01-01' + CAST({_randint('u_reg', 0, '1461')} AS INTEGER))"
     phone = (
@@ -542,6 +542,8 @@ SELECT gen_id AS customer_id, {_pick('u_first', first)} AS first_name, {_pick('u
 FROM {u} g"""
     u = _gen_uniforms(
         "lineitem",
+        "CAST('0x' || substr(md5(l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey || ':' "
+        "|| CAST(l_quantity AS BIGINT)), 1, 13) AS BIGINT)",
         ["date", "qty", "big_disc", "big_disc_v", "disc", "cust_null", "cust", "prod", "date_fmt",
          "neg_qty", "price", "disc_null", "ship_null", "ship"],
     )

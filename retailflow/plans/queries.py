@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -431,22 +431,33 @@ def q_roundtrip_json_orders(spark, sf_dir):
     return files.read_json_orders(spark, streamed_run(spark, sf_dir)[0].json_source, stream=False)
 
 
-# ---- generator (ids taken from the test tables) -----------------------------
+# ---- generator (one row per row of a test table, under an id made from its key) ----
 
 
-def _rows(spark: SparkSession, sf_dir: str, table: str) -> int:
-    return testdata.load(spark, sf_dir, table).count()
+def _rows(spark: SparkSession, sf_dir: str, table: str) -> Column:
+    """How many rows a table has, as a scalar subquery of the plan."""
+    return testdata.load(spark, sf_dir, table).select(F.count(F.lit(1))).scalar()
+
+
+def _line_id() -> Column:
+    """A whole number from the columns that tell order lines apart: 52 bits of their md5."""
+    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    text = F.concat_ws(":", *(F.col(k).cast("long").cast("string") for k in keys))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long")
 
 
 def _generated(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One generated row per row of the matching test table, under ids from
-    1; the sizes of the id domains are table counts (single numbers)."""
-    n = {
-        "geographies": "nation", "products": "part", "customers": "customer", "orders": "lineitem",
-    }
-    ids = datagen.ids(spark, rows := _rows(spark, sf_dir, n[name]))
+    """One generated row per row of the matching test table, under an id that
+    its key gives; the sizes of the id domains are counts of tables."""
+    table, id_ = {
+        "geographies": ("nation", F.col("n_nationkey") + 1),
+        "products": ("part", F.col("p_partkey") + 1),
+        "customers": ("customer", F.col("c_custkey") + 1),
+        "orders": ("lineitem", _line_id()),
+    }[name]
+    ids = testdata.load(spark, sf_dir, table).select(id_.alias("gen_id"))
     if name == "geographies":
-        return datagen.geographies(ids, n_total=rows)
+        return datagen.geographies(ids, n_total=_rows(spark, sf_dir, "nation"))
     if name == "products":
         return datagen.products(ids, n_suppliers=_rows(spark, sf_dir, "supplier"))
     if name == "customers":
