@@ -42,9 +42,9 @@ from retailflow.llm.alphabet import BYTE_LEVEL, CONTRACTED_LETTER, LIMIT, plain
 from retailflow.llm.common import CACHED_CHARS, written
 
 #: Parts whose alignment a worker keeps: so many lately met, and as many from before.
-KEPT_PARTS = 150_000
+KEPT_PARTS = 60_000
 #: Different parts that are encoded together, and parts to a string.
-ENCODED, STRUNG = 16_384, 64
+ENCODED, STRUNG = 8192, 64
 #: A space before a word and after a word: a cut for both tokenizers.
 _BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
 _CONTRACTED = re.compile(CONTRACTED_LETTER)
