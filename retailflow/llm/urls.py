@@ -3,13 +3,13 @@
 Rules of (host, path) judge the urls they fit. The trees see only how a url
 is written: lengths, depth, digit ratio, entropy of its characters,
 parameters, and statistics of its suffix (the host's last label) over all
-urls and over the labelled ones. They are trained on labelled urls; here
-those that a rule judges.
+urls and over all labelled ones. They are trained on a bounded sample of
+labelled urls; here those that a rule judges.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailflow.llm.common import written
@@ -25,8 +25,6 @@ RULES = (
 #: Labelled urls that the trees learn from at most, picked by hash.
 MAX_LABELLED = 20_000
 ROUNDS, DEPTH = 20, 4
-#: Suffixes are counted by hash, so their statistics have so many rows at most.
-SUFFIX_BUCKETS = 4096
 #: Weight of the overall share in a suffix's share of blocked urls.
 SMOOTHING = 20.0
 
@@ -114,39 +112,35 @@ def judge(
     rows = rows.withColumn("_rule", rule(F.col("host"), F.col("path"), rules))
     if labelled is None:
         labelled = rows.where("_rule is not null").select(F.col("_url").alias("url"), (F.col("_rule.verdict") == "block").alias("blocked"))
-    bucket = F.pmod(F.xxhash64(F.substring_index(host(F.col("_url")), ".", -1)), F.lit(SUFFIX_BUCKETS)).alias("_suffix")
-    sample = written(
+    suffix = F.substring_index(host(F.col("_url")), ".", -1).alias("_suffix")
+    labels = written(
         labelled.where("blocked is not null")
         .select(F.col("url").alias("_url"), F.col("blocked").cast("int").alias("_label"))
         .groupBy("_url")
-        .agg(F.max("_label").alias("_label"))  # a url that any label blocks is blocked
-        .orderBy(F.xxhash64("_url"), "_url")
-        .limit(max_labelled)
-        .coalesce(2),
-        "url-sample",
+        .agg(F.max("_label").alias("_label")),  # a url that any label blocks is blocked
+        "url-labels",
     )
-    n, blocked = sample.agg(F.count("*"), F.coalesce(F.sum("_label"), F.lit(0))).first()
+    n, blocked = labels.agg(F.count("*"), F.coalesce(F.sum("_label"), F.lit(0))).first()
     share = blocked / n if n else 0.0
-    of_labels = sample.groupBy(bucket).agg(F.sum("_label").alias("_b"), F.count("*").alias("_l"))
-    suffixes = (
-        rows.groupBy(bucket)
-        .agg(F.count("*").alias("_n"))
-        .join(of_labels, "_suffix", "left")
-        .select(
-            "_suffix",
-            (F.col("_n") / F.sum("_n").over(Window.partitionBy(F.lit(0)))).alias("suffix_share"),
-            ((F.coalesce("_b", F.lit(0)) + SMOOTHING * share) / (F.coalesce("_l", F.lit(0)) + SMOOTHING)).alias("suffix_blocked"),
+    # By name over all urls and all labels; rows of a suffix are combined in each task.
+    of_labels = labels.groupBy(suffix).agg(F.sum("_label").alias("_b"), F.count("*").alias("_l"))
+    suffixes = written(rows.groupBy(suffix).agg(F.count("*").alias("_n")).join(of_labels, "_suffix", "full"), "url-suffixes")
+    urls = suffixes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    sample = written(labels.orderBy(F.xxhash64("_url"), "_url").limit(max_labelled).coalesce(2), "url-sample")
+
+    def described(urls_: DataFrame, own: Column | int = 0, of_own: int = 0) -> DataFrame:
+        """Features; a training url's ``own`` label is left out of its suffix's."""
+        found = urls_.withColumns(lexical(F.col("_url"))).withColumn("_suffix", suffix).join(suffixes, "_suffix", "left")
+        b, l, count = (F.coalesce(c, F.lit(0)) for c in ("_b", "_l", "_n"))
+        return found.withColumns(
+            {
+                "suffix_share": count / F.lit(float(max(urls, 1))),
+                "suffix_blocked": (b - own + SMOOTHING * share) / (l - of_own + SMOOTHING),
+            }
         )
-    )
-    suffixes = written(suffixes, "url-suffixes")  # at most SUFFIX_BUCKETS rows
-
-    def described(urls: DataFrame) -> DataFrame:
-        found = urls.withColumns(lexical(F.col("_url"))).withColumn("_suffix", bucket)
-        found = found.join(F.broadcast(suffixes), "_suffix", "left")
-        return found.fillna({"suffix_share": 0.0, "suffix_blocked": share})
 
     if 0 < blocked < n:
-        model = fit(described(sample), list(FEATURES), "_label", ROUNDS, DEPTH)
+        model = fit(described(sample, F.col("_label"), 1).coalesce(2), list(FEATURES), "_label", ROUNDS, DEPTH)
         chance = probability(model, lambda i: F.col(FEATURES[i]))
     else:
         chance = F.lit(share)
