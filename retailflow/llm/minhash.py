@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailflow.llm.common import WordHashes, components, written
+from retailflow.llm.common import WordHashes, components, may_be_in, written
 from retailflow.llm.substrings import rolling
 
 WORDS = 5
@@ -184,17 +184,15 @@ def near_duplicates(
     shared = shared.where("_least < _most").select("band", F.col("_least.class").alias("first"))
     banded = written(banded.join(shared, "band"), "banded")
     signatures = reps.select(F.col("class").alias("id"), "signature")
-    # Rows that repeat an id and a text are one set: combined before their set is taken.
-    times = sketched.groupBy("doc_id", "text_hash").count().select(
-        F.col("doc_id").alias("rep"), F.col("text_hash").alias("rep_hash"), (F.col("count") > 1).alias("often")
-    )
-    wanted = reps.join(banded.select("class").distinct(), "class", "left_semi").select("class", "rep", "rep_hash")
-    wanted = written(wanted.join(times, ["rep", "rep_hash"]).withColumnsRenamed({"rep": "doc_id", "rep_hash": "text_hash"}), "wanted")
-    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    once, often = (
-        hashed.join(wanted.where(c).drop("often"), ["doc_id", "text_hash"]).select("class", "text") for c in ("not often", "often")
-    )
-    sets = written(shingle_sets(once.union(often.distinct())), "sets")
+    wanted = reps.join(banded.select("class").distinct(), "class", "left_semi")
+    wanted = written(wanted.select("class", F.col("rep").alias("doc_id"), F.col("rep_hash").alias("text_hash")), "wanted")
+    # Only texts that a set may be wanted of are shuffled: a bit map picks them where they are read, whatever the size.
+    # Rows that repeat an id and a text are combined in each task.
+    key = F.xxhash64("doc_id", "text_hash")
+    hashed = docs.withColumn("text_hash", F.xxhash64("text")).withColumn("_key", key)
+    texts = may_be_in(hashed, "_key", wanted.select(key), wanted.count())
+    texts = texts.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
+    sets = written(shingle_sets(texts.join(wanted.hint("merge"), ["doc_id", "text_hash"]).select("class", "text")), "sets")
 
     def side(table: DataFrame, name: str) -> DataFrame:
         return table.select(*(F.col(c).alias(name if c == "id" else f"{name}_{c}") for c in table.columns))
