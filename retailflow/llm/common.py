@@ -44,11 +44,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
 LEAST_MAP_BITS, MOST_MAP_BITS = 20, 30
 
 
-def may_be_in(df: DataFrame, hashed: str, wanted: DataFrame, n: int, bits: int = 64) -> DataFrame:
+def may_be_in(
+    df: DataFrame, hashed: str, wanted: DataFrame, n: int, bits: int = 64, flag: str | None = None
+) -> DataFrame:
     """The rows of ``df`` whose 64-bit hash in column ``hashed`` may be one of
     ``wanted`` (one column of n hashes, of which the leading ``bits`` count):
     those whose leading bits are set in a broadcast bit map. The map's size
-    is bounded, and beyond it more rows pass for which an exact join decides."""
+    is bounded, and beyond it more rows pass for which an exact join decides.
+    With ``flag`` all rows, and whether they may as a column of that name."""
     map_bits = min(bits, max(LEAST_MAP_BITS, min(MOST_MAP_BITS, (16 * max(1, n) - 1).bit_length())))
     place = F.shiftrightunsigned(wanted.columns[0], 64 - map_bits)
     maps = wanted.groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(
@@ -58,7 +61,8 @@ def may_be_in(df: DataFrame, hashed: str, wanted: DataFrame, n: int, bits: int =
     position = F.bitmap_bit_position(place)
     byte = F.substring("_map", (F.floor(position / 8) + 1).cast("int"), F.lit(1))
     hit = F.bit_get(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(position, F.lit(8)).cast("int")) == 1
-    found = df.withColumn("_bucket", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "_bucket").where(hit)
+    found = df.withColumn("_bucket", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "_bucket", "left" if flag else "inner")
+    found = found.withColumn(flag, F.coalesce(hit, F.lit(False))) if flag else found.where(hit)
     return found.drop("_bucket", "_map")
 
 

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from retailflow.llm.common import may_be_in, written
+
 #: Means up to it are inverted in one go.
 CHUNK = 16.0
 #: Values of a distribution of mean CHUNK that the table holds; beyond them lies less than 2^-52.
@@ -104,11 +106,15 @@ def mix(
         key(source, weights).alias("_source"),
         F.monotonically_increasing_id().alias("_number"),
     )
-    repeated = rows.where("_doc is not null").groupBy("_doc").count().where("count > 1").select("_doc", F.lit(True).alias("_again"))
+    repeated = rows.where("_doc is not null").groupBy("_doc").count().where("count > 1").select("_doc")
+    repeated = written(repeated, "mix-repeated")
     own = F.concat_ws(":", "_doc", F.lit("row"), "_number")
-    rows = rows.join(repeated, "_doc", "left").select(
-        "row", "_source", F.when(F.col("_doc").isNull() | F.col("_again").isNotNull(), own).otherwise(F.col("_doc")).alias("_id")
-    )
+    # Only rows whose id may be repeated are shuffled to the repeated ids; a bit map tells them where they are read.
+    rows = rows.withColumn("_hash", F.xxhash64("_doc"))
+    rows = may_be_in(rows, "_hash", repeated.select(F.xxhash64("_doc")), repeated.count(), flag="_maybe")
+    alone = rows.where("not _maybe").select("row", "_source", F.when(F.col("_doc").isNull(), own).otherwise(F.col("_doc")).alias("_id"))
+    rows = rows.where("_maybe").join(repeated.withColumn("_again", F.lit(True)), "_doc", "left")
+    rows = rows.select("row", "_source", F.when(F.col("_again"), own).otherwise(F.col("_doc")).alias("_id")).union(alone)
     table = rates(docs, weights, source, total)
     drawn = rows.join(F.broadcast(table), F.col("_source").eqNullSafe(F.col("_key")))
 
