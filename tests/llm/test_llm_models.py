@@ -326,6 +326,46 @@ def test_candidates_recover_spans_that_the_base_loses(spark):
     assert sum(len(found[i].added) for i, *_ in rows) <= 5  # hexadecimal tokens are left alone
 
 
+def test_forms_that_the_base_never_matches_are_learnt(spark):
+    """Emails written out and phones without their country, never labelled as
+    such, are found; sentences written like emails are left alone."""
+    rnd = random.Random(10)
+    word = lambda: "".join(rnd.choices("abcdefghij", k=rnd.randint(3, 8)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    rows = [(i, f"{prose(6)}. {prose(4)} mail {word()}.{word()}@{word()}.{word()}.com {prose(3)} or call +1 {rnd.randint(200, 999)} 555 {rnd.randint(1000, 9999)}, {prose(5)}.", "s") for i in range(800)]
+    rows += [(2000 + i, f"{prose(20)}. {prose(9)}. build 12.34.5 of {rnd.randint(10**4, 10**6)} +{rnd.randint(10**16, 10**18)} parts", "s") for i in range(300)]
+    forms = [
+        lambda: ("email", f"{word()} (at) {word()} (dot) com"), lambda: ("email", f"{word()}[at]{word()}.com"),
+        lambda: ("email", f"{word()}.{word()}(at){word()}(dot){word()}(dot)com"), lambda: ("phone", f"({rnd.randint(200, 999)}) 555-{rnd.randint(1000, 9999)}"),
+        lambda: ("phone", f"{rnd.randint(200, 999)}-555-{rnd.randint(1000, 9999)}"), lambda: ("phone", f"{rnd.randint(200, 999)}.555.{rnd.randint(1000, 9999)}"),
+    ]
+    planted = {}
+    for i in range(120):
+        kind, form = forms[i % len(forms)]()
+        text = f"{prose(5)} {'mail' if kind == 'email' else 'call'} {form} {prose(4)}."
+        planted[5000 + i] = (kind, text.index(form), text.index(form) + len(form))
+        rows.append((5000 + i, text, "s"))
+    docs = frame(spark, rows)
+    found = {r.row.doc_id: r for r in pii.find(docs, pii.train(docs)).collect()}
+    hits = sum(any((pii.KINDS[s.kind], s.start, s.end) == want for s in found[i].added) for i, want in planted.items())
+    assert hits >= 0.9 * len(planted)
+    others = [s for i, r in found.items() if i not in planted for s in r.added]
+    assert len(others) <= 0.03 * hits
+
+
+def test_rare_kinds_are_chosen_from_all_documents(spark):
+    """Documents with a kind are looked for in the whole table, not in a sample of it."""
+    rows = [(i, "plain words only. nothing else", "s") for i in range(3000)]
+    name = random.Random(3)
+    rows += [(9000 + i, f"write to {''.join(name.choices('abcdefg', k=7))}@mail.example.com now or later please. thanks all", "s") for i in range(120)]
+    rows += [(9500, "write to someone (at) mail (dot) example (dot) com now", "s")]
+    docs = frame(spark, rows)
+    judge = pii.train(docs, max_docs=400)
+    assert pii.KINDS.index("email") in judge.thresholds
+    added = {r.row.doc_id: r.added for r in pii.find(docs, judge).collect() if r.added}
+    assert [(s.start, s.end) for s in added[9500]] == [(9, 50)]
+
+
 def test_personal_data_in_empty_tables(spark):
     empty = frame(spark, [])
     judge = pii.train(empty)
