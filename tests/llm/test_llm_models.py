@@ -388,7 +388,7 @@ def test_components_of_chains_hubs_and_loops(spark):
 @pytest.mark.parametrize("name", sorted(queries.llm_oracle()))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     found = queries.llm_queries()[name](spark, SMALL)
     want = con.execute(queries.llm_oracle()[name])
