@@ -9,9 +9,10 @@ task that reads the rows, bitmaps of equal (group, bucket) are merged by OR,
 and a group's count is the sum of its buckets' bits. Input rows are neither
 expanded nor shuffled. NULL values are not counted, NULL keys are a group.
 
-Worth it where groups are few and ids are dense (days, months, categories);
-groups of a few rows each (customers, products) are better off with
-``count_distinct``, whose rows are smaller than a bitmap.
+Worth it where groups are few and ids are dense (days, months, categories),
+which :func:`dense` tells; groups of a few rows each (customers, products) and
+sparse ids are better off with ``count_distinct``, whose rows are smaller than
+a bitmap.
 """
 
 from __future__ import annotations
@@ -22,6 +23,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Different values a bucket from which bitmaps are smaller than the values themselves (4 KB against 8 bytes each).
+DENSE = 512
+
+
+def dense(df: DataFrame, *columns: str) -> bool:
+    """Whether each of the integer ``columns`` has at least DENSE different
+    values to a bucket on average (both counted approximately, in one pass)."""
+    counts = df.agg(
+        *(F.approx_count_distinct(c).alias(f"v_{c}") for c in columns),
+        *(F.approx_count_distinct(F.bitmap_bucket_number(c)).alias(f"b_{c}") for c in columns),
+    ).first()
+    return all(counts[f"v_{c}"] >= DENSE * counts[f"b_{c}"] > 0 for c in columns)
+
+
 def bitmap_counts(df: DataFrame, keys: tuple[str, ...], value: str, out: str) -> DataFrame:
     """``keys`` and the number of different values of the integer column
     ``value`` in each group that has any."""

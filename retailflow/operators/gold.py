@@ -7,7 +7,8 @@ Every aggregate is a hash aggregate with a map-side partial step, so a hot
 group key (the 0 "unknown customer" sentinel, one best-selling product) is
 combined inside each map task before the shuffle. Exact distinct counts use
 Spark's Expand rewrite: the shuffle is on (group, distinct value), so a hot
-group is spread over many tasks there too. Money is summed in its input
+group is spread over many tasks there too; or, over a stored table with dense
+ids, bitmaps that are combined in each task. Money is summed in its input
 type (exact for DECIMAL) and returned as DOUBLE.
 
 Sorted outputs break ties on the group key: the requested order is kept,
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailflow.functions import as_of_date, mean_of, money_out, num, ratio_pct, segment, share_pct
+from retailflow.operators.distinct import agg_with_distinct
 from retailflow.operators.ranking import dense_rank_desc
 
 
@@ -58,23 +60,35 @@ def _lead(df: DataFrame, lead: dict) -> DataFrame:
     return df.select(*[c.alias(n) for n, c in lead.items()], *[c for c in df.columns if c not in lead])
 
 
-def sales_by_date(enriched: DataFrame, sort: bool = True) -> DataFrame:
+def _grouped(df: DataFrame, keys: tuple[str, ...], aggregates: list, distinct: dict[str, str], bitmaps: bool) -> DataFrame:
+    """One row per group. ``bitmaps`` counts the ``distinct`` columns without
+    expanding the rows (``operators/distinct.py``): for a stored input, which
+    is then read once more for each of them, with dense ids."""
+    if bitmaps:
+        return agg_with_distinct(df, keys, aggregates, distinct)
+    return df.groupBy(*keys).agg(*aggregates, *(F.count_distinct(c).alias(name) for name, c in distinct.items()))
+
+
+def sales_by_date(enriched: DataFrame, sort: bool = True, bitmaps: bool = False) -> DataFrame:
     """Daily totals, ordered by date. Grouped on the date alone (year,
     month and quarter follow from it and are derived after the aggregate),
     so the shuffles carry one key instead of four."""
     d = F.col("order_date")
     out = (
-        enriched.groupBy("order_date")
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            F.sum("quantity").alias("total_quantity"),
-            F.sum("total_amount").alias("total_revenue"),
-            F.sum("discount_amount").alias("total_discount"),
-            F.sum("shipping_cost").alias("total_shipping"),
-            F.sum("profit").alias("total_profit"),
-            mean_of("total_amount").alias("avg_order_value"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.count_distinct("product_id").alias("unique_products"),
+        _grouped(
+            enriched,
+            ("order_date",),
+            [
+                F.count("order_id").alias("total_orders"),
+                F.sum("quantity").alias("total_quantity"),
+                F.sum("total_amount").alias("total_revenue"),
+                F.sum("discount_amount").alias("total_discount"),
+                F.sum("shipping_cost").alias("total_shipping"),
+                F.sum("profit").alias("total_profit"),
+                mean_of("total_amount").alias("avg_order_value"),
+            ],
+            {"unique_customers": "customer_id", "unique_products": "product_id"},
+            bitmaps,
         )
         .transform(_finish, ("total_revenue", "total_discount", "total_shipping", "total_profit"))
         .transform(_lead, {"order_date": d, "year": F.year(d), "month": F.month(d), "quarter": F.quarter(d)})
@@ -82,23 +96,26 @@ def sales_by_date(enriched: DataFrame, sort: bool = True) -> DataFrame:
     return out.orderBy("order_date") if sort else out
 
 
-def sales_by_category(enriched: DataFrame, sort: bool = True) -> DataFrame:
+def sales_by_category(enriched: DataFrame, sort: bool = True, bitmaps: bool = False) -> DataFrame:
     """Per category, with each category's share of all revenue.
 
     The grand total is a window sum over the aggregated rows (one per
     category), so the plan stays lazy: no driver round trip while the
     plan is being built."""
     out = (
-        enriched.groupBy("category")
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            F.sum("quantity").alias("total_quantity_sold"),
-            F.sum("total_amount").alias("total_revenue"),
-            F.sum("profit").alias("total_profit"),
-            mean_of("total_amount").alias("avg_order_value"),
-            mean_of("unit_price").alias("avg_unit_price"),
-            F.count_distinct("product_id").alias("unique_products"),
-            F.count_distinct("customer_id").alias("unique_customers"),
+        _grouped(
+            enriched,
+            ("category",),
+            [
+                F.count("order_id").alias("total_orders"),
+                F.sum("quantity").alias("total_quantity_sold"),
+                F.sum("total_amount").alias("total_revenue"),
+                F.sum("profit").alias("total_profit"),
+                mean_of("total_amount").alias("avg_order_value"),
+                mean_of("unit_price").alias("avg_unit_price"),
+            ],
+            {"unique_products": "product_id", "unique_customers": "customer_id"},
+            bitmaps,
         )
         .transform(
             _finish,
@@ -197,20 +214,23 @@ def product_performance(enriched: DataFrame, sort: bool = True) -> DataFrame:
     return product_performance_of(ranked, sort=sort)
 
 
-def monthly_sales_trend(enriched: DataFrame, sort: bool = True) -> DataFrame:
+def monthly_sales_trend(enriched: DataFrame, sort: bool = True, bitmaps: bool = False) -> DataFrame:
     """Per calendar month. Grouped on (year, month); quarter and month
     name follow from them and are derived after the aggregate."""
     first_day = F.make_date(F.col("year"), F.col("month"), F.lit(1))
     out = (
-        enriched.groupBy("year", "month")
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            F.sum("quantity").alias("total_quantity"),
-            F.sum("total_amount").alias("total_revenue"),
-            F.sum("profit").alias("total_profit"),
-            mean_of("total_amount").alias("avg_order_value"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.count_distinct("product_id").alias("unique_products"),
+        _grouped(
+            enriched,
+            ("year", "month"),
+            [
+                F.count("order_id").alias("total_orders"),
+                F.sum("quantity").alias("total_quantity"),
+                F.sum("total_amount").alias("total_revenue"),
+                F.sum("profit").alias("total_profit"),
+                mean_of("total_amount").alias("avg_order_value"),
+            ],
+            {"unique_customers": "customer_id", "unique_products": "product_id"},
+            bitmaps,
         )
         .transform(_finish, ("total_revenue", "total_profit"))
         .transform(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from retailflow import schemas
 from retailflow.operators import bronze, gold, json_orders
-from retailflow.operators.distinct import agg_with_distinct
+from retailflow.operators.distinct import agg_with_distinct, dense
 from retailflow.operators.expectations import VALID_ORDER_ID_DROP, VALID_TIMESTAMP_DROP, Expectation
 from retailflow.operators.json_orders import utc_timestamp
 from retailflow.operators.ranking import in_ranges, ranked, written
@@ -334,3 +334,18 @@ def test_bitmap_counts_equal_count_distinct(spark):
     got = agg_with_distinct(df, ("g", "h"), [F.count("*").alias("n")], {"x": "a", "y": "b"})
     assert bag(got.select(*want.columns)) == bag(want)
     assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_gold_tables_by_bitmaps(spark):
+    from retailflow.plans.queries import enriched_of
+
+    enriched = enriched_of(spark, "/root/testdata/sf0.001")
+    for fn in (gold.sales_by_date, gold.sales_by_category, gold.monthly_sales_trend):
+        plain, maps = fn(enriched, sort=False), fn(enriched, sort=False, bitmaps=True)
+        assert maps.columns == plain.columns and bag(maps) == bag(plain)
+        assert "Expand" not in maps._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dense_ids(spark):
+    ids = spark.range(100_000).select("id", (F.col("id") * 1000).alias("sparse"), F.lit(None).cast("long").alias("none"))
+    assert dense(ids, "id") and not dense(ids, "id", "sparse") and not dense(ids, "none") and not dense(ids.limit(0), "id")
