@@ -8,10 +8,11 @@ neither side. A document's evidence is the length-normalised difference of
 the two log-likelihoods; a logistic curve, fitted on labelled documents that
 the models were not counted on, turns it into a probability.
 
-The models' words are those whose document frequency differs between the
-classes, the VOCABULARY clearest ones if there are more; all others are one
-class of unknown words. So a model is one table of (VOCABULARY + 2)^2 four-byte numbers,
-whatever the corpus, and is broadcast; texts are scored where they are read.
+The models' words are all those whose document frequency differs between the
+classes; all others are one class of unknown words. A pair of words that no
+labelled document has is scored from its two words alone, so a model holds two
+numbers a word and one for each pair seen; it is broadcast, and texts are
+scored where they are read.
 """
 
 from __future__ import annotations
@@ -28,11 +29,11 @@ from pyspark.sql import functions as F
 
 from retailflow.llm.common import may_be_in, written
 
-#: Labelled documents that fit the curve at most, picked by the hash of their ids.
-MAX_LABELLED = 20_000
-VOCABULARY = 1024
-#: Different words that a task counts before it hands their counts on.
+#: Different words, and pairs of them, that a task counts before it hands their counts on.
 HELD_WORDS = 500_000
+HELD_PAIRS = 2_000_000
+#: Decimals of the evidence that the curve is fitted to, which bounds the different values.
+CURVE_DECIMALS = 4
 #: Log-likelihood ratio (in nats) from which a word's frequencies count as different.
 LEAST_EVIDENCE = 8.0
 #: Part of the labelled documents that fits the curve: id hashes divisible by it.
@@ -49,10 +50,16 @@ def words(text: str | None) -> list[str]:
 
 @dataclass
 class Model:
-    """Vocabulary, log-likelihood difference by (previous, word), and curve."""
+    """Vocabulary, log-likelihood differences and curve. ``pairs`` are the
+    pairs seen in labelled documents as sorted numbers (previous * words +
+    word) with their differences in ``table``; that of any other pair is the
+    sum of ``before[previous]`` and ``after[word]``."""
 
     ids: dict[str, int]
+    pairs: np.ndarray
     table: np.ndarray
+    before: np.ndarray
+    after: np.ndarray
     slope: float
     shift: float
 
@@ -62,7 +69,16 @@ class Model:
     def evidence(self, text: str | None) -> float:
         """Mean difference of the log-likelihoods a word; 0 without words."""
         at = self.coded(text)
-        return float(self.table[at[:-1], at[1:]].mean(dtype=np.float64)) if len(at) > 1 else 0.0
+        return float(self.differences(at[:-1], at[1:]).mean(dtype=np.float64)) if len(at) > 1 else 0.0
+
+    def differences(self, previous: np.ndarray, word: np.ndarray) -> np.ndarray:
+        out = (self.before[previous] + self.after[word]).astype(np.float32)
+        if len(self.pairs):
+            wanted = previous * len(self.after) + word
+            place = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+            seen = self.pairs[place] == wanted
+            out[seen] = self.table[place[seen]]
+        return out
 
     def score(self, text: str | None) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.evidence(text) + self.shift, -500, 500))))
@@ -100,9 +116,9 @@ def labelled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label:
     return texts.join(chosen.hint("merge"), "doc_id").select("doc_id", "text", "toxic", curve)
 
 
-def vocabulary(sample: DataFrame, size: int, least_evidence: float) -> dict[str, int]:
-    """The words whose document frequencies differ between the classes by
-    ``least_evidence`` at least, the ``size`` clearest ones, numbered from 2."""
+def vocabulary(sample: DataFrame, least_evidence: float) -> dict[str, int]:
+    """All words whose document frequencies differ between the classes by
+    ``least_evidence`` at least, numbered from 2, the clearest first."""
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = (Counter(), Counter())
@@ -140,7 +156,6 @@ def vocabulary(sample: DataFrame, size: int, least_evidence: float) -> dict[str,
         .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
         .where(ratio >= least_evidence)
         .orderBy(F.desc(ratio), "word")
-        .limit(size)
         .select("word")
         .collect()
     )
@@ -154,24 +169,28 @@ def bigrams(texts: DataFrame, ids: dict[str, int]) -> DataFrame:
     sent = texts.sparkSession.sparkContext.broadcast(ids)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for kind, (pairs, n) in sums.items():
+                columns = [np.full(len(pairs), kind, np.int32), (pairs // size).astype(np.int32), (pairs % size).astype(np.int32), n]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "previous", "word", "n"])
+            sums.clear()
+
         for batch in batches:
+            found: dict[int, list[np.ndarray]] = {}
             for text, kind in zip(batch.column("text"), batch.column("kind").to_pylist()):
                 at = _coded(sent.value, text.as_py())
-                table = sums.setdefault(kind, np.zeros(size * size, np.int64))
-                pairs, n = np.unique(at[:-1] * size + at[1:], return_counts=True)
-                table[pairs] += n
-        for kind, table in sums.items():
-            at = np.flatnonzero(table)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(at), kind, np.int32)),
-                    pa.array((at // size).astype(np.int32)),
-                    pa.array((at % size).astype(np.int32)),
-                    pa.array(table[at]),
-                ],
-                names=["kind", "previous", "word", "n"],
-            )
+                found.setdefault(kind, []).append(at[:-1] * size + at[1:])
+            for kind, each in found.items():
+                pairs, n = np.unique(np.concatenate(each), return_counts=True)
+                if kind in sums:
+                    pairs, place = np.unique(np.concatenate([sums[kind][0], pairs]), return_inverse=True)
+                    n = np.bincount(place, np.concatenate([sums[kind][1], n]), len(pairs)).astype(np.int64)
+                sums[kind] = pairs, n
+            if sum(len(pairs) for pairs, _ in sums.values()) >= HELD_PAIRS:
+                yield from out()
+        yield from out()
 
     return (
         texts.mapInArrow(count, "kind int, previous int, word int, n long")
@@ -192,14 +211,39 @@ def log_probabilities(counts: np.ndarray, shared: np.ndarray) -> np.ndarray:
     return np.log(kept + (1 - kept.sum(axis=1, keepdims=True)) * lower)
 
 
-def curve(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and shift of a logistic curve by Newton steps, slightly held back."""
+def pair_differences(found: dict[str, np.ndarray], shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``pairs, table, before, after`` of a model: :func:`log_probabilities`
+    of class 1 less those of class 0, from the counts of the pairs that were
+    seen (``kind``, ``previous``, ``word``, ``n``) without the table of all."""
+    size = len(shared)
+    key = found["previous"].astype(np.int64) * size + found["word"]
+    pairs = np.unique(key)
+    table, before, after = np.zeros(len(pairs)), np.zeros(size), np.zeros(size)
+    for kind, sign in ((1, 1.0), (0, -1.0)):
+        own = found["kind"] == kind
+        previous, word, n = (found[c][own] for c in ("previous", "word", "n"))
+        kinds = np.bincount(word, minlength=size).astype(np.float64)
+        lower = np.maximum(kinds - DISCOUNT, 0) / max(kinds.sum(), 1.0)
+        lower += (1 - lower.sum()) * shared
+        kept = (n - DISCOUNT) / np.bincount(previous, n, size)[previous]
+        rest = 1 - np.bincount(previous, kept, size)
+        seen = np.zeros(len(pairs))
+        seen[np.searchsorted(pairs, key[own])] = kept
+        table += sign * np.log(seen + rest[pairs // size] * lower[pairs % size])
+        before += sign * np.log(rest)
+        after += sign * np.log(lower)
+    return pairs, table.astype(np.float32), before, after
+
+
+def curve(x: np.ndarray, y: np.ndarray, n: np.ndarray, rounds: int = 50) -> tuple[float, float]:
+    """Slope and shift of a logistic curve through points that occur ``n``
+    times each, by Newton steps, slightly held back."""
     scale = float(np.abs(x).max(initial=0.0)) or 1.0
     a = np.stack([x / scale, np.ones(len(x))], axis=1)
     w, hold = np.zeros(2), np.diag([1e-3, 1e-6])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -500, 500)))
-        step = np.linalg.solve((a.T * (p * (1 - p))) @ a + hold, a.T @ (y - p) - hold @ w)
+        step = np.linalg.solve((a.T * (n * p * (1 - p))) @ a + hold, a.T @ (n * (y - p)) - hold @ w)
         w += step
         if np.abs(step).max() < 1e-9:
             break
@@ -212,40 +256,41 @@ def train(
     doc_id: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
-    max_labelled: int = MAX_LABELLED,
-    size: int = VOCABULARY,
+    max_labelled: int | None = None,
     least_evidence: float = LEAST_EVIDENCE,
 ) -> Model:
     """The models of a corpus. Vocabulary and class counts come from all
-    labelled documents but those of the curve, of which at most
-    ``max_labelled`` are used; the shared counts come from all documents.
-    Without labels of both classes there is no evidence and every score is
-    the smoothed share of toxic labels, at most 1/2 - 1/(n + 3)."""
+    labelled documents but those of the curve, which is fitted to all of these
+    (to ``max_labelled`` of them, picked by the hash of their ids, if given);
+    the shared counts come from all documents. Without labels of both classes
+    there is no evidence and every score is the smoothed share of toxic
+    labels, at most 1/2 - 1/(n + 3)."""
     sample = written(labelled(docs, labels, doc_id, text, label), "toxic-sample")
-    ids = vocabulary(sample, size, least_evidence)
-    shape = (len(ids) + 2,) * 2
+    ids = vocabulary(sample, least_evidence)
+    size = len(ids) + 2
     if not ids:
         n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum(F.col("toxic").cast("int")), F.lit(0))).first()
         share = min((toxic + 0.5) / (n + 3), 0.5 - 1 / (n + 3))
-        return Model({}, np.zeros(shape, np.float32), 0.0, float(np.log(share / (1 - share))))
+        none = np.zeros(0, np.int64)
+        return Model({}, none, none.astype(np.float32), np.zeros(size), np.zeros(size), 0.0, float(np.log(share / (1 - share))))
     corpus = docs.select(F.col(text).alias("text"), F.lit(2).alias("kind"))
-    shared = np.zeros(shape[0])
+    shared = np.zeros(size)
     kinds = bigrams(corpus, ids).groupBy("word").count().toArrow()
     shared[kinds["word"].to_numpy()] = kinds["count"].to_numpy()
     shared = (shared + 1) / (shared + 1).sum()
-    counts = np.zeros((2, *shape))
     learnt = sample.where("not curve").select("text", F.col("toxic").cast("int").alias("kind"))
-    found = bigrams(learnt, ids).toArrow()  # at most 2 x (VOCABULARY + 2)^2 rows of 20 bytes
-    counts[tuple(found[c].to_numpy() for c in ("kind", "previous", "word"))] = found["n"].to_numpy()
-    table = log_probabilities(counts[1], shared) - log_probabilities(counts[0], shared)
-    model = Model(ids, table.astype(np.float32), 1.0, 0.0)
+    found = bigrams(learnt, ids).toArrow()  # the pairs of known words: the model itself
+    model = Model(ids, *pair_differences({c: found[c].to_numpy() for c in found.column_names}, shared), 1.0, 0.0)
     held = sample.where("curve")
-    some = held.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    held = score(held.join(F.broadcast(some), "doc_id"), model, keep=["toxic"], evidence=True)
-    sums = held.groupBy(F.col("row.toxic").alias("toxic"), "score").count().orderBy("score", "toxic").collect()  # repeated rows once
-    x, y = (np.repeat(v, [r["count"] for r in sums]) for v in ([r.score for r in sums], [float(r.toxic) for r in sums]))
+    if max_labelled is not None:
+        some = held.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+        held = held.join(F.broadcast(some), "doc_id")
+    held = score(held, model, keep=["toxic"], evidence=True)
+    sums = held.groupBy(F.col("row.toxic").alias("toxic"), F.round("score", CURVE_DECIMALS).alias("score")).count()
+    sums = sums.orderBy("score", "toxic").collect()
+    x, y, n = (np.array([r[c] for r in sums], np.float64) for c in ("score", "toxic", "count"))
     if len(set(y)) == 2:
-        model.slope, model.shift = curve(x, y)
+        model.slope, model.shift = curve(x, y, n)
     return model
 
 

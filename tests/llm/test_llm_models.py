@@ -518,3 +518,38 @@ def test_class_counts_use_all_training_labels(spark):
     docs, labels = frame(spark, rows), spark.createDataFrame(labels, LABELS)
     few, every = (toxicity.train(docs, labels, max_labelled=n) for n in (40, 10_000))
     assert every.ids and few.ids == every.ids and (few.table == every.table).all()
+
+
+def test_every_word_with_evidence_is_in_the_vocabulary(spark):
+    """More than 1024 words tell the classes apart, and all are kept."""
+    letters = "abcdefghijklmnop"
+    words = [f"{a}{b}{c}" for a in letters for b in letters for c in letters[:9]]
+    both = [words[:1152], words[1152:]]
+    rows = [(i, " ".join(both[i % 2]), "s") for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], LABELS)
+    model = toxicity.train(frame(spark, rows), labels)
+    assert set(model.ids) == set(words)
+    assert [model.score(" ".join(w[-3:])) > 0.5 for w in both] == [False, True]
+
+
+def test_pairs_and_words_give_the_differences_of_the_whole_table():
+    size, rnd = 9, np.random.default_rng(3)
+    counts = rnd.integers(0, 3, (2, size, size)) * rnd.integers(0, 2, (2, size, size))
+    counts[:, 4] = 0
+    shared = np.full(size, 1 / size)
+    at = np.nonzero(counts)
+    found = dict(zip(("kind", "previous", "word"), at)) | {"n": counts[at]}
+    model = toxicity.Model({}, *toxicity.pair_differences(found, shared), 1.0, 0.0)
+    want = toxicity.log_probabilities(counts[1].astype(float), shared) - toxicity.log_probabilities(counts[0].astype(float), shared)
+    previous, word = (x.ravel() for x in np.indices((size, size)))
+    assert np.allclose(model.differences(previous, word), want.ravel(), atol=1e-5)
+
+
+def test_the_curve_is_fitted_to_all_its_labels(spark):
+    """Beyond any bound: the curve of rows that are there twice is that of the rows."""
+    x, y = np.array([-1.0, -0.5, 0.1, 0.4, 2.0]), np.array([0.0, 1.0, 0.0, 1.0, 1.0])
+    assert np.allclose(toxicity.curve(x, y, np.array([3, 1, 2, 2, 1])), toxicity.curve(np.repeat(x, [3, 1, 2, 2, 1]), np.repeat(y, [3, 1, 2, 2, 1]), np.ones(9)))
+    rows, labels = speech(400)
+    docs, labels = frame(spark, rows), spark.createDataFrame(labels, LABELS)
+    few, every = (toxicity.train(docs, labels, max_labelled=n) for n in (8, None))
+    assert (few.slope, few.shift) != (every.slope, every.shift)
