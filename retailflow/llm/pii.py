@@ -18,14 +18,19 @@ an email is an example against. Such forms found as they are in a text have no
 label. Thresholds are the lowest at which held-back examples of the kind
 reach PRECISION.
 
-All steps are column expressions over whole texts: pieces between matches
+Examples come from all documents; equal ones are added up, so that what the
+trees learn from grows with the different examples. All other steps are column
+expressions over whole texts: pieces between matches
 give positions, arrays of structs carry candidates, and the trees are CASE
 expressions inside them. Rows are judged where they are read: no shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailflow.llm.common import written
@@ -54,16 +59,15 @@ GENERATORS = (
     ("phone", r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{4}(?![0-9])"),
     ("phone", r"(?<![0-9+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"),
 )
-#: What a document that is chosen for a kind holds: enough to find those worth learning from among all.
-LIKELY = {"email": r"@[A-Za-z0-9]", "ip": r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]"}
+#: What a document with a labelled candidate or a base span of a kind holds: enough to find those to learn from among all.
+LIKELY = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]"}
 #: Characters of context on each side.
 CONTEXT = 24
 #: Words that announce personal data, looked for in the context before.
 ANNOUNCED = r"(?i)\b(?:e-?mail|mail|tel|phone|call|fax|mobile|card|visa|ip|host|address|contact)\b"
 
-#: Documents and candidates that the trees learn from at most, in equal parts by kind.
-MAX_DOCS = 20_000
-MAX_CANDIDATES = 40_000
+#: Files that the examples, equal ones added up, are spread over.
+EXAMPLE_FILES = 8
 ROUNDS, DEPTH = 20, 3
 PRECISION = 0.97
 #: Held-back examples for that a threshold must rest on.
@@ -291,21 +295,25 @@ def rewritten(docs: DataFrame) -> DataFrame:
 
 
 def train(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_docs: int = MAX_DOCS, precision: float = PRECISION,
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_docs: int | None = None, precision: float = PRECISION,
     rounds: int = ROUNDS,
 ) -> Judge:
-    """Trees and thresholds from the candidates of at most ``max_docs``
-    documents, picked for each kind by the hash of their ids from those of
-    all that are likely to hold one (at most MAX_CANDIDATES)."""
-    ids = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).where("_id is not null")
-    chosen = None
-    for kind, pattern in LIKELY.items():
-        own = ids.where(F.col("_text").rlike(pattern)).select("_id").distinct()
-        own = own.orderBy(F.xxhash64("_id", F.lit(kind)), "_id").limit(max_docs // len(KINDS))
-        chosen = own if chosen is None else chosen.union(own)
-    chosen = written(chosen.distinct(), "pii-chosen")  # at most max_docs ids
-    some = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
-    some = written(base_spans(some, "_text"), "pii-sample")
+    """Trees and thresholds from the candidates of all documents that may hold
+    one (of at most ``max_docs``, picked for each kind by the hash of their
+    ids, if given). Candidates of equal features are learnt from as one with
+    their number as its weight. A document without an id goes by its text."""
+    own_id = F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text))
+    ids = docs.select(own_id.alias("_id"), F.col(text).alias("_text"))
+    likely = [F.col("_text").rlike(pattern) for pattern in LIKELY.values()]
+    some = ids.where(reduce(or_, likely))
+    if max_docs is not None:
+        chosen = None
+        for kind, has in zip(LIKELY, likely):
+            own = ids.where(has).select("_id").distinct()
+            own = own.orderBy(F.xxhash64("_id", F.lit(kind)), "_id").limit(max_docs // len(KINDS))
+            chosen = own if chosen is None else chosen.union(own)
+        some = some.join(F.broadcast(written(chosen.distinct(), "pii-chosen")), "_id")
+    some = written(base_spans(some, "_text"), "pii-likely")
     # explode() would have its "is there any" filter, with all that it rests on, moved below what comes before.
     found = candidates(some, "_text").select("_id", F.explode_outer("_candidates").alias("c")).where("c is not null")
     # A candidate that is valid by itself but no base span is left for the model to decide, as are the forms that are rewritten.
@@ -318,23 +326,23 @@ def train(
     forms = forms.select("_id", "_from", "_to", "_kind", "_label", F.explode_outer("_candidates").alias("c"))
     forms = forms.where("c.start = _from and c.end = _to and c.kind = _kind").select("_id", "c", F.col("_label").alias("label"))
     found = found.select("_id", "c", label.alias("label")).where("label is not null").union(forms)
-    order = Window.partitionBy("kind").orderBy(F.xxhash64("_id", "start"), "_id", "start", "label", *(f for f in FEATURES if f != "kind"))
+    held = (F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(4)) == 0).alias("held")
+    columns = ["label", "kind", *(f for f in FEATURES if f != "kind"), "held"]
     examples = written(
-        found.select("label", "c.kind", F.col("c.start").alias("start"), "_id", *(F.col("c.features")[i].alias(f) for i, f in enumerate(FEATURES) if f != "kind"))
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= MAX_CANDIDATES // len(KINDS))
-        .drop("place")
-        .withColumn("held", F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(4)) == 0)
-        .coalesce(2),
+        found.select("label", "c.kind", held, *(F.col("c.features")[i].alias(f) for i, f in enumerate(FEATURES) if f != "kind"))
+        .groupBy(*columns)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .repartition(EXAMPLE_FILES, *columns)
+        .sortWithinPartitions(*columns),
         "pii-examples",
     )
     counts = {r.label: r["count"] for r in examples.where("not held").groupBy("label").count().collect()}
     if len(counts) < 2:
         return Judge(None, {})
-    model = fit(examples.where("not held").withColumn("kind", F.col("kind").cast("double")), list(FEATURES), "label", rounds, DEPTH)
+    model = fit(examples.where("not held").withColumn("kind", F.col("kind").cast("double")), list(FEATURES), "label", rounds, DEPTH, weight="n")
     chance = probability(model, lambda i: F.col(FEATURES[i]).cast("double"))
-    held = examples.where("held").select("kind", "label", F.round(chance, 6).alias("chance"))
-    rows = held.groupBy("kind", "chance").agg(F.sum("label").alias("right"), F.count("*").alias("n")).collect()  # within MAX_CANDIDATES
+    held = examples.where("held").select("kind", "label", "n", F.round(chance, 6).alias("chance"))
+    rows = held.groupBy("kind", "chance").agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n")).collect()  # of 6 decimals
     thresholds = {}
     for kind in range(len(KINDS)):
         right = n = 0

@@ -1,6 +1,6 @@
 """Boosted trees as column expressions.
 
-``GBTClassifier`` trains on a bounded sample; its trees are then written out
+``GBTClassifier`` trains on rows with weights; its trees are then written out
 as nested CASE expressions over struct fields, so they can score elements
 inside arrays where the rows are read, with no join and no shuffle.
 """
@@ -20,13 +20,20 @@ _IF = re.compile(r"If \(feature (\d+) <= (\S+)\)")
 _PREDICT = re.compile(r"Predict: (\S+)")
 
 
-def fit(rows: DataFrame, features: list[str], label: str, rounds: int, depth: int, seed: int = 7) -> GBTClassificationModel:
-    """Trees on a bounded sample; ``rows`` should have few partitions."""
+def fit(
+    rows: DataFrame, features: list[str], label: str, rounds: int, depth: int, seed: int = 7, weight: str | None = None
+) -> GBTClassificationModel:
+    """Trees on ``rows``, which should have few partitions; ``weight`` says how
+    often each row counts."""
     assembled = VectorAssembler(inputCols=features, outputCol="_features").transform(rows)
     trainer = GBTClassifier(
         featuresCol="_features", labelCol=label, maxIter=rounds, maxDepth=depth, seed=seed, stepSize=0.3
     )
-    return trainer.fit(assembled.select("_features", F.col(label).cast("double").alias(label)))
+    columns = ["_features", F.col(label).cast("double").alias(label)]
+    if weight:
+        trainer.setWeightCol(weight)
+        columns.append(F.col(weight).cast("double").alias(weight))
+    return trainer.fit(assembled.select(*columns))
 
 
 def _tree(lines: list[str], feature: Callable[[int], Column]) -> Column:

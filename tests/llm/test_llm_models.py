@@ -553,3 +553,17 @@ def test_the_curve_is_fitted_to_all_its_labels(spark):
     docs, labels = frame(spark, rows), spark.createDataFrame(labels, LABELS)
     few, every = (toxicity.train(docs, labels, max_labelled=n) for n in (8, None))
     assert (few.slope, few.shift) != (every.slope, every.shift)
+
+
+def test_personal_data_is_learnt_from_every_document(spark, monkeypatch):
+    """All candidates of all documents are examples, also beyond 5,000 documents of a kind and without an id."""
+    seen = {}
+    monkeypatch.setattr(pii, "fit", lambda rows, *a, **k: seen.update(n=rows.selectExpr("sum(n)").first()[0]) or trees.fit(rows, *a, **k))
+    rows = [(i if i % 3 else None, f"from 10.{i % 200}.{i // 200}.7 or 999.{i}.1.1", "s") for i in range(6000)]
+    examples = {}
+    written = pii.written
+    monkeypatch.setattr(pii, "written", lambda df, label: examples.setdefault(label, written(df, label)))
+    pii.train(frame(spark, rows))
+    n = examples["pii-examples"].groupBy("label").agg(F.sum("n").alias("n")).collect()
+    assert {r.label: r.n for r in n if r.label == 1} == {1: 6000}
+    assert 0 < seen["n"] < sum(r.n for r in n)
