@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,9 @@ from retailflow.llm.common import may_be_in, written
 #: Different words, and pairs of them, that a task counts before it hands their counts on.
 HELD_WORDS = 500_000
 HELD_PAIRS = 2_000_000
-#: Decimals of the evidence that the curve is fitted to, which bounds the different values.
+#: Rows that the counts of a kind's pairs are brought together in.
+PAIR_PARTS = 64
+#: The curve is fitted to the means of the evidence that is equal to so many decimals, whose number is bounded.
 CURVE_DECIMALS = 4
 #: Log-likelihood ratio (in nats) from which a word's frequencies count as different.
 LEAST_EVIDENCE = 8.0
@@ -162,21 +165,31 @@ def vocabulary(sample: DataFrame, least_evidence: float) -> dict[str, int]:
     return {r.word: i + 2 for i, r in enumerate(rows)}
 
 
-def bigrams(texts: DataFrame, ids: dict[str, int]) -> DataFrame:
-    """``(kind, previous, word, n)``: word pairs of all texts by ``kind``. A
-    task adds its texts up before it hands anything on."""
+def pair_counts(texts: DataFrame, ids: dict[str, int]) -> DataFrame:
+    """``(kind, part, pairs, n)``: word pairs of all texts by ``kind``, as
+    sorted arrays of their numbers (previous * words + word) and counts, one
+    row for each of PAIR_PARTS parts (of the previous words). A task adds its
+    texts up before it hands anything on; there are no more pairs than words
+    read, and no rows of single pairs."""
     size = len(ids) + 2
     sent = texts.sparkSession.sparkContext.broadcast(ids)
+    names = ["kind", "part", "pairs", "n"]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    def rows(kind: int, pairs: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        part = pairs // size % PAIR_PARTS
+        order = np.argsort(part, kind="stable")
+        parts, starts = np.unique(part[order], return_index=True)
+        ends = np.append(starts, len(pairs)).astype(np.int32)
+        columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(c[order])) for c in (pairs, n)]
+        if len(parts):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(parts), kind, np.int32)), pa.array(parts.astype(np.int32)), *columns], names=names)
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for kind, (pairs, n) in sums.items():
-                columns = [np.full(len(pairs), kind, np.int32), (pairs // size).astype(np.int32), (pairs % size).astype(np.int32), n]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "previous", "word", "n"])
-            sums.clear()
+    def added(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        every, place = np.unique(pairs, return_inverse=True)
+        return every, np.bincount(place, n, len(every)).astype(np.int64)
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             found: dict[int, list[np.ndarray]] = {}
             for text, kind in zip(batch.column("text"), batch.column("kind").to_pylist()):
@@ -184,19 +197,44 @@ def bigrams(texts: DataFrame, ids: dict[str, int]) -> DataFrame:
                 found.setdefault(kind, []).append(at[:-1] * size + at[1:])
             for kind, each in found.items():
                 pairs, n = np.unique(np.concatenate(each), return_counts=True)
-                if kind in sums:
-                    pairs, place = np.unique(np.concatenate([sums[kind][0], pairs]), return_inverse=True)
-                    n = np.bincount(place, np.concatenate([sums[kind][1], n]), len(pairs)).astype(np.int64)
-                sums[kind] = pairs, n
+                old = sums.get(kind)
+                sums[kind] = added(np.concatenate([old[0], pairs]), np.concatenate([old[1], n])) if old else (pairs, n)
             if sum(len(pairs) for pairs, _ in sums.values()) >= HELD_PAIRS:
-                yield from out()
-        yield from out()
+                for kind, both in sums.items():
+                    yield from rows(kind, *both)
+                sums.clear()
+        for kind, both in sums.items():
+            yield from rows(kind, *both)
 
-    return (
-        texts.mapInArrow(count, "kind int, previous int, word int, n long")
-        .groupBy("kind", "previous", "word")
-        .agg(F.sum("n").alias("n"))
-    )
+    def merged(key: tuple, group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in group:
+            own = [batch.column(c).flatten().to_numpy() for c in ("pairs", "n")]
+            pairs, n = added(np.concatenate([pairs, own[0]]), np.concatenate([n, own[1]]))
+        yield from rows(key[0].as_py(), pairs, n)
+
+    schema = "kind int, part int, pairs array<long>, n array<long>"
+    return texts.mapInArrow(count, schema).groupBy("kind", "part").applyInArrow(merged, schema)
+
+
+def bigrams(texts: DataFrame, ids: dict[str, int]) -> DataFrame:
+    """``(kind, previous, word, n)``: word pairs of all texts by ``kind``."""
+    size = len(ids) + 2
+    rows = pair_counts(texts, ids).select("kind", F.explode(F.arrays_zip("pairs", "n")).alias("p"))
+    return rows.select("kind", F.expr(f"int(p.pairs div {size})").alias("previous"), F.expr(f"int(p.pairs % {size})").alias("word"), "p.n")
+
+
+def kinds_before(counted: DataFrame, size: int) -> np.ndarray:
+    """How many different words stand before each word, from :func:`pair_counts`."""
+
+    def kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(size, np.int64)
+        for batch in batches:
+            out += np.bincount(batch.column("pairs").flatten().to_numpy() % size, minlength=size)
+        yield pa.RecordBatch.from_arrays([pa.array([out])], names=["kinds"])
+
+    found = counted.select("pairs").mapInArrow(kinds, "kinds array<long>")
+    return sum((np.array(r.kinds, np.float64) for r in found.toLocalIterator()), np.zeros(size))
 
 
 def log_probabilities(counts: np.ndarray, shared: np.ndarray) -> np.ndarray:
@@ -274,20 +312,22 @@ def train(
         none = np.zeros(0, np.int64)
         return Model({}, none, none.astype(np.float32), np.zeros(size), np.zeros(size), 0.0, float(np.log(share / (1 - share))))
     corpus = docs.select(F.col(text).alias("text"), F.lit(2).alias("kind"))
-    shared = np.zeros(size)
-    kinds = bigrams(corpus, ids).groupBy("word").count().toArrow()
-    shared[kinds["word"].to_numpy()] = kinds["count"].to_numpy()
-    shared = (shared + 1) / (shared + 1).sum()
+    shared = kinds_before(pair_counts(corpus, ids), size) + 1
+    shared /= shared.sum()
     learnt = sample.where("not curve").select("text", F.col("toxic").cast("int").alias("kind"))
-    found = bigrams(learnt, ids).toArrow()  # the pairs of known words: the model itself
-    model = Model(ids, *pair_differences({c: found[c].to_numpy() for c in found.column_names}, shared), 1.0, 0.0)
+    rows = pair_counts(learnt, ids).toArrow()  # the pairs of known words: the model itself
+    pairs, n = (rows[c].combine_chunks().flatten().to_numpy() for c in ("pairs", "n"))
+    lengths = pc.list_value_length(rows["pairs"]).to_numpy()
+    kinds = np.repeat(rows["kind"].to_numpy(), lengths)
+    found = {"kind": kinds, "previous": pairs // size, "word": pairs % size, "n": n}
+    model = Model(ids, *pair_differences(found, shared), 1.0, 0.0)
     held = sample.where("curve")
     if max_labelled is not None:
         some = held.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
         held = held.join(F.broadcast(some), "doc_id")
     held = score(held, model, keep=["toxic"], evidence=True)
-    sums = held.groupBy(F.col("row.toxic").alias("toxic"), F.round("score", CURVE_DECIMALS).alias("score")).count()
-    sums = sums.orderBy("score", "toxic").collect()
+    bins = held.groupBy(F.col("row.toxic").alias("toxic"), F.round("score", CURVE_DECIMALS).alias("bin"))
+    sums = bins.agg(F.round(F.avg("score"), 9).alias("score"), F.count(F.lit(1)).alias("count")).orderBy("score", "toxic").collect()
     x, y, n = (np.array([r[c] for r in sums], np.float64) for c in ("score", "toxic", "count"))
     if len(set(y)) == 2:
         model.slope, model.shift = curve(x, y, n)
