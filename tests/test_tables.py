@@ -349,3 +349,59 @@ def test_gold_tables_by_bitmaps(spark):
 def test_dense_ids(spark):
     ids = spark.range(100_000).select("id", (F.col("id") * 1000).alias("sparse"), F.lit(None).cast("long").alias("none"))
     assert dense(ids, "id") and not dense(ids, "id", "sparse") and not dense(ids, "none") and not dense(ids.limit(0), "id")
+
+
+def test_distinct_ids_of_many_groups_are_counted_without_bitmaps(spark):
+    """Days and ids so many that nearly every row has a day and range of ids of its own."""
+    from retailflow.operators.distinct import agg_with_distinct, value_counts
+
+    rows = [(i % 400 if i % 9 else None, (i * 7919) % 3_000_000 - 500 if i % 11 else None, f"t{i % 5}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "day int, id long, text string")
+    got = agg_with_distinct(df, ("day",), [F.count("*").alias("n")], {"ids": "id", "texts": "text"}, value_counts)
+    want = df.groupBy("day").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"), F.count_distinct("text").alias("texts"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap" not in plan and "Expand" not in plan
+
+
+def test_the_gold_layer_counts_no_bitmaps(spark, scratch, monkeypatch):
+    """Ids dense in the table, few to a day: bitmaps would be a day's and a range's each."""
+    from datetime import date, timedelta
+    from decimal import Decimal
+
+    from retailflow.operators import distinct, gold
+    from retailflow.plans.pipeline import run_gold
+    from retailflow.streaming.runner import Warehouse, refresh_table
+
+    monkeypatch.setattr(distinct, "bitmap_counts", lambda *a: pytest.fail("bitmaps"))
+    money, columns = "decimal(18,2)", "order_id long, order_date date, customer_id long, product_id long, quantity long"
+    schema = f"{columns}, unit_price {money}, discount {money}, shipping_cost {money}, product_name string, category string, price {money}, cost {money}, full_name string, country string, state string, city string"
+    d = Decimal("1.25")
+    rows = [
+        (i, date(2020, 1, 1) + timedelta(i % 50), i % 1500, i % 1400, 2, d, Decimal(0), d, f"p{i % 1400}", f"c{i % 3}", d, Decimal(1), f"n{i % 1500}", "a", "b", None)
+        for i in range(3000)
+    ]
+    wh = Warehouse(f"{scratch}/warehouse")
+    refresh_table(spark.createDataFrame(rows, schema), wh, "orders_silver")
+    run_gold(spark, wh, as_of=date(2021, 1, 1))
+    enriched = spark.read.parquet(wh.table("gold_orders_enriched"))
+    for name in ("sales_by_date", "sales_by_geography", "monthly_sales_trend", "sales_by_category"):
+        want = gold.GOLD_TABLES[name](enriched, sort=False)
+        assert sorted(map(str, spark.read.parquet(wh.table(name)).collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_batch_is_written_where_it_is(spark, scratch):
+    """No shuffle before a write: a file for each part of the batch."""
+    from retailflow.streaming.runner import Warehouse, write_batch
+
+    wh = Warehouse(f"{scratch}/warehouse")
+    write_batch(spark.range(0, 3000, 1, 3), wh, "numbers", 0)
+    back = spark.read.parquet(f"{wh.kept('numbers')}/_batch=0")
+    assert back.count() == 3000 and len(back.inputFiles()) == 3
+
+
+def test_customers_may_be_joined_before_products(spark):
+    from retailflow.plans.queries import orders_silver_of
+
+    first, last = (orders_silver_of(spark, "/root/testdata/sf0.001", products_last=x) for x in (False, True))
+    assert first.columns == last.columns and sorted(map(str, first.collect())) == sorted(map(str, last.collect()))
