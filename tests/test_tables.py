@@ -405,3 +405,119 @@ def test_customers_may_be_joined_before_products(spark):
 
     first, last = (orders_silver_of(spark, "/root/testdata/sf0.001", products_last=x) for x in (False, True))
     assert first.columns == last.columns and sorted(map(str, first.collect())) == sorted(map(str, last.collect()))
+
+
+# ---- bytes on disk of a whole run
+
+
+ODD_ORDERS = """order_id long, order_date date, customer_id long, product_id long, quantity long, unit_price decimal(18,2), discount decimal(18,2),
+    shipping_cost decimal(18,2), product_name string, category string, price decimal(18,2), cost decimal(18,2), full_name string, country string,
+    state string, city string"""
+
+
+def odd_enriched(spark):
+    """A customer with a third of all rows, ids with two names, products in two categories, NULL ids, places and costs."""
+    from datetime import date, timedelta
+    from decimal import Decimal
+
+    def row(i):
+        customer = None if i % 17 == 0 else 7 if i % 3 == 0 else i * 7919 % 400
+        product = None if i % 23 == 0 else 5 if i % 4 == 0 else i * 31 % 300
+        place = (None, None, None) if i % 11 == 0 else (f"k{(customer or 0) % 2}", "s", None)
+        return (
+            None if i % 13 == 0 else i, date(2020, 1, 1) + timedelta(i % 90), customer, product, i % 7 - 1, Decimal(i % 500) / 100, Decimal(i % 5) / 10,
+            Decimal(1), None if product is None else f"p{product % 9}", None if i % 29 == 0 else f"c{(product or 0) % 4 + i % 2}", Decimal(2),
+            None if i % 19 == 0 else Decimal(i % 300) / 100, f"n{(customer or 0) % 10}{'x' if i % 50 == 0 else ''}", *place,
+        )
+
+    return gold.orders_enriched(spark.createDataFrame([row(i) for i in range(5000)], ODD_ORDERS))
+
+
+def test_customers_and_products_are_shuffled_by_ranges(spark, scratch):
+    from datetime import date
+
+    refresh_table(odd_enriched(spark), Warehouse(scratch), "e")
+    enriched = spark.read.parquet(Warehouse(scratch).table("e"))
+    for fn in (lambda **k: gold.customer_analytics(enriched, date(2021, 1, 1), sort=False, **k), lambda **k: gold.product_sales(enriched, **k)):
+        plain, ranged = fn(), fn(stored=True)
+        assert ranged.schema == plain.schema and bag(ranged) == bag(plain) and sum(bag(plain).values()) > 300
+        plan = fn(stored=True)._jdf.queryExecution().executedPlan().toString()  # as it is before it runs
+        assert "Expand" not in plan and plan.count("Exchange rangepartitioning") == 1
+    assert plan.count("Exchange hashpartitioning") == 1  # of products, after their rows were added up in the ranges
+
+
+def test_the_gold_layer_does_not_expand_customers(spark, scratch, monkeypatch):
+    from retailflow.plans import pipeline
+
+    plans = {}
+
+    def kept(df, wh, name, cluster_by=()):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return refresh_table(df, wh, name, cluster_by)
+
+    monkeypatch.setattr(pipeline, "refresh_table", kept)
+    wh = Warehouse(scratch)
+    refresh_table(odd_enriched(spark).select(*(f.strip().split(" ")[0] for f in ODD_ORDERS.replace("(18,2)", "").split(","))), wh, "orders_silver")
+    pipeline.run_gold(spark, wh)
+    assert set(plans) == {"gold_orders_enriched", *gold.GOLD_TABLES} and not [n for n, p in plans.items() if "Expand" in p]
+
+
+def test_shuffle_files_go_with_their_job(spark, scratch):
+    import time
+
+    from retailflow.config import FREE_SHUFFLES, freed_shuffles
+
+    def shuffles():
+        files_ = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for i in range(files_.size()) if (n := files_.apply(i).getName()).startswith("shuffle_")}
+
+    def gone(before):
+        end = time.time() + 20  # executors are told, not waited for
+        while shuffles() - before and time.time() < end:
+            time.sleep(0.2)
+        return not shuffles() - before
+
+    spark.range(0, 2000, 1, 4).selectExpr("id", "id % 7 AS k").write.parquet(f"{scratch}/src")
+    src, wh, was = spark.read.parquet(f"{scratch}/src"), Warehouse(f"{scratch}/wh"), spark.conf.get(FREE_SHUFFLES, None)
+    before = shuffles()
+    by_k = src.groupBy("k").agg(F.count("*").alias("n"))
+    with freed_shuffles(spark):
+        refresh_table(by_k, wh, "n", cluster_by=("n",))
+        stream = spark.readStream.schema(src.schema).parquet(f"{scratch}/src")
+        run_stream_table(stream.join(src.selectExpr("id", "k AS j").hint("merge"), "id", "left"), wh, "joined")
+    assert gone(before) and spark.conf.get(FREE_SHUFFLES, None) == was
+    assert spark.read.parquet(wh.table("n")).count() == 7 and spark.read.parquet(wh.table("joined")).count() == 2000
+
+
+def test_tables_are_stored_with_zstd(spark, scratch):
+    from retailflow.sources.landing import write_by_category
+
+    wh, rows = Warehouse(scratch), spark.range(9).selectExpr("id", "'a' AS category")
+    refresh_table(rows, wh, "t")
+    write_batch(rows, wh, "b", 0)
+    write_batch(rows, wh, "r", 0, (Expectation("small", "id < 4", "drop"),))
+    write_by_category(rows, f"{scratch}/products")
+    for path in (wh.table("t"), f"{wh.kept('b')}/_batch=0", f"{wh.kept('r')}/_batch=0", f"{scratch}/products"):
+        found = spark.read.parquet(path).inputFiles()
+        assert found and all(f.endswith(".zstd.parquet") for f in found)
+
+
+def test_steps_run_a_few_at_a_time(spark):
+    import threading
+    import time
+
+    running, most, lock = [], [], threading.Lock()
+
+    def step(n):
+        def run():
+            with lock:
+                running.append(n)
+                most.append(len(running))
+            time.sleep(0.05)
+            with lock:
+                running.remove(n)
+            return n
+
+        return run
+
+    assert runner.run_concurrently(*map(step, range(7)), at_once=3) == list(range(7)) and max(most) == 3
